@@ -1,0 +1 @@
+"""Left empty: every job here is a daily batch, see the README."""
