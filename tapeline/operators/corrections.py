@@ -26,9 +26,9 @@ def typed_rows(events: DataFrame, types: dict[str, str]) -> DataFrame:
     )
 
 
-def rejected_rows(events: DataFrame, types: dict[str, str]) -> DataFrame:
-    """The rows :func:`typed_rows` leaves out, still as text."""
-    return events.where(_failed_cast(types)).select(*types)
+def rejected_rows(events: DataFrame, types: dict[str, str], *extra: str) -> DataFrame:
+    """The rows :func:`typed_rows` leaves out, still as text, after ``extra`` columns."""
+    return events.where(_failed_cast(types)).select(*extra, *types)
 
 
 def trade_rows(events: DataFrame) -> DataFrame:

@@ -53,7 +53,12 @@ _JSON_ALSO_NEEDED = {TRADE: ["execution_id"], QUOTE: []}
 
 
 def _common_event(lines: DataFrame, kind: Column, fields: dict, value_of) -> DataFrame:
-    """Add the common columns, given each row's ``kind`` (T, Q or B)."""
+    """Add the common columns, given each row's ``kind`` (T, Q or B).
+
+    The event leaves as the single element of an inlined array.  Catalyst would
+    copy the whole parse into every filter on a parsed column; it does not move
+    filters below a generator.
+    """
 
     def column(name: str) -> Column:
         chosen = F.lit(None).cast("string")
@@ -65,11 +70,11 @@ def _common_event(lines: DataFrame, kind: Column, fields: dict, value_of) -> Dat
         return chosen.alias(name)
 
     kept = [c for c in lines.columns if not c.startswith("__")]
-    return lines.withColumn("__kind", kind).select(
-        *kept,
+    event = F.struct(
         *[column(name) for name in COMMON_COLUMNS if name != "partition"],
         F.col("__kind").alias("partition"),
     )
+    return lines.withColumn("__kind", kind).select(*kept, F.inline(F.array(event)))
 
 
 def parse_csv(lines: DataFrame) -> DataFrame:
