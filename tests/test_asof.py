@@ -1,0 +1,135 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tables import DAY, at, quotes, trades, values
+from tapeline.operators.asof import _last_known, fill_asof, last_at_time, trade_points
+from tapeline.schemas import DAY_GROUP_KEY
+
+TRADES = [("A", "N", "09:10:00", 1, "1"), ("A", "N", "09:30:00", 2, "2")]
+QUOTES = [
+    ("A", "N", "09:00:00", 3),
+    ("A", "N", "09:10:00", 4),
+    ("A", "N", "09:20:00", 5),
+    ("A", "N", "09:40:00", 6),
+]
+
+
+def filled(spark, trade_rows, quote_rows):
+    return fill_asof(quotes(spark, quote_rows), trade_points(trades(spark, trade_rows)))
+
+
+def test_last_trade_at_or_before_the_quote(spark):
+    found = filled(spark, TRADES, QUOTES)
+    assert values(found, "event_seq_nb", "trade_pr", "mov_avg_pr") == [
+        (3, None, None), (4, 1.0, 1.0), (5, 1.0, 1.0), (6, 2.0, 1.5),
+    ]
+
+
+def test_within_one_second_and_over_seconds(spark):
+    found = filled(
+        spark,
+        [("A", "N", "09:00:00.5", 1, "5"), ("A", "N", "09:00:00.7", 2, "7")],
+        [("A", "N", f"09:00:0{t}", i) for i, t in enumerate(["0.4", "0.5", "0.6", "0.9", "1.2"])],
+    )
+    assert values(found, "event_seq_nb", "trade_pr") == [
+        (0, None), (1, 5.0), (2, 5.0), (3, 7.0), (4, 7.0),
+    ]
+
+
+def test_keys_and_days_do_not_mix(spark):
+    found = filled(
+        spark,
+        [*TRADES, ("A", "Q", "09:15:00", 1, "8"), ("B", "N", "09:15:00", 1, "9")],
+        [*QUOTES, ("A", "N", "09:50:00", 7, "09:50:00", "2020-08-06")],
+    )
+    assert values(found, "event_seq_nb", "trade_pr") == [
+        (3, None), (4, 1.0), (5, 1.0), (6, 2.0), (7, None),
+    ]
+
+
+def test_average_runs_over_all_exchanges_of_the_day(spark):
+    rows = [*TRADES, ("A", "Q", "09:30:00", 3, "6")]
+    found = filled(spark, rows, [("A", "N", "09:45:00", 1)])
+    assert values(found, "trade_pr", "mov_avg_pr") == [(2.0, 3.0)]
+
+
+def test_each_value_is_filled_past_missing_ones(spark):
+    rows = [("A", "N", "09:00:00", 1, "4"), ("A", "N", "09:05:00", 2, None)]
+    points = trade_points(trades(spark, rows), 60)
+    assert values(points, "trade_pr", "mov_avg_pr") == [(4.0, 4.0), (None, None)]
+    found = fill_asof(quotes(spark, [("A", "N", "09:10:00", 1)]), points)
+    assert values(found, "trade_pr", "mov_avg_pr") == [(4.0, 4.0)]
+
+
+def test_greater_sequence_number_wins_at_the_same_time(spark):
+    rows = [("A", "N", "09:00:00", 9, "1"), ("A", "N", "09:00:00", 10, "2")]
+    points = last_at_time(trades(spark, rows), DAY_GROUP_KEY, ["trade_pr"])
+    assert values(points, "trade_pr") == [(2.0,)]
+
+
+def test_quotes_of_the_same_time_and_without_time_are_kept(spark):
+    rows = [("A", "N", "09:20:00", 1), ("A", "N", "09:20:00", 2), ("A", "N", None, 3)]
+    assert values(filled(spark, TRADES, rows), "event_seq_nb", "trade_pr") == [
+        (1, 1.0), (2, 1.0), (3, None),
+    ]
+
+
+@pytest.mark.parametrize("widths", [(), (1,), (1, 10), (5, 20, 100)])
+@pytest.mark.parametrize("upto", [0, -1])
+def test_any_cells_give_the_same(spark, widths, upto):
+    chance = random.Random(7)
+    rows = [
+        (chance.choice("AB"), place, chance.choice([None, None, 1.0 * place, -1.0 * place]))
+        for place in chance.sample(range(-150, 150), 200)
+    ]
+    table = spark.createDataFrame(rows, "symbol string, place bigint, v double")
+    found = _last_known(table, ["symbol"], "place", F.col("place"), ["v"], widths, upto)
+    expected = []
+    for symbol, place, _ in rows:
+        limit = place if upto == 0 else place - 1
+        known = [(p, v) for s, p, v in rows if s == symbol and p <= limit and v is not None]
+        expected.append((symbol, place, max(known)[1] if known else None))
+    assert values(found, "symbol", "place", "v") == sorted(expected, key=repr)
+
+
+def test_hot_key_and_hot_time(spark):
+    """A third of the quotes at one time of one key, another third of it elsewhere."""
+    n = 60_000
+    start = F.lit(at("10:00:00")).cast("timestamp_ntz")
+    kind = F.col("id") % 3
+    seconds = F.when(kind == 0, 1000).otherwise(F.col("id") % 20_000)
+    rows = spark.range(n).select(
+        F.lit(DAY).cast("date").alias("trade_dt"),
+        F.when(kind == 2, F.concat(F.lit("S"), F.col("id") % 7)).otherwise("HOT").alias("symbol"),
+        F.lit("N").alias("exchange"),
+        (start + F.make_dt_interval(secs=seconds)).alias("event_tm"),
+        F.col("id").alias("event_seq_nb"),
+        seconds.alias("second"),
+    )
+    # a trade every 30 seconds, whose price is its second
+    points = spark.range(0, 20_000, 30).select(
+        F.lit(DAY).cast("date").alias("trade_dt"),
+        F.explode(F.array(*[F.lit(s) for s in ["HOT", *[f"S{i}" for i in range(7)]]])).alias(
+            "symbol"
+        ),
+        F.lit("N").alias("exchange"),
+        (start + F.make_dt_interval(secs=F.col("id"))).alias("event_tm"),
+        F.col("id").alias("trade_pr"),
+    )
+    found = fill_asof(rows, points, values=("trade_pr",))
+    assert found.count() == n
+    assert found.where(~F.col("trade_pr").eqNullSafe(F.col("second") - F.col("second") % 30)).isEmpty()
+
+
+def test_years_without_a_trade(spark):
+    old = datetime(1960, 1, 1, 12, 0, 0, 5)
+    points = spark.createDataFrame([("A", old, 1.0)], "symbol string, event_tm timestamp_ntz, v double")
+    asked = spark.createDataFrame(
+        [("A", old + timedelta(days=30_000), 1), ("A", old - timedelta(microseconds=1), 2)],
+        "symbol string, event_tm timestamp_ntz, event_seq_nb int",
+    )
+    found = fill_asof(asked, points, keys=("symbol",), values=("v",))
+    assert values(found, "event_seq_nb", "v") == [(1, 1.0), (2, None)]

@@ -1,0 +1,179 @@
+import json
+
+import pytest
+
+from tables import values
+from tapeline.plans.jobs import run_enrich, run_ingest, run_load
+from tapeline.plans.runlog import RunLog
+from tapeline.schemas import ENRICHED_COLUMNS
+from tapeline.sources.messages import format_glob, read_lines, source_files
+from tapeline.sources.staging import shared_folder, stage
+from tapeline.sources.tables import read_events, write_partitioned
+
+
+def csv_trade(day, time, seq, price, arrival=None, symbol="A"):
+    return f"{day},{day} {arrival or time},T,{symbol},{day} {time},{seq},NYSE,{price},5"
+
+
+def json_message(kind, day, time, seq, symbol="A", **fields):
+    event = {
+        "trade_dt": day,
+        "event_type": kind,
+        "symbol": symbol,
+        "exchange": "NYSE",
+        "event_tm": f"{day} {time}",
+        "event_seq_nb": seq,
+        "file_tm": f"{day} {time}",
+    }
+    return json.dumps({**event, **fields})
+
+
+def json_trade(day, time, seq, price):
+    return json_message("T", day, time, seq, execution_id="x", price=price, size=5)
+
+
+def json_quote(day, time, seq):
+    return json_message(
+        "Q", day, time, seq, bid_pr=9.9, bid_size=5, ask_pr=10.1, ask_size=6
+    )
+
+
+MONDAY, TUESDAY = "2020-08-03", "2020-08-04"
+
+
+@pytest.fixture
+def root(tmp_path):
+    files = {
+        f"csv/{MONDAY}/NYSE/a.txt": [csv_trade(MONDAY, "09:00:00", 1, "10.0"), "junk"],
+        f"json/{MONDAY}/NYSE/a.txt": [
+            json_trade(MONDAY, "09:10:00", 2, 20.0),
+            json_quote(MONDAY, "09:20:00", 3),
+            "{oops",
+        ],
+        f"csv/{TUESDAY}/NYSE/a.txt": [
+            csv_trade(TUESDAY, "09:00:00", 1, "30.0"),
+            csv_trade(TUESDAY, "09:00:00", 1, "31.0", arrival="09:00:05"),
+            csv_trade(TUESDAY, "09:01:00", 2, "n/a"),
+            # a correction of the day before
+            csv_trade(MONDAY, "09:00:00", 1, "12.0", arrival="23:59:59"),
+        ],
+        f"json/{TUESDAY}/NYSE/a.txt": [json_quote(TUESDAY, "09:30:00", 4)],
+    }
+    for name, lines in files.items():
+        path = tmp_path / "data" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("\n".join(lines) + "\n")
+    return tmp_path
+
+
+def ingest(spark, root, date="*"):
+    run_ingest(
+        spark,
+        format_glob(f"{root}/data", "csv", date),
+        format_glob(f"{root}/data", "json", date),
+        f"{root}/events",
+        f"{root}/log",
+    )
+
+
+def counts(spark, root):
+    events = spark.read.parquet(f"{root}/events")
+    return values(events.groupBy("src_date", "partition").count(), "src_date", "partition", "count")
+
+
+def test_files_are_found_by_format(spark, root):
+    found = source_files(spark, f"{root}/data", "csv")
+    assert values(found, "src_format", "src_date", "src_exchange", "n_lines") == [
+        ("csv", MONDAY, "NYSE", 2), ("csv", TUESDAY, "NYSE", 4),
+    ]
+    lines = read_lines(spark, f"{root}/data/json")
+    assert values(lines.distinct(), "src_format", "src_date", "src_exchange") == [
+        *[("json", MONDAY, "NYSE")] * 3, ("json", TUESDAY, "NYSE"),
+    ]
+
+
+def test_file_outside_the_layout(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x\n")
+    assert values(read_lines(spark, f"{tmp_path}/a.txt"), "raw_line", "src_date") == [("x", None)]
+
+
+def test_both_formats_are_kept_and_a_rerun_changes_nothing(spark, root):
+    expected = [
+        (MONDAY, "B", 2), (MONDAY, "Q", 1), (MONDAY, "T", 2), (TUESDAY, "Q", 1), (TUESDAY, "T", 4),
+    ]
+    ingest(spark, root, MONDAY)
+    assert counts(spark, root) == expected[:3]
+    ingest(spark, root, TUESDAY)
+    assert counts(spark, root) == expected
+    ingest(spark, root, MONDAY)
+    ingest(spark, root)
+    assert counts(spark, root) == expected
+    trades = read_events(spark, f"{root}/events", "T").where("src_date = '2020-08-03'")
+    assert values(trades, "trade_pr") == [("10.0",), ("20.0",)]
+
+
+def enriched(spark, root):
+    found = spark.read.parquet(f"{root}/enriched")
+    assert sorted(found.columns) == sorted(ENRICHED_COLUMNS)
+    return values(
+        found, "trade_dt", "event_seq_nb", "latest_trade_pr", "mov_avg_pr", "close_pr"
+    )
+
+
+def test_the_three_jobs(spark, root):
+    log = f"{root}/log"
+    ingest(spark, root)
+    run_load(spark, f"{root}/events", f"{root}/tables", log)
+    trades = spark.read.parquet(f"{root}/tables/trade")
+    assert values(trades, "trade_dt", "trade_pr") == [
+        (MONDAY, 12.0), (MONDAY, 20.0), (TUESDAY, 31.0),
+    ]
+    rejected = spark.read.parquet(f"{root}/tables/rejected_trade")
+    assert values(rejected, "trade_pr") == [("n/a",)]
+
+    expected = [(MONDAY, 3, 20.0, 16.0, None), (TUESDAY, 4, 31.0, 31.0, 20.0)]
+    run_enrich(spark, f"{root}/tables", f"{root}/enriched", log)
+    assert enriched(spark, root) == expected
+    # one day at a time gives the same, and leaves the other day alone
+    run_load(spark, f"{root}/events", f"{root}/tables", log, [TUESDAY], TUESDAY)
+    run_load(spark, f"{root}/events", f"{root}/tables", log, [MONDAY])
+    run_enrich(spark, f"{root}/tables", f"{root}/enriched", log, [TUESDAY])
+    assert enriched(spark, root) == expected
+
+    run_enrich(spark, f"{root}/tables", f"{root}/eod", log, end_of_day=True)
+    eod = spark.read.parquet(f"{root}/eod")
+    assert values(eod, "trade_dt", "latest_trade_pr", "close_pr") == [
+        (MONDAY, None, 20.0), (TUESDAY, None, 31.0),
+    ]
+    statuses = spark.read.parquet(log).groupBy("job_name", "status").count()
+    assert ("AnalyticalETL", "success", 3) in values(statuses, "job_name", "status", "count")
+
+
+def test_a_failing_job_is_logged_and_fails(spark, tmp_path):
+    with pytest.raises(Exception):
+        run_load(spark, f"{tmp_path}/nothing", f"{tmp_path}/tables", f"{tmp_path}/log")
+    rows = RunLog(spark, f"{tmp_path}/log").rows()
+    assert {r["status"] for r in rows.collect()} == {"starting", "running", "failed"}
+    failed = rows.where("status = 'failed'").first()
+    assert "nothing" in failed["error"]
+    assert RunLog(spark, f"{tmp_path}/log").status_of(failed["job_id"]) == "failed"
+
+
+def test_write_replaces_only_its_own_partitions(spark, tmp_path):
+    path = f"{tmp_path}/t"
+
+    def write(rows):
+        write_partitioned(spark.createDataFrame(rows, "d string, v int"), path, ["d"])
+
+    write([("a", 1), ("a", 2), ("b", 3)])
+    write([("b", 4)])
+    assert values(spark.read.parquet(path), "d", "v") == [("a", 1), ("a", 2), ("b", 4)]
+
+
+def test_staged_tables_go_to_the_folder_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert shared_folder(spark) == named.rstrip("/")
+    staged = stage(spark.range(5).selectExpr("id", "id AS same"), "numbers")
+    assert staged.count() == 5
+    assert all(shared_folder(spark) in path for path in staged.inputFiles())
