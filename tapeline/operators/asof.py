@@ -10,7 +10,9 @@ from tapeline.functions.joins import join_back
 from tapeline.operators.moving_average import tick_averages
 from tapeline.schemas import DAY_GROUP_KEY, DAY_SYMBOL_KEY
 
-# a stretch of time is cut into seconds, and the seconds into days
+# Time is cut into seconds.  Without the trade date among the keys, the seconds
+# are cut into days as well; with it, they are at most a day's.
+_CELLS_OF_A_DAY = (1,)
 _CELLS = (1, DAY_SECONDS)
 
 
@@ -99,15 +101,14 @@ def fill_asof(
     before the quote.  Each value is filled on its own, past points where it is
     NULL, and is NULL before the first one.
     """
-    marked = points.select(*keys, time, *values, F.lit(False).alias("__asked")).unionByName(
-        quotes.select(*keys, time, F.lit(True).alias("__asked")), allowMissingColumns=True
-    )
     times = (
-        marked.where(F.col(time).isNotNull())
+        points.select(*keys, time, *values)
+        .unionByName(quotes.select(*keys, time), allowMissingColumns=True)
+        .where(F.col(time).isNotNull())
         .groupBy(*keys, time)
-        .agg(*[F.max(v).alias(v) for v in values], F.max("__asked").alias("__asked"))
+        .agg(*[F.max(v).alias(v) for v in values])
     )
     position = epoch_second(F.col(time).cast("timestamp_ntz"))
-    filled = _last_known(times, keys, time, position, values, _CELLS, upto=0)
-    asked = filled.where("__asked").drop("__asked")
-    return join_back(quotes, asked, [*keys, time])
+    widths = _CELLS_OF_A_DAY if "trade_dt" in keys else _CELLS
+    filled = _last_known(times, keys, time, position, values, widths, upto=0)
+    return join_back(quotes, filled, [*keys, time])

@@ -50,11 +50,14 @@ def _running(keys: Sequence[str]):
 
 
 def _carried_in(ticks: DataFrame, keys: Sequence[str], length: int, width: int) -> DataFrame:
-    """For each cell, the sum over the cells in ``[cell - length, cell)``."""
-    cells = (
-        ticks.where(F.col("cell").isNotNull())
-        .groupBy(*keys, F.col("cell").alias("start"))
-        .agg(F.sum("total").cast(PRICE_SUM).alias("total"), F.sum("n").alias("n"))
+    """For each cell, the sum over the cells in ``[cell - length, cell)``.
+
+    Ticks without a time are left out at the end: leaving them out at the start
+    would make this a second computation of ``ticks`` in place of a second
+    reader of the same shuffle.
+    """
+    cells = ticks.groupBy(*keys, F.col("cell").alias("start")).agg(
+        F.sum("total").cast(PRICE_SUM).alias("total"), F.sum("n").alias("n")
     )
     start, nowhere = F.col("start"), F.lit(None).cast("bigint")
     block = cell_start(start, length)
@@ -74,7 +77,7 @@ def _carried_in(ticks: DataFrame, keys: Sequence[str], length: int, width: int)
     return (
         entries.withColumn("total_to", F.sum("total").over(before) - F.col("total"))
         .withColumn("n_to", F.sum("n").over(before) - F.col("n"))
-        .where((F.col("kind") == _OWN) & (F.col("n_to") > 0))
+        .where((F.col("kind") == _OWN) & (F.col("n_to") > 0) & F.col("position").isNotNull())
         .select(
             *keys,
             F.col("position").alias("cell"),
