@@ -1,0 +1,128 @@
+"""What the plans must look like for the work to hold at any size."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.queries import QUERIES
+from tables import DAY, at
+from tapeline.operators.asof import fill_asof, trade_points
+from tapeline.operators.corrections import annotate_latest, keep_latest
+from tapeline.operators.enrichment import fill_latest_eod, join_close
+from tapeline.operators.moving_average import moving_average
+from tapeline.sources.staging import stage
+from tapeline.sources.tables import on_dates, read_daily, read_events, write_partitioned
+
+SF_DIR = "/root/testdata/sf0.001"
+SMALL_SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+}
+
+
+def physical(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(rows):
+    """The plan as adaptive execution ended up with it."""
+    rows._jdf.collectToPython()
+    return physical(rows).split("== Initial Plan ==")[0]
+
+
+def hot_trades(spark, n=120_000):
+    """A third of the rows are copies of one event; the rest are spread."""
+    hot = F.col("id") % 3 == 0
+    start = F.lit(at("10:00:00")).cast("timestamp_ntz")
+    second = F.when(hot, 0).otherwise(F.col("id") % 10_000)
+    return spark.range(0, n, 1, 16).select(
+        F.lit(DAY).cast("date").alias("trade_dt"),
+        F.when(hot, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 50)).alias("symbol"),
+        F.lit("N").alias("exchange"),
+        (start + F.make_dt_interval(secs=second)).alias("event_tm"),
+        F.when(hot, 0).otherwise(F.col("id")).alias("event_seq_nb"),
+        (start + F.make_dt_interval(secs=F.col("id"))).alias("arrival_tm"),
+        F.col("id").cast("decimal(18,4)").alias("trade_pr"),
+    )
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_no_python_in_the_executors(spark, name):
+    plan = physical(QUERIES[name](spark, SF_DIR))
+    assert not re.search(r"Python|InPandas|InArrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_hot_event_is_split_when_annotated(spark, settings):
+    settings(SMALL_SKEW)
+    assert "SortMergeJoin(skew=true)" in final_plan(annotate_latest(hot_trades(spark)))
+
+
+def test_hot_time_is_split_when_averages_are_joined_back(spark, settings):
+    settings(SMALL_SKEW)
+    assert "SortMergeJoin(skew=true)" in final_plan(moving_average(hot_trades(spark)))
+
+
+def test_hot_time_is_split_when_fills_are_joined_back(spark, settings):
+    settings(SMALL_SKEW)
+    rows = hot_trades(spark)
+    assert "SortMergeJoin(skew=true)" in final_plan(fill_asof(rows.drop("trade_pr"), trade_points(rows)))
+
+
+def test_hot_group_is_split_when_filled_from_the_end_of_day(spark, settings):
+    settings(SMALL_SKEW)
+    combined = hot_trades(spark).select(
+        "*", F.lit(1.0).alias("mov_avg_pr"), F.lit(1).alias("ask_size")
+    )
+    assert "SortMergeJoin(skew=true)" in final_plan(fill_latest_eod(combined))
+
+
+def test_copies_are_cut_down_before_the_shuffle(spark):
+    plan = physical(keep_latest(hot_trades(spark)))
+    partial, final = plan.index("Partial"), plan.index("Final")
+    assert final < plan.index("Exchange") < partial
+
+
+def test_average_windows_are_within_cells(spark):
+    plan = physical(moving_average(hot_trades(spark)))
+    windows = re.findall(r"windowspecdefinition\(([^)]*?) ASC", plan)
+    assert windows and all("cell#" in window for window in windows)
+
+
+def test_ticks_are_computed_once_for_both_levels(spark):
+    found = final_plan(moving_average(stage(hot_trades(spark, 3000), "trade")))
+    assert "ReusedExchange" in found
+    # one scan for the ticks and one for the rows the averages go back to
+    assert found.count("FileScan") == 2
+
+
+@pytest.mark.parametrize("threshold,join", [("10m", "BroadcastHashJoin"), ("1k", "SortMergeJoin")])
+def test_closes_are_broadcast_only_when_small(spark, settings, threshold, join):
+    settings({"spark.sql.autoBroadcastJoinThreshold": threshold})
+    rows = hot_trades(spark, 3000)
+    closes = stage(rows.select("trade_dt", "symbol", "exchange", F.lit(1).alias("close_pr")), "c")
+    assert join in physical(join_close(rows, closes))
+
+
+def test_stored_tables_are_pruned(spark, tmp_path):
+    events = spark.createDataFrame(
+        [(DAY, "T", "A", "1"), (DAY, "Q", "A", "2")],
+        "src_date string, partition string, symbol string, trade_pr string",
+    )
+    write_partitioned(events, f"{tmp_path}/events", ["src_date", "partition"])
+    plan = physical(read_events(spark, f"{tmp_path}/events", "T").select("symbol"))
+    assert re.search(r"PartitionFilters: \[.*partition#\d+ = T", plan)
+    assert "ReadSchema: struct<symbol:string>" in plan
+
+    write_partitioned(hot_trades(spark, 30), f"{tmp_path}/trade", ["trade_dt"])
+    plan = physical(read_daily(spark, f"{tmp_path}/trade", DAY).select("symbol"))
+    assert re.search(r"PartitionFilters: \[.*trade_dt#\d+ = ", plan)
+
+
+def test_date_filter_reaches_the_scan(spark, tmp_path):
+    hot_trades(spark, 30).write.parquet(f"{tmp_path}/t")
+    plan = physical(on_dates(spark.read.parquet(f"{tmp_path}/t"), DAY))
+    assert re.search(r"PushedFilters: \[.*EqualTo\(trade_dt", plan)
