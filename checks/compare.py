@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 from checks.oracle import ORACLE
 from checks.queries import registered
+from tapeline.settings import configured
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -56,7 +57,8 @@ def difference(spark: SparkSession, db, sf_dir: str, name: str) -> str | None:
 def main() -> None:
     sf_dir, *names = sys.argv[1:]
     spark = (
-        SparkSession.builder.master("local[8]")
+        configured(SparkSession.builder)
+        .master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

@@ -228,7 +228,7 @@ def filled_latest_eod(spark, sf_dir):
 
 def filled_asof(spark, sf_dir):
     points = trade_points(stage(_trades(spark, sf_dir), "trade"))
-    filled = fill_asof(annotated_quotes(spark, sf_dir), points)
+    filled = fill_asof(stage(annotated_quotes(spark, sf_dir), "quote"), points)
     return filled.withColumnRenamed("trade_pr", "latest_trade_pr")
 
 

@@ -5,6 +5,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tapeline.plans.jobs import run_enrich, run_ingest, run_load
+from tapeline.settings import configured
 
 
 def main() -> None:
@@ -30,7 +31,7 @@ def main() -> None:
     job.add_argument("--end-of-day", action="store_true")
 
     args = parser.parse_args()
-    spark = SparkSession.builder.appName(f"tapeline-{args.job}").getOrCreate()
+    spark = configured(SparkSession.builder).appName(f"tapeline-{args.job}").getOrCreate()
     if args.job == "ingest":
         run_ingest(spark, args.csv, args.json, args.events, args.log)
     elif args.job == "load":

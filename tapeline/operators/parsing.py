@@ -105,23 +105,30 @@ def parse_json(lines: DataFrame) -> DataFrame:
     The line is parsed as the only element of an array, so that text after the
     object makes it bad rather than being passed over.
     """
-    names = sorted({name for layout in _JSON_FIELDS.values() for name in layout.values()})
+    needed = {
+        name: [*layout.values(), *_JSON_ALSO_NEEDED[name]]
+        for name, layout in _JSON_FIELDS.items()
+    }
+    names = sorted({field for fields in needed.values() for field in fields})
     parsed = F.from_json(
         F.concat(F.lit("["), F.col("raw_line"), F.lit("]")),
         "array<struct<" + ",".join(f"{name}:string" for name in names) + ">>",
         {"allowSingleQuotes": "false"},
     )
-    message, present = F.col("__message"), F.col("__present")
+    message = F.col("__message")
     kind = F.lit(BAD)
-    for name, layout in _JSON_FIELDS.items():
-        needed = [*layout.values(), *_JSON_ALSO_NEEDED[name]]
-        complete = reduce(and_, [F.array_contains(present, field) for field in needed])
-        right_type = message["event_type"] == name
-        kind = F.when(right_type & complete, F.lit(name)).otherwise(kind)
+    for name, fields in needed.items():
+        all_set = reduce(and_, [message[field].isNotNull() for field in fields])
+        # only a line with a NULL is looked at again, for the names it holds
+        missing = F.array_except(
+            F.array(*[F.lit(field) for field in fields]), F.json_object_keys("raw_line")
+        )
+        complete = all_set | (F.size(missing) == 0)
+        kind = F.when((message["event_type"] == name) & complete, F.lit(name)).otherwise(kind)
     return _common_event(
-        lines.withColumn("__parsed", parsed)
-        .withColumn("__message", F.when(F.size("__parsed") == 1, F.get("__parsed", F.lit(0))))
-        .withColumn("__present", F.json_object_keys("raw_line")),
+        lines.withColumn("__parsed", parsed).withColumn(
+            "__message", F.when(F.size("__parsed") == 1, F.get("__parsed", F.lit(0)))
+        ),
         kind,
         _JSON_FIELDS,
         lambda name: message[name],

@@ -6,11 +6,14 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from tapeline.settings import configured  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[8]")
+        configured(SparkSession.builder)
+        .master("local[8]")
         .appName("tapeline-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
