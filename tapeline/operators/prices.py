@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeline.functions.joins import join_back
 from tapeline.schemas import DAY_GROUP_KEY, GROUP_KEY
 
 
@@ -42,9 +43,8 @@ def last_price_literal(trades: DataFrame) -> DataFrame:
         .groupBy("trade_dt", F.col("last_event_tm").alias("event_tm"))
         .agg(F.count("*").cast("int").alias("n_groups"))
     )
-    matched = trades.select(*DAY_GROUP_KEY, "event_tm", "trade_pr").join(
-        times, ["trade_dt", "event_tm"]
-    )
+    rows = trades.select(*DAY_GROUP_KEY, "event_tm", "trade_pr")
+    matched = join_back(rows, times, ["trade_dt", "event_tm"], how="inner")
     return matched.withColumn("copy", F.explode(F.sequence(F.lit(1), "n_groups"))).select(
         *DAY_GROUP_KEY, F.col("trade_pr").alias("close_pr")
     )

@@ -4,7 +4,7 @@ The functions that return a DataFrame are lazy; the ``run_*`` functions read
 and write the stored tables and log their status.
 """
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +95,10 @@ def enrich_quotes_eod(
     return join_close(filled, stage(last_price(trades), "close")).select(*ENRICHED_COLUMNS)
 
 
+def _one_day(dates: Sequence[str] | str | None) -> bool:
+    return isinstance(dates, str) or (dates is not None and len(dates) == 1)
+
+
 def run_ingest(
     spark: SparkSession,
     csv_paths: str | Sequence[str],
@@ -102,11 +106,14 @@ def run_ingest(
     events_path: str,
     log_path: str,
 ) -> None:
-    """Ingest message files into the event table, by file date and record type."""
+    """Ingest message files into the event table, by file date and record type.
+
+    A task reads a stretch of one file, or a few small files, so it holds few
+    partitions and writes them without a shuffle.
+    """
     with RunLog(spark, log_path).job("DataIngestion"):
-        write_partitioned(
-            ingest(spark, csv_paths, json_paths), events_path, ["src_date", "partition"]
-        )
+        events = ingest(spark, csv_paths, json_paths)
+        write_partitioned(events, events_path, ["src_date", "partition"], gather=False)
 
 
 def run_load(
@@ -114,7 +121,7 @@ def run_load(
     events_path: str,
     tables_path: str,
     log_path: str,
-    dates: Iterable[str] | str | None = None,
+    dates: Sequence[str] | str | None = None,
     files_since: str | None = None,
 ) -> None:
     """Rebuild the daily ``trade``, ``quote``, ``close`` and ``rejected_*`` tables.
@@ -132,7 +139,9 @@ def run_load(
             if files_since is not None:
                 events = events.where(F.col("src_date") >= F.lit(files_since).cast("date"))
             latest = keep_latest(on_dates(typed_rows(events, types), dates))
-            write_partitioned(latest, f"{tables_path}/{name}", ["trade_dt"])
+            write_partitioned(
+                latest, f"{tables_path}/{name}", ["trade_dt"], gather=not _one_day(dates)
+            )
             rejected = rejected_rows(events, types, "src_date")
             write_partitioned(rejected, f"{tables_path}/rejected_{name}", ["src_date"])
         trades = read_daily(spark, f"{tables_path}/trade", dates)
@@ -144,7 +153,7 @@ def run_enrich(
     tables_path: str,
     output_path: str,
     log_path: str,
-    dates: Iterable[str] | str | None = None,
+    dates: Sequence[str] | str | None = None,
     end_of_day: bool = False,
 ) -> None:
     """Write the enriched quotes of the given trade dates.
@@ -160,4 +169,4 @@ def run_enrich(
         else:
             closes = read_daily(spark, f"{tables_path}/close")
             enriched = enrich_quotes(trades, quotes, closes)
-        write_partitioned(enriched, output_path, ["trade_dt"])
+        write_partitioned(enriched, output_path, ["trade_dt"], gather=not _one_day(dates))

@@ -1,21 +1,27 @@
 """Partitioned Parquet tables: the event table and the daily tables."""
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_partitioned(rows: DataFrame, path: str, by: Sequence[str]) -> None:
+def write_partitioned(
+    rows: DataFrame, path: str, by: Sequence[str], gather: bool = True
+) -> None:
     """Replace exactly the partitions that ``rows`` holds.
 
     One write for the whole input: a second overwrite of the same folder would
-    remove what the first one wrote.  The rebalance hint gathers a partition's
-    rows into few files and lets AQE split a partition that is too big for one
-    task.
+    remove what the first one wrote.  A stored partition that ``rows`` has no
+    row of stays as it is.
+
+    ``gather`` shuffles each partition's rows into few files, and AQE splits a
+    partition that is too big for one task.  Leave it off where the tasks hold
+    few partitions each anyway, as when all rows are of one day: the shuffle
+    would move everything for nothing.
     """
     (
-        rows.hint("rebalance", *by)
+        (rows.hint("rebalance", *by) if gather else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
@@ -28,7 +34,9 @@ def read_events(spark: SparkSession, path: str, record_type: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("partition") == record_type)
 
 
-def on_dates(rows: DataFrame, dates: Iterable[str] | str | None, column: str = "trade_dt"):
+def on_dates(
+    rows: DataFrame, dates: Sequence[str] | str | None, column: str = "trade_dt"
+) -> DataFrame:
     """Rows of the given trade dates (F1, S8); ``None`` keeps every date."""
     if dates is None:
         return rows
@@ -37,7 +45,7 @@ def on_dates(rows: DataFrame, dates: Iterable[str] | str | None, column: str = "
 
 
 def read_daily(
-    spark: SparkSession, path: str, dates: Iterable[str] | str | None = None
+    spark: SparkSession, path: str, dates: Sequence[str] | str | None = None
 ) -> DataFrame:
     """A daily table, pruned to the folders of the given trade dates."""
     return on_dates(spark.read.parquet(path), dates)

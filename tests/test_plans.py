@@ -11,6 +11,7 @@ from tapeline.operators.asof import fill_asof, trade_points
 from tapeline.operators.corrections import annotate_latest, keep_latest
 from tapeline.operators.enrichment import fill_latest_eod, join_close
 from tapeline.operators.moving_average import moving_average
+from tapeline.operators.prices import last_price, last_price_literal
 from tapeline.sources.staging import stage
 from tapeline.sources.tables import on_dates, read_daily, read_events, write_partitioned
 
@@ -80,6 +81,28 @@ def test_hot_group_is_split_when_filled_from_the_end_of_day(spark, settings):
     assert "SortMergeJoin(skew=true)" in final_plan(fill_latest_eod(combined))
 
 
+def test_hot_time_is_split_in_the_literal_close(spark, settings):
+    settings(SMALL_SKEW)
+    assert "SortMergeJoin(skew=true)" in final_plan(last_price_literal(hot_trades(spark)))
+
+
+def test_hot_group_is_split_when_closes_are_too_big_to_broadcast(spark, settings):
+    settings(SMALL_SKEW)
+    rows = hot_trades(spark)
+    closes = stage(last_price(rows), "close")
+    assert "SortMergeJoin(skew=true)" in final_plan(join_close(rows, closes))
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, settings, tmp_path):
+    # less than the hot symbol's rows, more than those of other symbols' tasks
+    settings({"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k"})
+    write_partitioned(hot_trades(spark), f"{tmp_path}/t", ["symbol"])
+    files = {f.name: len(list(f.glob("*.parquet"))) for f in tmp_path.glob("t/symbol=*")}
+    hot = files.pop("symbol=HOT")
+    assert hot > 1
+    assert sorted(files.values())[len(files) // 2] == 1
+
+
 def test_copies_are_cut_down_before_the_shuffle(spark):
     plan = physical(keep_latest(hot_trades(spark)))
     partial, final = plan.index("Partial"), plan.index("Final")
