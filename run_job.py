@@ -17,6 +17,7 @@ def main() -> None:
     job.add_argument("--csv", nargs="+", required=True)
     job.add_argument("--json", nargs="+", required=True)
     job.add_argument("--events", required=True)
+    job.add_argument("--bad", help="path for the text of bad lines")
 
     job = jobs.add_parser("load", help="event table to daily trade and quote tables")
     job.add_argument("--events", required=True)
@@ -29,15 +30,26 @@ def main() -> None:
     job.add_argument("--output", required=True)
     job.add_argument("--dates", nargs="+", help="trade dates to write, default all")
     job.add_argument("--end-of-day", action="store_true")
+    job.add_argument("--calendar-day", action="store_true")
+    job.add_argument("--bid-price", action="store_true")
 
     args = parser.parse_args()
     spark = configured(SparkSession.builder).appName(f"tapeline-{args.job}").getOrCreate()
     if args.job == "ingest":
-        run_ingest(spark, args.csv, args.json, args.events, args.log)
+        run_ingest(spark, args.csv, args.json, args.events, args.log, args.bad)
     elif args.job == "load":
         run_load(spark, args.events, args.tables, args.log, args.dates, args.files_since)
     else:
-        run_enrich(spark, args.tables, args.output, args.log, args.dates, args.end_of_day)
+        run_enrich(
+            spark,
+            args.tables,
+            args.output,
+            args.log,
+            args.dates,
+            args.end_of_day,
+            args.calendar_day,
+            args.bid_price,
+        )
 
 
 if __name__ == "__main__":

@@ -147,12 +147,12 @@ def all_events(csv_lines: DataFrame, json_lines: DataFrame, *extra: str) -> Data
     )
 
 
-def bad_records(csv_lines: DataFrame, json_lines: DataFrame) -> DataFrame:
+def bad_records(csv_lines: DataFrame, json_lines: DataFrame, *extra: str) -> DataFrame:
     """Text of the lines that went to partition ``B``, with their format."""
-    bad = F.col("partition") == BAD
-    sources = {"csv": parse_csv(csv_lines), "json": parse_json(json_lines)}
-    found = [
-        parsed.where(bad).select(F.lit(name).alias("source"), "raw_line")
-        for name, parsed in sources.items()
-    ]
-    return found[0].unionByName(found[1])
+
+    def bad(parsed: DataFrame, source: str) -> DataFrame:
+        return parsed.where(F.col("partition") == BAD).select(
+            *extra, F.lit(source).alias("source"), "raw_line"
+        )
+
+    return bad(parse_csv(csv_lines), "csv").unionByName(bad(parse_json(json_lines), "json"))

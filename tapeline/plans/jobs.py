@@ -19,7 +19,7 @@ from tapeline.operators.corrections import (
 )
 from tapeline.operators.enrichment import combine, fill_latest_eod, filter_quotes, join_close
 from tapeline.operators.moving_average import moving_average
-from tapeline.operators.parsing import all_events
+from tapeline.operators.parsing import all_events, bad_records
 from tapeline.operators.prices import last_price, prev_close
 from tapeline.plans.runlog import RunLog
 from tapeline.schemas import (
@@ -105,15 +105,20 @@ def run_ingest(
     json_paths: str | Sequence[str],
     events_path: str,
     log_path: str,
+    bad_path: str | None = None,
 ) -> None:
     """Ingest message files into the event table, by file date and record type.
 
     A task reads a stretch of one file, or a few small files, so it holds few
-    partitions and writes them without a shuffle.
+    partitions and writes them without a shuffle.  Bad rows have no fields in
+    the event table; ``bad_path`` keeps the text of their lines.
     """
     with RunLog(spark, log_path).job("DataIngestion"):
         events = ingest(spark, csv_paths, json_paths)
         write_partitioned(events, events_path, ["src_date", "partition"], gather=False)
+        if bad_path is not None:
+            lines = read_lines(spark, csv_paths), read_lines(spark, json_paths)
+            write_partitioned(bad_records(*lines, "src_date"), bad_path, ["src_date"])
 
 
 def run_load(
@@ -155,11 +160,14 @@ def run_enrich(
     log_path: str,
     dates: Sequence[str] | str | None = None,
     end_of_day: bool = False,
+    calendar_day: bool = False,
+    include_bid_pr: bool = False,
 ) -> None:
     """Write the enriched quotes of the given trade dates.
 
     Trades and quotes are read for those dates only; earlier closing prices
-    come from the small ``close`` table.
+    come from the small ``close`` table.  ``end_of_day`` writes the form of
+    :func:`enrich_quotes_eod`, to which the later options do not apply.
     """
     with RunLog(spark, log_path).job("AnalyticalETL"):
         trades = read_daily(spark, f"{tables_path}/trade", dates)
@@ -168,5 +176,11 @@ def run_enrich(
             enriched = enrich_quotes_eod(trades, quotes)
         else:
             closes = read_daily(spark, f"{tables_path}/close")
-            enriched = enrich_quotes(trades, quotes, closes)
+            enriched = enrich_quotes(
+                trades,
+                quotes,
+                closes,
+                calendar_day=calendar_day,
+                include_bid_pr=include_bid_pr,
+            )
         write_partitioned(enriched, output_path, ["trade_dt"], gather=not _one_day(dates))

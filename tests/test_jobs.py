@@ -66,6 +66,16 @@ def root(tmp_path):
     return tmp_path
 
 
+def test_text_of_bad_lines_is_kept_where_wanted(spark, root):
+    data = f"{root}/data"
+    run_ingest(
+        spark, f"{data}/csv", f"{data}/json", f"{root}/events", f"{root}/log", f"{root}/bad"
+    )
+    assert values(spark.read.parquet(f"{root}/bad"), "src_date", "source", "raw_line") == [
+        (MONDAY, "csv", "junk"), (MONDAY, "json", "{oops"),
+    ]
+
+
 def ingest(spark, root, date="*"):
     run_ingest(
         spark,

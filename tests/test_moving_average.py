@@ -60,6 +60,16 @@ def test_cell_must_divide_the_length(spark):
         moving_average(trades(spark, FIXTURE), 100, cell_seconds=60)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_session_zone_does_not_matter(spark, settings, zone):
+    """On this day New York has no time between two and three o'clock."""
+    settings({"spark.sql.session.timeZone": zone})
+    times = ["01:45:00", "02:10:00", "02:20:00", "03:05:00"]
+    rows = [("A", "N", t, i, str(i), t, "2020-03-08") for i, t in enumerate(times)]
+    found = moving_average(trades(spark, rows))
+    assert values(found, "event_seq_nb", "mov_avg_pr") == [(0, 0.0), (1, 0.5), (2, 1.5), (3, 3.0)]
+
+
 def brute_force(ticks, length):
     """Average of [t - length, t] for each (symbol, time, seq, price)."""
     found = []
