@@ -154,7 +154,7 @@ def moving_average(
     """``trades`` with ``mov_avg_pr``, the average over the trailing length.
 
     By default one average runs over all exchanges of a symbol; name the
-    exchange in ``keys`` for one per exchange.
+    exchange in ``keys`` for one per exchange.  Prices count as DECIMAL(18,4).
     """
     averages = tick_averages(trades, length_seconds, keys, time, price, cell_seconds)
     return join_back(trades, averages, [*keys, time], null_safe=True)

@@ -113,7 +113,7 @@ def run_ingest(
     partitions and writes them without a shuffle.  Bad rows have no fields in
     the event table; ``bad_path`` keeps the text of their lines.
     """
-    with RunLog(spark, log_path).job("DataIngestion"):
+    with RunLog(spark, log_path).job("ingest"):
         events = ingest(spark, csv_paths, json_paths)
         write_partitioned(events, events_path, ["src_date", "partition"], gather=False)
         if bad_path is not None:
@@ -135,7 +135,7 @@ def run_load(
     files, so a date is always built from all files that may hold it: those
     from the file date ``files_since`` on, or every file.
     """
-    with RunLog(spark, log_path).job("DataLoad"):
+    with RunLog(spark, log_path).job("load"):
         for record_type, name, types in (
             (TRADE, "trade", TRADE_TYPES),
             (QUOTE, "quote", QUOTE_TYPES),
@@ -169,7 +169,7 @@ def run_enrich(
     come from the small ``close`` table.  ``end_of_day`` writes the form of
     :func:`enrich_quotes_eod`, to which the later options do not apply.
     """
-    with RunLog(spark, log_path).job("AnalyticalETL"):
+    with RunLog(spark, log_path).job("enrich"):
         trades = read_daily(spark, f"{tables_path}/trade", dates)
         quotes = read_daily(spark, f"{tables_path}/quote", dates)
         if end_of_day:

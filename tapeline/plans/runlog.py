@@ -17,7 +17,7 @@ _logger = logging.getLogger(__name__)
 
 
 def job_id(job_name: Column, ts: Column) -> Column:
-    """Job name and run date, as in ``DataLoad-2020-08-05``."""
+    """Job name and run date, as in ``load-2020-08-05``."""
     return F.concat_ws("-", job_name, F.date_format(ts, "yyyy-MM-dd"))
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import types as T
 
 # The all-text event table that ingestion writes, one row per message line.
+# Its column names and their order are fixed values.
 COMMON_COLUMNS = (
     "trade_dt",
     "rec_type",

@@ -1,6 +1,8 @@
 """Session settings the jobs are meant to run with.
 
-Partition counts and memory belong to the cluster and are not set here.
+Partition counts and memory belong to the cluster and are not set here: choose
+``spark.sql.shuffle.partitions`` for partitions of 100 to 200 MB of the largest
+shuffle (the quotes of a run), and AQE gathers those of the smaller ones.
 """
 
 from pyspark.sql import SparkSession

@@ -37,7 +37,7 @@ def format_glob(root: str, message_format: str, date: str = "*", exchange: str =
 
 
 def source_files(spark: SparkSession, root: str, message_format: str) -> DataFrame:
-    """Line count of every message file of one format (S3)."""
+    """Line count of every message file of one format that has lines (S3)."""
     lines = spark.read.option("recursiveFileLookup", "true").text(
         format_glob(root, message_format)
     )

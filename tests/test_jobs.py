@@ -156,7 +156,24 @@ def test_the_three_jobs(spark, root):
         (MONDAY, None, 20.0), (TUESDAY, None, 31.0),
     ]
     statuses = spark.read.parquet(log).groupBy("job_name", "status").count()
-    assert ("AnalyticalETL", "success", 3) in values(statuses, "job_name", "status", "count")
+    assert ("enrich", "success", 3) in values(statuses, "job_name", "status", "count")
+
+
+def test_the_command_line(spark, root, monkeypatch):
+    import run_job
+
+    def run(*words):
+        monkeypatch.setattr("sys.argv", ["run_job.py", "--log", f"{root}/log", *words])
+        run_job.main()
+
+    data, events, tables = f"{root}/data", f"{root}/events", f"{root}/tables"
+    run("ingest", "--csv", f"{data}/csv", "--json", f"{data}/json", "--events", events)
+    run("load", "--events", events, "--tables", tables, "--dates", MONDAY, TUESDAY)
+    run("enrich", "--tables", tables, "--output", f"{root}/out", "--dates", TUESDAY, "--bid-price")
+    found = spark.read.parquet(f"{root}/out")
+    assert values(found, "trade_dt", "latest_trade_pr", "close_pr", "bid_pr") == [
+        (TUESDAY, 31.0, 20.0, 9.9)
+    ]
 
 
 def test_a_failing_job_is_logged_and_fails(spark, tmp_path):

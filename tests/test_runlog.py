@@ -24,19 +24,19 @@ def test_latest_status_is_by_time_not_by_row_order(spark):
 
 def test_job_records_its_states(spark, tmp_path):
     log = RunLog(spark, f"{tmp_path}/log")
-    with log.job("DataLoad"):
+    with log.job("load"):
         pass
     with pytest.raises(ZeroDivisionError):
         with log.job("Other"):
             raise ZeroDivisionError("no luck")
     rows = log.rows().orderBy("ts").collect()
     assert [(r["job_name"], r["status"], r["error"]) for r in rows] == [
-        ("DataLoad", "starting", None), ("DataLoad", "running", None), ("DataLoad", "success", None),
+        ("load", "starting", None), ("load", "running", None), ("load", "success", None),
         ("Other", "starting", None), ("Other", "running", None), ("Other", "failed", "no luck"),
     ]
     assert len({r["row_key"] for r in rows}) == 6
     job_id = rows[0]["job_id"]
-    assert job_id == f"DataLoad-{rows[0]['ts']:%Y-%m-%d}"
+    assert job_id == f"load-{rows[0]['ts']:%Y-%m-%d}"
     assert log.status_of(job_id) == "success"
     assert log.status_of("unknown") is None
 
@@ -44,6 +44,6 @@ def test_job_records_its_states(spark, tmp_path):
 def test_trouble_with_the_log_does_not_fail_the_job(spark, tmp_path):
     (tmp_path / "file").write_text("not a folder")
     done = []
-    with RunLog(spark, f"{tmp_path}/file/log").job("DataLoad"):
+    with RunLog(spark, f"{tmp_path}/file/log").job("load"):
         done.append(1)
     assert done == [1]
