@@ -25,12 +25,15 @@ def join_back(
     extra shuffle costs little beside the detail side.
     """
     names = {key: f"__{key}" for key in keys}
-    right = per_key.withColumnsRenamed(names).withColumn(
-        "__digest", F.xxhash64(*[F.col(name) for name in names.values()])
+    values = [c for c in per_key.columns if c not in keys]
+    right = per_key.select(
+        *[F.col(key).alias(name) for key, name in names.items()],
+        *values,
+        F.xxhash64(*keys).alias("__digest"),
     )
     same = [
         F.col(key).eqNullSafe(F.col(name)) if null_safe else F.col(key) == F.col(name)
         for key, name in names.items()
     ]
     on = reduce(and_, same, F.xxhash64(*keys) == F.col("__digest"))
-    return detail.join(right, on, how).drop("__digest", *names.values())
+    return detail.join(right, on, how).select(*detail.columns, *values)

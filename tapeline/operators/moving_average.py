@@ -63,20 +63,24 @@ def _carried_in(ticks: DataFrame, keys: Sequence[str], length: int, width: int)
     block = cell_start(start, length)
     # A cell counts in its own block from its place on, and in the next block
     # from the beginning until the length has passed.
-    entries = cells.withColumn(
-        "entry",
-        F.explode(
+    entries = cells.select(
+        *keys,
+        F.inline(
             F.array(
                 _entry(block, start, _OWN, 1),
                 _entry(block + length, nowhere, _CARRIED, 1),
                 _entry(block + length, start + length, _LEAVING, -1),
             )
         ),
-    ).select(*keys, "entry.*")
-    before = _running(keys)
+    )
+    running = _running(keys)
     return (
-        entries.withColumn("total_to", F.sum("total").over(before) - F.col("total"))
-        .withColumn("n_to", F.sum("n").over(before) - F.col("n"))
+        entries.withColumns(
+            {
+                "total_to": F.sum("total").over(running) - F.col("total"),
+                "n_to": F.sum("n").over(running) - F.col("n"),
+            }
+        )
         .where((F.col("kind") == _OWN) & (F.col("n_to") > 0) & F.col("position").isNotNull())
         .select(
             *keys,
@@ -105,10 +109,9 @@ def tick_averages(
     ticks = (
         trades.groupBy(*keys, F.col(time).cast("timestamp_ntz").alias("position"))
         .agg(
-            F.sum(F.col(price).cast(PRICE)).cast(PRICE_SUM).alias("total"),
+            F.coalesce(F.sum(F.col(price).cast(PRICE)), F.lit(0)).cast(PRICE_SUM).alias("total"),
             F.count(price).alias("n"),
         )
-        .withColumn("total", F.coalesce("total", F.lit(0).cast(PRICE_SUM)))
         .withColumn("cell", cell_start(epoch_second(position), cell_seconds))
     )
     cell = F.col("cell")
@@ -120,18 +123,16 @@ def tick_averages(
         -1,
     )
     carried = _carried_in(ticks, keys, length_seconds, cell_seconds).select(
-        *keys,
-        _entry(cell, F.lit(None).cast("timestamp_ntz"), _CARRIED, 1).alias("entry"),
+        *keys, F.inline(F.array(_entry(cell, F.lit(None).cast("timestamp_ntz"), _CARRIED, 1)))
     )
     entries = ticks.select(
-        *keys, F.explode(F.when(cell.isNull(), F.array(own)).otherwise(F.array(own, leaving)))
-        .alias("entry")
+        *keys, F.inline(F.when(cell.isNull(), F.array(own)).otherwise(F.array(own, leaving)))
     ).unionByName(carried)
     frame = _running(keys)
     return (
-        entries.select(*keys, "entry.*")
-        .withColumn("frame_total", F.sum("total").over(frame))
-        .withColumn("frame_n", F.sum("n").over(frame))
+        entries.withColumns(
+            {"frame_total": F.sum("total").over(frame), "frame_n": F.sum("n").over(frame)}
+        )
         .where(F.col("kind") == _OWN)
         .select(
             *keys,
