@@ -55,7 +55,8 @@ def _last_known(
         .orderBy(F.asc_nulls_first(order))
         .rowsBetween(Window.unboundedPreceding, upto)
     )
-    return entries.withColumns(last_in(within)).where(~F.col("__carried")).drop(cell, "__carried")
+    known = entries.withColumns(last_in(within)).where(~F.col("__carried"))
+    return known.drop(cell, "__carried")
 
 
 def last_at_time(

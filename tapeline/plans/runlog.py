@@ -47,7 +47,9 @@ class RunLog:
                 .parquet(self.path)
             )
         except Exception:
-            _logger.warning("run log %s: no row for %s %s", self.path, job_name, status, exc_info=True)
+            _logger.warning(
+                "run log %s: no row for %s %s", self.path, job_name, status, exc_info=True
+            )
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema(RUN_LOG_SCHEMA).parquet(self.path)
