@@ -79,8 +79,9 @@ def trade_points(
 ) -> DataFrame:
     """``trade_pr`` and ``mov_avg_pr`` per key and time, ready for :func:`fill_asof`.
 
-    ``trades`` holds one version of each event, see ``keep_latest``.  The average depends on nothing but its keys and the time, so it is joined
-    to these few columns and not to the trades.
+    ``trades`` holds one version of each event, see ``keep_latest``.  The average
+    depends on nothing but its keys and the time, so it is joined to these few
+    columns and not to the trades.
     """
     points = last_at_time(trades, keys, ["trade_pr"])
     averages = tick_averages(trades, length_seconds, average_keys)
