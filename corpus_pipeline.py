@@ -5,18 +5,20 @@ and read again as the ``docs`` of the next; all but the last return the columns
 documents. ``run`` applies them to the whole documents table.
 """
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeline.llm import packing, pii, quality, simhash, substrings
-from tapeline.llm.common import stage, table
+from tapeline.llm.common import fresh, stage, table
 from tapeline.llm.queries import PATTERN, VOCABULARY
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    judged = quality.quality_verdicts(docs, table(spark, sf_dir, "labels"))
-    return judged.filter("kept").select(docs.columns)
+    labels = table(spark, sf_dir, "labels")
+    return _with_own_names(docs, quality.RESULTS, lambda d: quality.quality_verdicts(d, labels).filter("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,13 +28,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in windows that start earlier in the corpus go; the layout of the rest stays."""
-    rest = substrings.without_repeats(docs, keep_layout=True)
-    return _measured(rest).select(docs.columns)
+    return _with_own_names(
+        docs, substrings.RESULTS, lambda d: _measured(substrings.without_repeats(d, keep_layout=True))
+    )
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Identifiers, plain or disguised, are replaced by their kind."""
-    return _measured(pii.masked(docs)).select(docs.columns)
+    return _measured(pii.masked(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,6 +43,13 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, VOCABULARY, PATTERN)
 
 
+def _with_own_names(docs: DataFrame, results: Sequence[str], function: Callable) -> DataFrame:
+    """``function(docs)`` with the columns of ``docs``, even those named like a result."""
+    names = {c: fresh(docs, f"_own_{c}") if c.lower() in results else c for c in docs.columns}
+    rows = function(docs.withColumnsRenamed(names))
+    return rows.select([F.col(name).alias(c) for c, name in names.items()])
+
+
 def _measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 

@@ -187,7 +187,7 @@ def spans(text: str | None) -> list[tuple[str, int, int, bool, str]]:
 
     Base spans are those of the text as it stands. Then the transducers run; what is
     found in their output and holds something they changed is mapped back to the
-    source range it came from, and added unless it meets a base span of its kind.
+    source range it came from, and added unless it lies within a base span of its kind.
     ``value`` is the text of a base span, else the normalised text.
     """
     if not text:
@@ -202,7 +202,7 @@ def spans(text: str | None) -> list[tuple[str, int, int, bool, str]]:
             start, end = int(mapped.start[a]), int(mapped.end[b - 1])
             value = mapped.text[a:b]
             base = (s for s in found if s[3] and s[0] == kind)
-            if text[start:end] != value and not any(s[1] < end and start < s[2] for s in base):
+            if text[start:end] != value and not any(s[1] <= start and end <= s[2] for s in base):
                 found.append((kind, start, end, False, value))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

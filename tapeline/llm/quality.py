@@ -18,6 +18,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: what is compared with a cutoff, each from 0 to 1000
 SHARES = ("symbol_share", "dup_line_share", "repeat_share", "upper_share")
+RESULTS = (*COUNTS, *SHARES, "base_failed", "kept")
 
 
 def _repeat_words(sorted_windows: str) -> Column:
@@ -199,7 +200,6 @@ def quality_verdicts(
     judged alike, an unlabelled stratum has no cutoffs, and an empty table gives an
     empty one. Columns named like a result are replaced.
     """
-    results = ("base_failed", "kept")
     counted = with_counts(docs, text_col)
     counted = stage(counted if keep_text else counted.drop(text_col), "counted")
     cutoffs = fit_cutoffs(counted, labels, id_col, stratum_col, **risk)
@@ -210,5 +210,5 @@ def quality_verdicts(
     failed = (F.col("n_words") < MIN_WORDS) | repeats
     over = [F.coalesce(F.col(s) > F.col(f"{stratum}_{s}"), F.lit(False)) for s in SHARES]
     rejected = over[0] | over[1] | over[2] | over[3]
-    names = [c for c in counted.columns if c.lower() not in results]
+    names = [c for c in counted.columns if c.lower() not in RESULTS[-2:]]
     return rows.select(*names, failed.alias("base_failed"), (~failed & ~rejected).alias("kept"))

@@ -19,6 +19,7 @@ BLOCK_SEGMENTS = 1 << 21
 #: common grams are counted in a bounded sample; they only decide where segments are cut
 SAMPLE_DOCS = 4_096
 COMMON_DOCS = 8
+RESULTS = ("n_words", "n_removed")
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -370,8 +371,7 @@ def without_repeats(
     Null texts have no words and stay null; rows that share an id are documents in order of
     text, and null ids come last. Columns named n_words or n_removed are replaced.
     """
-    results = ("n_words", "n_removed")
-    docs = docs.select(*[c for c in docs.columns if c.lower() not in results])
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in RESULTS])
     key, spans = fresh(docs, "_key"), fresh(docs, "_spans")
     keyed = with_key(docs, key, id_col, text_col)
     keyed = keyed.filter(F.col(key).isNotNull())
@@ -388,10 +388,10 @@ def without_repeats(
             columns = [batch.column(i) for i in range(len(names))]
             columns[at_text] = pa.array([d[0] for d in done], pa.string())
             counts = [pa.array([d[i] for d in done], pa.int64()) for i in (1, 2)]
-            yield pa.RecordBatch.from_arrays([*columns, *counts], [*names, *results])
+            yield pa.RecordBatch.from_arrays([*columns, *counts], [*names, *RESULTS])
 
     schema = keyed.schema
-    for name in results:
+    for name in RESULTS:
         schema = schema.add(name, "long")
     rows = keyed.join(removed, key, "left").select(*names, spans)
     return rows.mapInArrow(run, schema).drop(key)

@@ -199,7 +199,7 @@ def write_archives(
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if out is None:
                     name, size, count = f"{uuid.uuid4().hex}.warc.zst", 0, 0
-                    out = store.open_output_stream(f"{path}/{name}")
+                    out = store.open_output_stream(f"{path}/{name}", compression=None)
                     if dictionary:
                         out.write(struct.pack("<II", _DICTIONARY_FRAME, len(dictionary)) + dictionary)
                 data = compressor.compress(record(*row))
@@ -241,7 +241,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
         store, name = open_store(path)
         count = 0
         try:
-            with store.open_input_stream(name) as stream:
+            with store.open_input_stream(name, compression=None) as stream:
                 for data in frames(stream):
                     count += 1
                     try:
