@@ -1,0 +1,45 @@
+import base64
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from tapeline.llm import bpe
+from tapeline.llm.queries import PATTERN, RANKS
+
+from conftest_llm import SF_DIR
+
+
+@pytest.fixture(scope="module")
+def library():
+    lines = open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def check(docs, library, **sizes):
+    texts = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=repr)
+    encoded = bpe.encode(docs, RANKS, PATTERN, **sizes)
+    rows = sorted(bpe.decode(encoded, RANKS, PATTERN).collect(), key=lambda r: repr((r.doc_id, bytes(r.decoded).decode())))
+    assert [(r.doc_id, bytes(r.decoded).decode()) for r in rows] == texts
+    for row, (_, text) in zip(rows, texts, strict=True):
+        assert np.frombuffer(row.ids, "<u4").tolist() == library.encode_ordinary(text)
+
+
+def test_whole_table(spark, library):
+    check(spark.read.parquet(f"{SF_DIR}/documents.parquet"), library)
+
+
+def test_chunks_meet(docs_of, odd_texts, clashing, library):
+    chance = random.Random(2)
+    parts = ["a", "I'll ", "  ", "\n\n", "été", "字字", "123", " 7", "!?", "\t", " it's", "don't", "x" * 30, " " * 30]
+    texts = ["".join(chance.choice(parts) for _ in range(chance.randint(1, 200))) for _ in range(60)]
+    texts += ["z" * 500, " " * 500, "a" * 100 + " b" * 100, "<|endoftext|>" * 20, *odd_texts]
+    check(clashing(docs_of(texts)), library, chunk=64, overlap=16)
+
+
+def test_odd_rows(docs_of, library):
+    check(docs_of([(None, "a b"), (1, "c" * 40_000), (1, "c" * 40_000), (2, " \n" * 20_000)]), library)
+    assert bpe.decode(bpe.encode(docs_of([]), RANKS, PATTERN), RANKS, PATTERN).count() == 0

@@ -1,0 +1,88 @@
+import math
+import re
+
+from pyspark.sql import functions as F
+
+from tapeline.llm import quality
+
+from conftest_llm import SF_DIR
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def counts(text):
+    words = WORD.findall(text or "")
+    windows = {}
+    for at in range(len(words) - 7):
+        windows.setdefault(tuple(words[at : at + 8]), []).append(at)
+    covered = {at + i for found in windows.values() if len(found) > 1 for at in found for i in range(8)}
+    lines = [line for line in (text or "").split("\n") if WORD.search(line)]
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def base_failed(found):
+    return found[0] < 20 or 100 * found[4] > 30 * found[0]
+
+
+def test_counts_against_brute_force(spark, docs_of, odd_texts, clashing):
+    repeats = ["a b c d e f g h " * 3, "a " * 40, "x\ny\nx\n\n \nx", "|a| <b> $c$ " * 9, "a b c d e f g h i a b c d e f g h"]
+    texts = [*odd_texts, *repeats]
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    for docs in (clashing(docs_of(texts)), spark.read.parquet(f"{SF_DIR}/documents.parquet")):
+        rows = quality.quality_verdicts(docs, labels).collect()
+        assert len(rows) == docs.count()
+        for row in rows:
+            found = counts(row.text)
+            assert tuple(row[c] for c in quality.COUNTS) == found
+            assert row.base_failed == base_failed(found) and row.kept == (not row.base_failed)
+
+
+def test_allowed_rejections_is_the_exact_bound(spark):
+    sizes = [0, 1, 50, 458, 500, 2000, 20000]
+    rows = spark.createDataFrame([(n,) for n in sizes], "n long")
+    risk, mistake = 0.0125, 0.003
+    found = rows.select("n", quality.allowed_rejections(F.col("n"), risk, F.lit(math.log(mistake))).alias("k")).collect()
+    for n, k in found:
+        total, expected = 0.0, -1
+        for i in range(n + 1):
+            log_term = math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1)
+            total += math.exp(log_term + i * math.log(risk) + (n - i) * math.log1p(-risk))
+            if total > mistake:
+                break
+            expected = i
+        assert k == expected, n
+
+
+def labelled(spark, n, bad_share=0.3):
+    """Bad documents have symbols, good ones none; a few good ones have some too."""
+    good = " ".join(f"word{i}" for i in range(30))
+    rows = []
+    for i in range(n):
+        is_bad = (i * 37) % 100 < 100 * bad_share
+        rows.append((i, f"{good} {i}" + (" ####****" * 8 if is_bad else ""), "de" if i % 9 == 0 else "en", int(not is_bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    return docs.drop("quality"), docs.select("doc_id", "quality", F.lit(0).alias("toxic"))
+
+
+def test_cutoffs_need_enough_evidence(spark):
+    docs, labels = labelled(spark, 3000)
+    rows = quality.quality_verdicts(docs, labels).join(labels, "doc_id").collect()
+    for row in rows:  # a ninth of the documents is too few to certify anything
+        assert row.kept == (row.quality == 1 or row.lang == "de")
+
+
+def test_labels_may_be_missing_or_null(spark):
+    docs, labels = labelled(spark, 60)
+    for told in (labels.limit(0), labels.withColumn("quality", F.lit(None).cast("int"))):
+        assert quality.quality_verdicts(docs, told).filter("kept").count() == 60
+    assert quality.quality_verdicts(docs.limit(0), labels).count() == 0
+    strange = docs.withColumn("lang", F.lit(None).cast("string")).union(docs)
+    twice = labels.union(labels.withColumn("doc_id", F.lit(None).cast("long")))
+    assert quality.quality_verdicts(strange, twice).count() == 120
+
+
+def test_no_python_in_the_plan(spark):
+    docs, labels = labelled(spark, 60)
+    plan = quality.with_counts(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
