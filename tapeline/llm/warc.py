@@ -17,6 +17,7 @@ from tapeline.sources.staging import staging_path
 
 MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
+READ_TASKS = 10_000
 LEVEL = 3
 #: the dictionary is trained on this bounded sample, the only thing that is fitted
 SAMPLE_PAGES = 400
@@ -267,9 +268,9 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_pylist(found, schema)
 
-    # an archive a task: they are large, and their list is short
-    spread = rows.repartition("path")
-    return spread.mapInArrow(run, RECORD)
+    # an archive a task: they are large, and their list is short, so Spark would gather them
+    tasks = max(1, min(rows.count(), READ_TASKS))
+    return rows.repartition(tasks).mapInArrow(run, RECORD)
 
 
 def archived(pages: DataFrame, folder: str | None = None) -> DataFrame:
