@@ -293,10 +293,11 @@ SELECT CAST(trade_dt AS VARCHAR) AS trade_dt, symbol, exchange,
     "last_price_literal": f"""WITH {_TABLES},
 last_times AS (
   SELECT trade_dt, max(event_tm) AS last_tm FROM latest_trade
-  GROUP BY trade_dt, symbol, exchange)
+  GROUP BY trade_dt, symbol, exchange),
+shared_times AS (SELECT trade_dt, last_tm, count(*) AS n_groups FROM last_times GROUP BY ALL)
 SELECT CAST(t.trade_dt AS VARCHAR) AS trade_dt, t.symbol, t.exchange,
-       CAST(t.trade_pr AS DOUBLE) AS close_pr
-FROM latest_trade t JOIN last_times l ON t.trade_dt = l.trade_dt AND t.event_tm = l.last_tm""",
+       CAST(t.trade_pr AS DOUBLE) AS close_pr, l.n_groups
+FROM latest_trade t JOIN shared_times l ON t.trade_dt = l.trade_dt AND t.event_tm = l.last_tm""",
     "prev_close": _previous(_EARLIER_DAY),
     "prev_close_calendar_day": _previous(_DAY_BEFORE),
     "combine": f"""WITH {_TABLES}, {_combined("symbol", "annotated_quote")}
@@ -336,3 +337,5 @@ FROM (SELECT * EXCLUDE (trade_pr, mov_avg_pr) FROM combined WHERE ask_size IS NO
 JOIN last_of_day l USING (trade_dt, symbol, exchange)
 LEFT JOIN close_of USING (trade_dt, symbol, exchange)""",
 }
+ORACLE["daily_trades"] = ORACLE["load_trades"]
+ORACLE["daily_quotes"] = ORACLE["load_quotes"]

@@ -35,6 +35,8 @@ from tapeline.plans.jobs import (
     ingest,
     load_quotes,
     load_trades,
+    run_ingest,
+    run_load,
 )
 from tapeline.plans.runlog import job_id, latest_status
 from tapeline.schemas import QUOTE, QUOTE_TYPES, TRADE, TRADE_TYPES
@@ -100,6 +102,25 @@ def _event_table(spark, sf_dir) -> str:
     return path
 
 
+def _daily_tables(spark, sf_dir):
+    """The stored tables, by the jobs: a format at a time, and one date once more."""
+    root, path = _message_files(spark, sf_dir), staging_path(spark, "daily")
+    events, log = f"{path}/events", f"{path}/log"
+    run_ingest(spark, format_glob(root, "csv"), None, events, log)
+    run_ingest(spark, None, format_glob(root, "json"), events, log)
+    run_load(spark, events, f"{path}/tables", log)
+    run_load(spark, events, f"{path}/tables", log, REPORT_DATE)
+    return path
+
+
+def daily_trades(spark, sf_dir):
+    return spark.read.parquet(f"{_daily_tables(spark, sf_dir)}/tables/trade")
+
+
+def daily_quotes(spark, sf_dir):
+    return spark.read.parquet(f"{_daily_tables(spark, sf_dir)}/tables/quote")
+
+
 def ingest_csv(spark, sf_dir):
     return to_events(parse_csv(market.csv_lines(market.raw_messages(spark, sf_dir))))
 
@@ -317,6 +338,8 @@ QUERIES: dict[str, Query] = {
     "enriched_quotes": enriched_quotes,
     "enriched_quotes_with_bid": enriched_quotes_with_bid,
     "enriched_quotes_eod": enriched_quotes_eod,
+    "daily_trades": daily_trades,
+    "daily_quotes": daily_quotes,
 }
 
 

@@ -14,8 +14,8 @@ def main() -> None:
     jobs = parser.add_subparsers(dest="job", required=True)
 
     job = jobs.add_parser("ingest", help="message files to the event table")
-    job.add_argument("--csv", nargs="+", required=True)
-    job.add_argument("--json", nargs="+", required=True)
+    job.add_argument("--csv", nargs="+", help="one format is enough")
+    job.add_argument("--json", nargs="+")
     job.add_argument("--events", required=True)
     job.add_argument("--bad", help="path for the text of bad lines")
 
@@ -23,7 +23,6 @@ def main() -> None:
     job.add_argument("--events", required=True)
     job.add_argument("--tables", required=True)
     job.add_argument("--dates", nargs="+", help="trade dates to rebuild, default all")
-    job.add_argument("--files-since", help="first file date that may hold them")
 
     job = jobs.add_parser("enrich", help="trade and quote tables to enriched quotes")
     job.add_argument("--tables", required=True)
@@ -38,7 +37,7 @@ def main() -> None:
     if args.job == "ingest":
         run_ingest(spark, args.csv, args.json, args.events, args.log, args.bad)
     elif args.job == "load":
-        run_load(spark, args.events, args.tables, args.log, args.dates, args.files_since)
+        run_load(spark, args.events, args.tables, args.log, args.dates)
     else:
         run_enrich(
             spark,

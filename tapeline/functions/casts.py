@@ -4,6 +4,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_ZONED = r"\d{1,2}:\d{2}.*?(?:[A-Za-z]|[+-]\d{1,2}(?::?\d{2})?)\s*$"
+
+
 def whole_number(text: Column) -> Column:
     """BIGINT of text such as ``100``, ``100.0`` or ``1.0E7``; NULL for ``100.5``."""
     number = text.try_cast("decimal(38,6)")
@@ -16,10 +19,13 @@ def event_time(text: Column, date_text: Column) -> Column:
     """TIMESTAMP_NTZ of a date-time text.
 
     A text with a time only belongs to ``date_text``: a plain cast would put
-    it on the day the job happens to run.
+    it on the day the job happens to run.  Times have no zone;
+    a plain cast would also pass over an offset or a zone after the time, so such
+    a text does not cast.
     """
+    zoned = text.rlike(_ZONED)
     full = F.when(text.rlike(r"^\s*\d{1,2}:\d{2}"), F.concat_ws(" ", date_text, F.trim(text)))
-    return full.otherwise(text).try_cast("timestamp_ntz")
+    return F.when(~zoned, full.otherwise(text).try_cast("timestamp_ntz"))
 
 
 def typed(name: str, type_name: str) -> Column:
@@ -29,4 +35,7 @@ def typed(name: str, type_name: str) -> Column:
         return event_time(text, F.col("trade_dt"))
     if type_name == "bigint":
         return whole_number(text)
-    return text.try_cast(type_name)
+    value = text.try_cast(type_name)
+    if type_name.startswith("decimal"):  # a number that the type would round does not cast
+        return F.when(value == text.try_cast("decimal(38,20)"), value)
+    return value

@@ -13,9 +13,13 @@ from tapeline.schemas import EVENT_KEY, QUOTE_TYPES, TRADE_TYPES
 
 
 def _failed_cast(types: dict[str, str]) -> Column:
-    """True where a text that is present does not cast to its type."""
+    """True where a text that is present does not cast to its type, or a key is NULL."""
     return reduce(
-        or_, [F.col(c).isNotNull() & typed(c, t).isNull() for c, t in types.items()]
+        or_,
+        [
+            typed(c, t).isNull() if c in EVENT_KEY else F.col(c).isNotNull() & typed(c, t).isNull()
+            for c, t in types.items()
+        ],
     )
 
 

@@ -6,20 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.functions.joins import join_back
-from tapeline.schemas import COMBINED_COLUMNS, DAY_GROUP_KEY, EVENT_KEY
+from tapeline.schemas import COMBINED_COLUMNS, DAY_GROUP_KEY, EVENT_KEY, QUOTE, TRADE
 
+REC_TYPE = "rec_type"
 
-def combine(trades: DataFrame, quotes: DataFrame, include_bid_pr: bool = False) -> DataFrame:
+
+def combine(
+    trades: DataFrame,
+    quotes: DataFrame,
+    include_bid_pr: bool = False,
+    include_rec_type: bool = False,
+) -> DataFrame:
     """Set union of trades with their average and quotes.
 
     Trades keep only key, price and average; the columns one side lacks are
-    NULL there.  Equal rows become one.
+    NULL there.  Equal rows become one.  ``include_rec_type`` adds ``T`` or ``Q``.
     """
     columns = [*COMBINED_COLUMNS, *(["bid_pr"] if include_bid_pr else [])]
     quote_columns = [c for c in columns if c not in ("trade_pr", "mov_avg_pr")]
+    if include_rec_type:
+        columns.append(REC_TYPE)
+    trades = trades.select(*EVENT_KEY, "trade_pr", "mov_avg_pr")
+    quotes = quotes.select(*quote_columns)
     return (
-        trades.select(*EVENT_KEY, "trade_pr", "mov_avg_pr")
-        .unionByName(quotes.select(*quote_columns), allowMissingColumns=True)
+        trades.withColumn(REC_TYPE, F.lit(TRADE))
+        .unionByName(quotes.withColumn(REC_TYPE, F.lit(QUOTE)), allowMissingColumns=True)
         .select(*columns)
         .distinct()
     )
@@ -33,12 +44,15 @@ def filter_quotes(rows: DataFrame) -> DataFrame:
 def latest_values(combined: DataFrame, keys: Sequence[str] = DAY_GROUP_KEY) -> DataFrame:
     """Trade price and average of each key's last row, be it trade or quote.
 
-    At the same time a quote is later than a trade.
+    At the same time a quote is later than a trade.  Without a record type, a row
+    with an ask size is taken for a quote.
     """
+    with_type = REC_TYPE in combined.columns
+    is_quote = F.col(REC_TYPE) == QUOTE if with_type else F.col("ask_size").isNotNull()
     order = F.struct(
         "event_tm",
-        F.col("ask_size").isNotNull(),
-        *[c for c in combined.columns if c not in (*keys, "event_tm")],
+        is_quote,
+        *[c for c in combined.columns if c not in (*keys, "event_tm", REC_TYPE)],
     )
     return (
         combined.where(F.col("event_tm").isNotNull())

@@ -48,6 +48,7 @@ _JSON_FIELDS = {
         "ask_size": "ask_size",
     },
 }
+_END = "__end_of_line"
 # A JSON trade must name its execution, though the value is not kept.
 _JSON_ALSO_NEEDED = {TRADE: ["execution_id"], QUOTE: []}
 
@@ -102,19 +103,27 @@ def parse_json(lines: DataFrame) -> DataFrame:
 
     A needed name that is missing makes the line bad; a name with the value
     ``null`` does not.  A name that occurs twice counts with its last value.
-    The line is parsed as the only element of an array, so that text after the
-    object makes it bad rather than being passed over.
+    The line is parsed as a member of an object that ends with a mark, so that text
+    after the message makes it bad rather than being passed over.  A line that holds
+    the mark itself could feign that end; it is parsed as the only element of an
+    array instead, whose early end it cannot give as well.  Numbers are JSON's:
+    ``NaN`` is none.
     """
     needed = {
         name: [*layout.values(), *_JSON_ALSO_NEEDED[name]]
         for name, layout in _JSON_FIELDS.items()
     }
     names = sorted({field for fields in needed.values() for field in fields})
-    parsed = F.from_json(
-        F.concat(F.lit("["), F.col("raw_line"), F.lit("]")),
-        "array<struct<" + ",".join(f"{name}:string" for name in names) + ">>",
-        {"allowSingleQuotes": "false"},
+    options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    fields_type = "struct<" + ",".join(f"{name}:string" for name in names) + ">"
+    line = F.col("raw_line")
+    marked = F.from_json(
+        F.concat(F.lit('{"m":'), line, F.lit(f',"{_END}":"1"}}')),
+        f"struct<m:{fields_type},{_END}:string>",
+        options,
     )
+    listed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), f"array<{fields_type}>", options)
+    holds_mark = F.contains(line, F.lit(_END))
     message = F.col("__message")
     kind = F.lit(BAD)
     for name, fields in needed.items():
@@ -126,8 +135,13 @@ def parse_json(lines: DataFrame) -> DataFrame:
         complete = all_set | (F.size(missing) == 0)
         kind = F.when((message["event_type"] == name) & complete, F.lit(name)).otherwise(kind)
     return _common_event(
-        lines.withColumn("__parsed", parsed).withColumn(
-            "__message", F.when(F.size("__parsed") == 1, F.get("__parsed", F.lit(0)))
+        lines.withColumns(
+            {"__marked": F.when(~holds_mark, marked), "__listed": F.when(holds_mark, listed)}
+        ).withColumn(
+            "__message",
+            F.when(F.col("__marked")[_END] == "1", F.col("__marked")["m"]).when(
+                F.size("__listed") == 1, F.get("__listed", F.lit(0))
+            ),
         ),
         kind,
         _JSON_FIELDS,

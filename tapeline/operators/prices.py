@@ -34,20 +34,19 @@ def last_price_literal(trades: DataFrame) -> DataFrame:
     """Closing prices found by the last time alone, per trade date.
 
     Every trade whose time is some group's last time on that date is returned,
-    whatever its own symbol and exchange, once for each group with that last
-    time.  Wanted only where that literal reading is; see :func:`last_price`.
+    whatever its own symbol and exchange; ``n_groups`` counts the groups with that
+    last time, for each of which a literal join would repeat the row.  Wanted only
+    where that literal reading is; see :func:`last_price`.
     """
     times = (
         last_event_time(trades, DAY_GROUP_KEY)
         .where(F.col("last_event_tm").isNotNull())
         .groupBy("trade_dt", F.col("last_event_tm").alias("event_tm"))
-        .agg(F.count("*").cast("int").alias("n_groups"))
+        .agg(F.count("*").alias("n_groups"))
     )
     rows = trades.select(*DAY_GROUP_KEY, "event_tm", "trade_pr")
     matched = join_back(rows, times, ["trade_dt", "event_tm"], how="inner")
-    return matched.withColumn("copy", F.explode(F.sequence(F.lit(1), "n_groups"))).select(
-        *DAY_GROUP_KEY, F.col("trade_pr").alias("close_pr")
-    )
+    return matched.select(*DAY_GROUP_KEY, F.col("trade_pr").alias("close_pr"), "n_groups")
 
 
 def prev_close(closes: DataFrame, days: DataFrame, calendar_day: bool = False) -> DataFrame:

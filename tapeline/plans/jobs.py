@@ -1,7 +1,8 @@
 """The three daily jobs (E1-E4): ingest messages, load tables, enrich quotes.
 
-The functions that return a DataFrame are lazy; the ``run_*`` functions read
-and write the stored tables and log their status.
+The ``ingest`` and ``load_*`` functions are lazy; the ``enrich_*`` functions stage
+what they read several times, so they run jobs.  The ``run_*`` functions read and
+write the stored tables and log their status.
 """
 
 from collections.abc import Sequence
@@ -17,7 +18,7 @@ from tapeline.operators.corrections import (
     trade_rows,
     typed_rows,
 )
-from tapeline.operators.enrichment import combine, fill_latest_eod, filter_quotes, join_close
+from tapeline.operators.enrichment import REC_TYPE, combine, fill_latest_eod, join_close
 from tapeline.operators.moving_average import moving_average
 from tapeline.operators.parsing import all_events, bad_records
 from tapeline.operators.prices import last_price, prev_close
@@ -31,11 +32,12 @@ from tapeline.schemas import (
     TRADE,
     TRADE_TYPES,
 )
-from tapeline.sources.messages import read_lines
-from tapeline.sources.staging import stage
-from tapeline.sources.tables import on_dates, read_daily, read_events, write_partitioned
+from tapeline.sources.messages import no_lines, origins, read_lines
+from tapeline.sources.staging import stage, staging_scope
+from tapeline.sources.tables import on_dates, read_daily, read_events, replace_partitions
 
 HALF_HOUR = 1800
+SOURCE_KEY = ("src_date", "src_format", "src_exchange")
 
 
 def ingest(
@@ -87,38 +89,52 @@ def enrich_quotes_eod(
     """Quotes with the day's last values and the same day's close.
 
     The steps as first written, with complete join keys: a quote sees the end
-    of its own day, and a key whose last event is a quote sees NULLs.
+    of its own day, and a key whose last event is a quote sees NULLs.  Quotes are
+    told by their record type, so one without an ask size stays.
     """
     averaged = moving_average(trades, length_seconds, DAY_SYMBOL_KEY)
-    combined = stage(combine(averaged, quotes), "combined")
-    filled = filter_quotes(fill_latest_eod(combined))
+    combined = stage(combine(averaged, quotes, include_rec_type=True), "combined")
+    filled = fill_latest_eod(combined).where(F.col(REC_TYPE) == QUOTE)
     return join_close(filled, stage(last_price(trades), "close")).select(*ENRICHED_COLUMNS)
 
 
-def _one_day(dates: Sequence[str] | str | None) -> bool:
-    return isinstance(dates, str) or (dates is not None and len(dates) == 1)
+def _dates(dates: Sequence[str] | str | None) -> list[str] | None:
+    return [dates] if isinstance(dates, str) else None if dates is None else list(dates)
+
+
+def _covered(dates: Sequence[str] | None) -> list[dict]:
+    """What a run over ``dates`` replaces of a table by trade date; without, all of it."""
+    return [{}] if dates is None else [{"trade_dt": day} for day in dates]
 
 
 def run_ingest(
     spark: SparkSession,
-    csv_paths: str | Sequence[str],
-    json_paths: str | Sequence[str],
+    csv_paths: str | Sequence[str] | None,
+    json_paths: str | Sequence[str] | None,
     events_path: str,
     log_path: str,
     bad_path: str | None = None,
 ) -> None:
-    """Ingest message files into the event table, by file date and record type.
+    """Ingest message files, of either format or both, into the event table.
 
-    A task reads a stretch of one file, or a few small files, so it holds few
-    partitions and writes them without a shuffle.  Bad rows have no fields in
-    the event table; ``bad_path`` keeps the text of their lines.
+    The table is partitioned by file date, format and exchange, then by the trade
+    date in the message and the record type.  A run replaces all that the table
+    holds of the folders it read, and nothing else.  Bad rows have no fields in the
+    event table; ``bad_path`` keeps the text of their lines.
     """
     with RunLog(spark, log_path).job("ingest"):
-        events = ingest(spark, csv_paths, json_paths)
-        write_partitioned(events, events_path, ["src_date", "partition"], gather=False)
+        given = [paths for paths in (csv_paths, json_paths) if paths]
+        covered = [origin for paths in given for origin in origins(spark, paths)]
+        csv, json = (
+            read_lines(spark, paths) if paths else no_lines(spark)
+            for paths in (csv_paths, json_paths)
+        )
+        events = all_events(csv, json, *SOURCE_KEY)
+        events = events.withColumn("trade_day", F.col("trade_dt").try_cast("date"))
+        by = [*SOURCE_KEY, "trade_day", "partition"]
+        replace_partitions(events, events_path, by, covered)
         if bad_path is not None:
-            lines = read_lines(spark, csv_paths), read_lines(spark, json_paths)
-            write_partitioned(bad_records(*lines, "src_date"), bad_path, ["src_date"])
+            replace_partitions(bad_records(csv, json, *SOURCE_KEY), bad_path, SOURCE_KEY, covered)
 
 
 def run_load(
@@ -127,30 +143,34 @@ def run_load(
     tables_path: str,
     log_path: str,
     dates: Sequence[str] | str | None = None,
-    files_since: str | None = None,
 ) -> None:
     """Rebuild the daily ``trade``, ``quote``, ``close`` and ``rejected_*`` tables.
 
-    ``dates`` are the trade dates to rebuild.  Corrections may come in later
-    files, so a date is always built from all files that may hold it: those
-    from the file date ``files_since`` on, or every file.
+    ``dates`` are the trade dates to rebuild, each from the events of all files that
+    hold it; the event table is pruned to them.  Rows whose trade date is no date are
+    rejected, and rebuilt only by a run over every date.
     """
+    dates = _dates(dates)
     with RunLog(spark, log_path).job("load"):
+        covered = _covered(dates)
         for record_type, name, types in (
             (TRADE, "trade", TRADE_TYPES),
             (QUOTE, "quote", QUOTE_TYPES),
         ):
-            events = read_events(spark, events_path, record_type)
-            if files_since is not None:
-                events = events.where(F.col("src_date") >= F.lit(files_since).cast("date"))
-            latest = keep_latest(on_dates(typed_rows(events, types), dates))
-            write_partitioned(
-                latest, f"{tables_path}/{name}", ["trade_dt"], gather=not _one_day(dates)
+            events = on_dates(read_events(spark, events_path, record_type), dates, "trade_day")
+            latest = keep_latest(typed_rows(events, types))
+            replace_partitions(latest, f"{tables_path}/{name}", ["trade_dt"], covered)
+            rejected = rejected_rows(events, types, "trade_day", "src_date")
+            replace_partitions(
+                rejected,
+                f"{tables_path}/rejected_{name}",
+                ["trade_day"],
+                [{"trade_day": v for v in one.values()} for one in covered],
             )
-            rejected = rejected_rows(events, types, "src_date")
-            write_partitioned(rejected, f"{tables_path}/rejected_{name}", ["src_date"])
-        trades = read_daily(spark, f"{tables_path}/trade", dates)
-        write_partitioned(last_price(trades), f"{tables_path}/close", ["trade_dt"])
+        # a table without rows has no files to tell its columns
+        stored = spark.read.schema(",".join(f"{c} {t}" for c, t in (TRADE_TYPES | {"latest": "timestamp_ntz"}).items()))
+        trades = on_dates(stored.parquet(f"{tables_path}/trade"), dates)
+        replace_partitions(last_price(trades), f"{tables_path}/close", ["trade_dt"], covered)
 
 
 def run_enrich(
@@ -169,7 +189,8 @@ def run_enrich(
     come from the small ``close`` table.  ``end_of_day`` writes the form of
     :func:`enrich_quotes_eod`, to which the later options do not apply.
     """
-    with RunLog(spark, log_path).job("enrich"):
+    dates = _dates(dates)
+    with RunLog(spark, log_path).job("enrich"), staging_scope(spark):
         trades = read_daily(spark, f"{tables_path}/trade", dates)
         quotes = read_daily(spark, f"{tables_path}/quote", dates)
         if end_of_day:
@@ -183,4 +204,4 @@ def run_enrich(
                 calendar_day=calendar_day,
                 include_bid_pr=include_bid_pr,
             )
-        write_partitioned(enriched, output_path, ["trade_dt"], gather=not _one_day(dates))
+        replace_partitions(enriched, output_path, ["trade_dt"], _covered(dates))

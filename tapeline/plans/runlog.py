@@ -35,14 +35,23 @@ class RunLog:
         self.spark = spark
         self.path = path
 
-    def record(self, job_name: str, status: str, error: str | None = None) -> None:
-        """Append one status change (R2).  Trouble with the log only warns."""
+    def record(
+        self,
+        job_name: str,
+        status: str,
+        error: str | None = None,
+        started: datetime | None = None,
+    ) -> None:
+        """Append one status change (R2).  Trouble with the log only warns.
+
+        The job id is that of the day on which the run ``started``, now by default.
+        """
         now = datetime.now(timezone.utc)
         row = (job_name, str(uuid.uuid4()), now, "", status, error)
         try:
             (
                 self.spark.createDataFrame([row], RUN_LOG_SCHEMA)
-                .withColumn("job_id", job_id(F.col("job_name"), F.col("ts")))
+                .withColumn("job_id", job_id(F.col("job_name"), F.lit(started or now)))
                 .write.mode("append")
                 .parquet(self.path)
             )
@@ -62,11 +71,12 @@ class RunLog:
     @contextmanager
     def job(self, job_name: str) -> Iterator[None]:
         """Log a job's start and end around its work; its error is raised again."""
-        self.record(job_name, STARTING)
+        started = datetime.now(timezone.utc)
+        self.record(job_name, STARTING, started=started)
         try:
-            self.record(job_name, RUNNING)
+            self.record(job_name, RUNNING, started=started)
             yield
         except Exception as error:
-            self.record(job_name, FAILED, str(error))
+            self.record(job_name, FAILED, str(error), started)
             raise
-        self.record(job_name, SUCCESS)
+        self.record(job_name, SUCCESS, started=started)

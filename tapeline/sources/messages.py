@@ -1,8 +1,11 @@
 """Message files: one message per line, under ``<format>/<date>/<exchange>/``."""
 
+import re
 from collections.abc import Sequence
+from datetime import date
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # format, date and exchange folders of a message file; folders may also be
@@ -18,22 +21,48 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     lines = reader.text([paths] if isinstance(paths, str) else list(paths))
-    file_path = F.col("_metadata.file_path")
+    return lines.select(F.col("value").alias("raw_line"), *_origin(F.col("_metadata.file_path")))
+
 
-    def part(group: int):
+def _origin(file_path: Column) -> list[Column]:
+    def part(group: int) -> Column:
         return F.nullif(F.regexp_extract(file_path, _LAYOUT, group), F.lit(""))
 
-    return lines.select(
-        F.col("value").alias("raw_line"),
+    return [
         part(1).alias("src_format"),
         part(2).try_cast("date").alias("src_date"),
         part(3).alias("src_exchange"),
-    )
+    ]
+
+
+def no_lines(spark: SparkSession) -> DataFrame:
+    """Lines of a format of which there are no files to read."""
+    columns = "raw_line string, src_format string, src_date date, src_exchange string"
+    return spark.createDataFrame([], columns)
+
+
+def origins(spark: SparkSession, paths: str | Sequence[str]) -> list[dict[str, str | None]]:
+    """The folders that message files lie in, those of empty files too; no file is read."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    files = reader.text([paths] if isinstance(paths, str) else list(paths)).inputFiles()
+    found = {_origin_of(unquote(file)) for file in files}
+    return [dict(zip(("src_format", "src_date", "src_exchange"), one, strict=True)) for one in found]
+
+
+def _origin_of(file: str) -> tuple[str | None, str | None, str | None]:
+    match = re.search(_LAYOUT, file)
+    if not match:
+        return None, None, None
+    try:
+        day = date.fromisoformat(match[2]).isoformat()
+    except ValueError:
+        day = None
+    return match[1], day, match[3]
 
 
-def format_glob(root: str, message_format: str, date: str = "*", exchange: str = "*") -> str:
+def format_glob(root: str, message_format: str, day: str = "*", exchange: str = "*") -> str:
     """Glob of the message files of one format below ``root`` (S3)."""
-    return f"{root.rstrip('/')}/{message_format}/{date}/{exchange}/*.txt"
+    return f"{root.rstrip('/')}/{message_format}/{day}/{exchange}/*.txt"
 
 
 def source_files(spark: SparkSession, root: str, message_format: str) -> DataFrame:

@@ -1,10 +1,14 @@
 """Tables written once within a job and read several times."""
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_THIS_MACHINE = re.compile(r"local(\[.*\])?")  # a local cluster is one of processes
 SHARED_FOLDER = "spark.checkpoint.dir"
 _LOCAL_FOLDER = "tapeline.local.folder"
 
@@ -18,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(SHARED_FOLDER, None) or spark.conf.get(_LOCAL_FOLDER, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not _THIS_MACHINE.fullmatch(spark.conf.get("spark.master", "")):
         raise ValueError(f"set {SHARED_FOLDER} to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="tapeline-")
     spark.conf.set(_LOCAL_FOLDER, folder)
@@ -39,5 +43,24 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = staging_path(spark, name)
+    for paths in _scopes:
+        paths.append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged within the block when it ends, however it ends."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

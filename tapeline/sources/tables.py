@@ -1,27 +1,24 @@
 """Partitioned Parquet tables: the event table and the daily tables."""
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_partitioned(
-    rows: DataFrame, path: str, by: Sequence[str], gather: bool = True
-) -> None:
+def write_partitioned(rows: DataFrame, path: str, by: Sequence[str]) -> None:
     """Replace exactly the partitions that ``rows`` holds.
 
     One write for the whole input: a second overwrite of the same folder would
     remove what the first one wrote.  A stored partition that ``rows`` has no
-    row of stays as it is.
-
-    ``gather`` shuffles each partition's rows into few files, and AQE splits a
-    partition that is too big for one task.  Leave it off where the tasks hold
-    few partitions each anyway, as when all rows are of one day: the shuffle
-    would move everything for nothing.
+    row of stays as it is; see :func:`replace_partitions`.  The rows of a
+    partition are shuffled into few files, and AQE splits a partition that is too
+    big for one task.
     """
     (
-        (rows.hint("rebalance", *by) if gather else rows)
+        rows.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
@@ -29,6 +26,53 @@ def write_partitioned(
     )
 
 
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _partition_files(spark: SparkSession, path: str) -> dict[str, tuple[dict, set[str]]]:
+    """Files of each partition folder of a stored table, with the folder's values as text."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, tuple[dict, set[str]]] = {}
+    if not store.exists(root):
+        return found
+    files = store.listFiles(root, True)
+    while files.hasNext():
+        file = files.next().getPath()
+        folder = file.getParent().toString()
+        values = dict(re.findall(r"/([^/=]+)=([^/]*)", folder))
+        shown = {k: None if v == _NULL_FOLDER else unquote(v) for k, v in values.items()}
+        found.setdefault(folder, (shown, set()))[1].add(file.toString())
+    return found
+
+
+def replace_partitions(
+    rows: DataFrame, path: str, by: Sequence[str], covered: Iterable[Mapping[str, str | None]]
+) -> None:
+    """Replace all that the stored table holds of what ``covered`` names.
+
+    ``covered`` are values, as text, of some of the columns ``by``: the files or dates
+    that ``rows`` were made from.  A partition within them of which there are no rows
+    any more is removed; all others stay.  The new rows are written first, so a run
+    that fails leaves the old ones, and a rerun mends a run that stopped between.
+    """
+    spark = rows.sparkSession
+    wanted = [dict(values) for values in covered]
+
+    def is_covered(values: dict) -> bool:
+        return any(all(values.get(k) == v for k, v in one.items()) for one in wanted)
+
+    before = _partition_files(spark, path)
+    write_partitioned(rows, path, by)
+    after = _partition_files(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for folder, (values, files) in before.items():
+        if is_covered(values) and files & after.get(folder, ({}, set()))[1]:
+            at = hadoop.Path(folder)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def read_events(spark: SparkSession, path: str, record_type: str) -> DataFrame:
     """One record type of the event table (S6, F3); other folders are not listed."""
     return spark.read.parquet(path).where(F.col("partition") == record_type)

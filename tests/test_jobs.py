@@ -145,7 +145,7 @@ def test_the_three_jobs(spark, root):
     run_enrich(spark, f"{root}/tables", f"{root}/enriched", log)
     assert enriched(spark, root) == expected
     # one day at a time gives the same, and leaves the other day alone
-    run_load(spark, f"{root}/events", f"{root}/tables", log, [TUESDAY], TUESDAY)
+    run_load(spark, f"{root}/events", f"{root}/tables", log, [TUESDAY])
     run_load(spark, f"{root}/events", f"{root}/tables", log, [MONDAY])
     run_enrich(spark, f"{root}/tables", f"{root}/enriched", log, [TUESDAY])
     assert enriched(spark, root) == expected
@@ -159,6 +159,87 @@ def test_the_three_jobs(spark, root):
     assert ("enrich", "success", 3) in values(statuses, "job_name", "status", "count")
 
 
+def write(root, name, *lines):
+    path = root / "data" / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("".join(f"{line}\n" for line in lines))
+
+
+def load(spark, root, *dates):
+    run_load(spark, f"{root}/events", f"{root}/tables", f"{root}/log", dates or None)
+    return values(spark.read.parquet(f"{root}/tables/trade"), "trade_dt", "event_seq_nb", "trade_pr")
+
+
+def test_a_correction_in_a_later_file_leaves_the_rest_of_its_day(spark, root):
+    ingest(spark, root, MONDAY)
+    assert load(spark, root) == [(MONDAY, 1, 10.0), (MONDAY, 2, 20.0)]
+    ingest(spark, root, TUESDAY)
+    assert load(spark, root, MONDAY) == [(MONDAY, 1, 12.0), (MONDAY, 2, 20.0)]
+    assert load(spark, root, TUESDAY) == [(MONDAY, 1, 12.0), (MONDAY, 2, 20.0), (TUESDAY, 1, 31.0)]
+
+
+def test_one_exchange_or_format_at_a_time(spark, root):
+    write(root, f"csv/{MONDAY}/ARCA/a.txt", csv_trade(MONDAY, "10:00:00", 7, "1.5"))
+    log = f"{root}/log"
+    for exchange in ("NYSE", "ARCA"):
+        glob = format_glob(f"{root}/data", "csv", MONDAY, exchange)
+        run_ingest(spark, glob, None, f"{root}/events", log)
+    run_ingest(spark, None, format_glob(f"{root}/data", "json"), f"{root}/events", log)
+    assert load(spark, root) == [(MONDAY, 1, 10.0), (MONDAY, 2, 20.0), (MONDAY, 7, 1.5)]
+
+
+def test_a_rerun_leaves_nothing_stale(spark, root):
+    data = f"{root}/data"
+    bad = f"{root}/bad"
+
+    def rerun():
+        run_ingest(spark, f"{data}/csv", f"{data}/json", f"{root}/events", f"{root}/log", bad)
+
+    rerun()
+    load(spark, root)
+    # the bad lines are mended, a wrong price too, and Tuesday loses all its trades
+    write(root, f"csv/{MONDAY}/NYSE/a.txt", csv_trade(MONDAY, "09:00:00", 1, "10.0"))
+    write(root, f"json/{MONDAY}/NYSE/a.txt", json_trade(MONDAY, "09:10:00", 2, 20.0))
+    write(root, f"csv/{TUESDAY}/NYSE/a.txt")
+    rerun()
+    assert counts(spark, root) == [(MONDAY, "T", 2), (TUESDAY, "Q", 1)]
+    assert not list((root / "bad").rglob("*.parquet"))
+    assert load(spark, root, TUESDAY) == [(MONDAY, 1, 12.0), (MONDAY, 2, 20.0)]
+    assert load(spark, root) == [(MONDAY, 1, 10.0), (MONDAY, 2, 20.0)]
+    for name in ("rejected_trade", "close"):
+        days = {p.parent.name for p in (root / "tables" / name).rglob("*.parquet")}
+        assert days == (set() if name == "rejected_trade" else {f"trade_dt={MONDAY}"})
+
+
+def test_every_trade_is_kept_superseded_or_rejected(spark, root):
+    write(
+        root,
+        f"json/{MONDAY}/NYSE/b.txt",
+        json_message("T", MONDAY, "09:00:00", 5, symbol=None, execution_id="x", price=1, size=5),
+        json_trade(MONDAY, "09:00:00", 6, "78.93456"),
+        json_trade(MONDAY, "09:00:00", 8, "0.00004"),
+        json_trade(MONDAY, "09:00:00+05:00", 9, "1.0"),
+        json_trade(MONDAY, "09:00:00", 10, "1.50000"),
+    )
+    ingest(spark, root, MONDAY)
+    assert load(spark, root) == [(MONDAY, 1, 10.0), (MONDAY, 10, 1.5), (MONDAY, 2, 20.0)]
+    rejected = spark.read.parquet(f"{root}/tables/rejected_trade")
+    assert values(rejected, "event_seq_nb") == [("5",), ("6",), ("8",), ("9",)]
+
+
+def test_a_run_leaves_no_staged_tables(spark, root, tmp_path):
+    import os
+
+    ingest(spark, root)
+    run_load(spark, f"{root}/events", f"{root}/tables", f"{root}/log")
+    folder = shared_folder(spark).removeprefix("file://") + "/tapeline"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    run_enrich(spark, f"{root}/tables", f"{root}/enriched", f"{root}/log")
+    with pytest.raises(Exception):
+        run_enrich(spark, f"{root}/nothing", f"{root}/enriched", f"{root}/log")
+    assert set(os.listdir(folder)) == before
+
+
 def test_the_command_line(spark, root, monkeypatch):
     import run_job
 

@@ -138,4 +138,19 @@ def test_both_formats_and_every_line_kept(spark):
 def test_filter_on_a_parsed_column_does_not_repeat_the_parse(spark):
     events = to_events(parse_json(lines(spark, ["{}"]))).where("partition = 'T' AND symbol = 'A'")
     plan = events._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json(") == 1
+    assert plan.count("from_json(") == 2  # the usual form, and that for lines with the mark
+
+
+def test_text_after_a_json_message_makes_the_line_bad(spark):
+    good = (
+        '{"trade_dt":"2020-08-05","event_type":"T","symbol":"A","exchange":"N","event_tm":"x",'
+        '"event_seq_nb":1,"file_tm":"y","execution_id":"e","price":1.5,"size":2}'
+    )
+    bad = [f"{good}{end}" for end in ("]", "] junk", "] junk}", f"] {good}", "} junk", f",{good}", "x")]
+    bad += [good[:-1], "", "null", "[1]", good.replace("1.5", "NaN"), f'{good},"__end_of_line":"1"}}']
+    bad += [f'{good},"__end_of_line":"1","x":{{']
+    fine = [good, f"  {good} ", good.replace('"x"', '"__end_of_line"')]
+    rows = spark.createDataFrame([(line,) for line in [*fine, *bad]], "raw_line string")
+    found = {r.raw_line: r.partition for r in parse_json(rows).collect()}
+    assert {line: found[line] for line in bad} == dict.fromkeys(bad, "B")
+    assert {line: found[line] for line in fine} == dict.fromkeys(fine, "T")

@@ -30,8 +30,8 @@ def test_last_price_per_key(spark):
 
 def test_last_price_literal_matches_on_time_alone(spark):
     found = last_price_literal(trades(spark, TICKS))
-    assert values(found, "symbol", "exchange", "close_pr") == [
-        ("A", "N", 31.0), ("A", "N", 31.0), ("A", "Q", 20.0), ("B", "N", 98.0), ("B", "N", 98.0),
+    assert values(found, "symbol", "exchange", "close_pr", "n_groups") == [
+        ("A", "N", 31.0, 2), ("A", "Q", 20.0, 1), ("B", "N", 98.0, 2),
     ]
 
 
