@@ -29,21 +29,32 @@ def write_partitioned(rows: DataFrame, path: str, by: Sequence[str]) -> None:
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _partition_files(spark: SparkSession, path: str) -> dict[str, tuple[dict, set[str]]]:
-    """Files of each partition folder of a stored table, with the folder's values as text."""
+def _folder_of(path: str, by: Sequence[str], values: Mapping[str, str | None]) -> str:
+    """The deepest folder of a stored table that holds all partitions with ``values``."""
+    for name in by:
+        value = values.get(name, "/")  # no folder name
+        if value is not None and not re.fullmatch(r"[\w.-]+", value):
+            break  # not given, or written in a form of Spark's own
+        path = f"{path}/{name}={_NULL_FOLDER if value is None else value}"
+    return path
+
+
+def _partition_files(
+    spark: SparkSession, folders: Iterable[str]
+) -> dict[str, tuple[dict, set[str]]]:
+    """Files of each partition folder below ``folders``, with the folder's values as text."""
     hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
     found: dict[str, tuple[dict, set[str]]] = {}
-    if not store.exists(root):
-        return found
-    files = store.listFiles(root, True)
-    while files.hasNext():
-        file = files.next().getPath()
-        folder = file.getParent().toString()
-        values = dict(re.findall(r"/([^/=]+)=([^/]*)", folder))
-        shown = {k: None if v == _NULL_FOLDER else unquote(v) for k, v in values.items()}
-        found.setdefault(folder, (shown, set()))[1].add(file.toString())
+    for top in folders:
+        root = hadoop.Path(top)
+        store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        files = store.listFiles(root, True) if store.exists(root) else None
+        while files and files.hasNext():
+            file = files.next().getPath().toString()
+            folder = file.rpartition("/")[0]
+            values = dict(re.findall(r"/([^/=]+)=([^/]*)", folder))
+            shown = {k: None if v == _NULL_FOLDER else unquote(v) for k, v in values.items()}
+            found.setdefault(folder, (shown, set()))[1].add(file)
     return found
 
 
@@ -63,9 +74,10 @@ def replace_partitions(
     def is_covered(values: dict) -> bool:
         return any(all(values.get(k) == v for k, v in one.items()) for one in wanted)
 
-    before = _partition_files(spark, path)
+    folders = {_folder_of(path, by, one) for one in wanted}
+    before = _partition_files(spark, folders)
     write_partitioned(rows, path, by)
-    after = _partition_files(spark, path)
+    after = _partition_files(spark, folders)
     hadoop = spark._jvm.org.apache.hadoop.fs
     for folder, (values, files) in before.items():
         if is_covered(values) and files & after.get(folder, ({}, set()))[1]:
