@@ -5,6 +5,7 @@
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -14,6 +15,7 @@ from pyspark.sql import SparkSession
 from checks.oracle import ORACLE
 from checks.queries import registered
 from tapeline.settings import configured
+from tapeline.sources.staging import staging_scope
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -55,10 +57,16 @@ def difference(spark: SparkSession, db, sf_dir: str, name: str) -> str | None:
 
 
 def main() -> None:
+    with tempfile.TemporaryDirectory(prefix="tapeline-") as shared:
+        compare_all(shared)
+
+
+def compare_all(shared: str) -> None:
     sf_dir, *names = sys.argv[1:]
     spark = (
         configured(SparkSession.builder)
         .master("local[8]")
+        .config("spark.checkpoint.dir", shared)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
@@ -71,7 +79,8 @@ def main() -> None:
     for name in names or registered():
         start = time.time()
         try:
-            found = difference(spark, db, sf_dir, name)
+            with staging_scope(spark):
+                found = difference(spark, db, sf_dir, name)
         except Exception as error:
             found = f"{type(error).__name__}: {str(error)[:1500]}"
         wrong += found is not None

@@ -195,9 +195,25 @@ _JSON_LINE = f"""CASE WHEN event_seq_nb % 69 = 0
     THEN left({_JSON_WHOLE}, length({_JSON_WHOLE}) - 12) ELSE {_JSON_WHOLE} END"""
 
 
-def _enriched(earlier: str, bid: bool = False) -> str:
+# The latest trades and quotes of the message lines.
+_DAILY_EVENT = """CAST(trade_dt AS DATE) AS trade_dt, symbol, exchange,
+  CAST(event_tm AS TIMESTAMP) AS event_tm, CAST(event_seq_nb AS BIGINT) AS event_seq_nb,
+  CAST(arrival_tm AS TIMESTAMP) AS arrival_tm, CAST(arrival_tm AS TIMESTAMP) AS latest,
+  CAST(bid_size AS BIGINT) AS bid_size"""
+_DAILY_TABLES = f"""{_RAW},
+messages AS ({_ALL}),
+latest_trade AS (
+  SELECT {_DAILY_EVENT}, CAST(trade_pr AS DECIMAL(18,4)) AS trade_pr
+  FROM messages WHERE {_TRADE_PROPER} {_NEWEST}),
+latest_quote AS (
+  SELECT {_DAILY_EVENT}, CAST(bid_pr AS DECIMAL(18,4)) AS bid_pr,
+         CAST(ask_pr AS DECIMAL(18,4)) AS ask_pr, CAST(ask_size AS BIGINT) AS ask_size
+  FROM messages WHERE {_QUOTE_PROPER} {_NEWEST})"""
+
+
+def _enriched(earlier: str, bid: bool = False, tables: str = _TABLES) -> str:
     """Quotes with as-of values and the previous close."""
-    return f"""WITH {_TABLES}, {_CLOSES.format(trades="latest_trade")},
+    return f"""WITH {tables}, {_CLOSES.format(trades="latest_trade")},
 averaged AS (
   SELECT *, {_average("trade_dt, symbol", "30 MINUTES")} AS mov_avg_pr FROM latest_trade),
 filled AS (
@@ -339,3 +355,4 @@ LEFT JOIN close_of USING (trade_dt, symbol, exchange)""",
 }
 ORACLE["daily_trades"] = ORACLE["load_trades"]
 ORACLE["daily_quotes"] = ORACLE["load_quotes"]
+ORACLE["daily_enriched"] = _enriched(_EARLIER_DAY, tables=_DAILY_TABLES)

@@ -35,11 +35,12 @@ from tapeline.plans.jobs import (
     ingest,
     load_quotes,
     load_trades,
+    run_enrich,
     run_ingest,
     run_load,
 )
-from tapeline.plans.runlog import job_id, latest_status
-from tapeline.schemas import QUOTE, QUOTE_TYPES, TRADE, TRADE_TYPES
+from tapeline.plans.runlog import FAILED, RunLog, job_id, latest_status
+from tapeline.schemas import ENRICHED_COLUMNS, QUOTE, QUOTE_TYPES, TRADE, TRADE_TYPES
 from tapeline.sources.messages import format_glob, source_files
 from tapeline.sources.staging import stage, staging_path
 from tapeline.sources.tables import on_dates, read_events, write_partitioned
@@ -121,6 +122,14 @@ def daily_quotes(spark, sf_dir):
     return spark.read.parquet(f"{_daily_tables(spark, sf_dir)}/tables/quote")
 
 
+def daily_enriched(spark, sf_dir):
+    path = _daily_tables(spark, sf_dir)
+    tables, output, log = f"{path}/tables", f"{path}/enriched", f"{path}/log"
+    run_enrich(spark, tables, output, log)
+    run_enrich(spark, tables, output, log, REPORT_DATE)
+    return spark.read.parquet(output).select(*ENRICHED_COLUMNS)
+
+
 def ingest_csv(spark, sf_dir):
     return to_events(parse_csv(market.csv_lines(market.raw_messages(spark, sf_dir))))
 
@@ -286,7 +295,12 @@ def run_log_job_ids(spark, sf_dir):
 
 
 def run_log_latest(spark, sf_dir):
-    return latest_status(_run_log(spark, sf_dir))
+    """From a stored log, appended to twice."""
+    log, changes = RunLog(spark, staging_path(spark, "log")), _run_log(spark, sf_dir)
+    failed = F.col("status") == FAILED
+    log.append(changes.where(failed))
+    log.append(changes.where(~failed))
+    return latest_status(log.rows())
 
 
 def enriched_quotes(spark, sf_dir):
@@ -340,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "enriched_quotes_eod": enriched_quotes_eod,
     "daily_trades": daily_trades,
     "daily_quotes": daily_quotes,
+    "daily_enriched": daily_enriched,
 }
 
 

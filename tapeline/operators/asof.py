@@ -24,9 +24,13 @@ def _last_known(
     values: Sequence[str],
     widths: Sequence[int],
     upto: int,
+    of_key: DataFrame | None = None,
 ) -> DataFrame:
     """Replace ``values`` by their last non-NULL along ``order``, which is unique.
 
+    ``of_key`` has one row per ``keys``; its other columns are added.  They enter with
+    the rows carried into each cell, so they are joined to these few rows alone.
+
     ``upto`` 0 includes the row itself, -1 does not.  The last values of every
     cell are carried forward over the cells first, in the same way with the
     next width, and then enter each cell as a row before its own rows.  So a
@@ -46,6 +50,9 @@ def _last_known(
         *[F.max_by(v, F.when(F.col(v).isNotNull(), F.col(order))).alias(v) for v in values]
     )
     carried = _last_known(cells, keys, cell, F.col(cell), values, wider, upto=-1)
+    if of_key is not None:
+        carried = carried.join(of_key, list(keys), "left")
+        values = [*values, *[c for c in of_key.columns if c not in keys]]
     # the carried row has no place in the order and so sorts before all others
     entries = celled.withColumn("__carried", F.lit(False)).unionByName(
         carried.withColumn("__carried", F.lit(True)), allowMissingColumns=True
@@ -79,15 +86,13 @@ def trade_points(
 ) -> DataFrame:
     """``trade_pr`` and ``mov_avg_pr`` per key and time, ready for :func:`fill_asof`.
 
-    ``trades`` holds one version of each event, see ``keep_latest``.  The average
-    depends on nothing but its keys and the time, so it is joined to these few
-    columns and not to the trades.
+    ``trades`` holds one version of each event, see ``keep_latest``.  ``average_keys``
+    are among ``keys``.  The average depends on nothing but its keys and the time, so
+    these few rows read it, not the trades.
     """
     points = last_at_time(trades, keys, ["trade_pr"])
-    averages = tick_averages(trades, length_seconds, average_keys)
-    return points.join(averages, [*average_keys, "event_tm"], "left").select(
-        *keys, "event_tm", "trade_pr", "mov_avg_pr"
-    )
+    averaged = tick_averages(trades, length_seconds, average_keys, readers=points)
+    return averaged.select(*keys, "event_tm", "trade_pr", "mov_avg_pr")
 
 
 def fill_asof(
@@ -96,12 +101,15 @@ def fill_asof(
     keys: Sequence[str] = DAY_GROUP_KEY,
     values: Sequence[str] = ("trade_pr", "mov_avg_pr"),
     time: str = "event_tm",
+    of_key: DataFrame | None = None,
 ) -> DataFrame:
     """``quotes`` with the ``values`` of the last point at or before their time.
 
     ``points`` has one row per key and time.  At the same time the trade comes
     before the quote.  Each value is filled on its own, past points where it is
-    NULL, and is NULL before the first one.
+    NULL, and is NULL before the first one.  ``of_key`` has one row per key, whose
+    other columns are added on the way, so that the quotes move once for both; a
+    quote without a key or time gets NULLs.
     """
     times = (
         points.select(*keys, time, *values)
@@ -112,5 +120,5 @@ def fill_asof(
     )
     position = epoch_second(F.col(time).cast("timestamp_ntz"))
     widths = _CELLS_OF_A_DAY if "trade_dt" in keys else _CELLS
-    filled = _last_known(times, keys, time, position, values, widths, upto=0)
+    filled = _last_known(times, keys, time, position, values, widths, 0, of_key)
     return join_back(quotes, filled, [*keys, time])

@@ -48,8 +48,10 @@ def quote_rows(events: DataFrame) -> DataFrame:
 def latest_arrival(
     rows: DataFrame, keys: Sequence[str] = EVENT_KEY, arrival: str = "arrival_tm"
 ) -> DataFrame:
-    """Greatest arrival time of each event (A1)."""
-    return rows.groupBy(*keys).agg(F.max(arrival).alias("latest"))
+    """Greatest arrival time and number of versions of each event (A1)."""
+    return rows.groupBy(*keys).agg(
+        F.max(arrival).alias("latest"), F.count("*").alias("n_versions")
+    )
 
 
 def annotate_latest(
@@ -59,12 +61,15 @@ def annotate_latest(
 
     Nothing is dropped but rows with a NULL in the key.  A window over the key
     would put all versions of one event into one task; the aggregate combines
-    them before the shuffle, and the join back can be split.
+    them before the shuffle, and the join back can be split.  Most events have one
+    version, which is its own latest: only corrected ones take part in the join.
     """
     keyed = rows.dropna(subset=list(keys))
-    joined = join_back(keyed, latest_arrival(keyed, keys, arrival), keys, how="inner")
-    rest = [c for c in rows.columns if c not in keys]
-    return joined.select(*keys, *rest, "latest")
+    rest = [c for c in rows.columns if c not in (*keys, "latest")]
+    events = latest_arrival(keyed, keys, arrival)
+    corrected = events.where("n_versions > 1").drop("n_versions")
+    joined = join_back(keyed.select(*keys, *rest), corrected, keys)
+    return joined.select(*keys, *rest, F.coalesce("latest", arrival).alias("latest"))
 
 
 def keep_latest(

@@ -27,8 +27,8 @@ from tapeline.functions.joins import join_back
 from tapeline.schemas import PRICE, PRICE_SUM
 
 # order of entries at the same position: first what is carried in, then the
-# ticks, then what leaves the frame after them
-_CARRIED, _OWN, _LEAVING = -1, 0, 1
+# ticks, then who reads the frame, then what leaves it after them
+_CARRIED, _OWN, _READING, _LEAVING = -1, 0, 1, 2
 
 
 def _entry(cell: Column, position: Column, kind: int, sign: int) -> Column:
@@ -98,10 +98,13 @@ def tick_averages(
     time: str = "event_tm",
     price: str = "trade_pr",
     cell_seconds: int = 1,
+    readers: DataFrame | None = None,
 ) -> DataFrame:
     """``mov_avg_pr`` for each distinct key and time of ``trades``.
 
-    Ticks without a time are averaged among themselves.
+    Ticks without a time are averaged among themselves.  ``readers`` has rows with
+    the keys and a time, few for each; with it, these rows come back with the average
+    at their time, from the same window and so without a join.
     """
     if length_seconds <= 0 or cell_seconds <= 0 or length_seconds % cell_seconds:
         raise ValueError("the length must be a positive multiple of the cell")
@@ -128,15 +131,30 @@ def tick_averages(
     entries = ticks.select(
         *keys, F.inline(F.when(cell.isNull(), F.array(own)).otherwise(F.array(own, leaving)))
     ).unionByName(carried)
+    shown, extra = _OWN, []
+    if readers is not None:
+        shown, extra = _READING, [c for c in readers.columns if c not in (*keys, time)]
+        read_at = F.col(time).cast("timestamp_ntz")
+        reading = readers.select(
+            *keys,
+            *extra,
+            cell_start(epoch_second(read_at), cell_seconds).alias("cell"),
+            read_at.alias("position"),
+            F.lit(_READING).alias("kind"),
+            F.lit(0).cast(PRICE_SUM).alias("total"),
+            F.lit(0).cast("bigint").alias("n"),
+        )
+        entries = entries.unionByName(reading, allowMissingColumns=True)
     frame = _running(keys)
     return (
         entries.withColumns(
             {"frame_total": F.sum("total").over(frame), "frame_n": F.sum("n").over(frame)}
         )
-        .where(F.col("kind") == _OWN)
+        .where(F.col("kind") == shown)
         .select(
             *keys,
             position.alias(time),
+            *extra,
             F.when(
                 F.col("frame_n") > 0, F.col("frame_total").cast("double") / F.col("frame_n")
             ).alias("mov_avg_pr"),

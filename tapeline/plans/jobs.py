@@ -75,12 +75,12 @@ def enrich_quotes(
     ``trades``.
     """
     points = trade_points(trades, length_seconds, DAY_SYMBOL_KEY, DAY_GROUP_KEY)
-    filled = fill_asof(quotes, points).withColumnRenamed("trade_pr", "latest_trade_pr")
     previous = prev_close(
         last_price(trades) if closes is None else closes, quotes, calendar_day
     )
+    filled = fill_asof(quotes, points, of_key=stage(previous, "prev_close"))
     columns = [*ENRICHED_COLUMNS, *(["bid_pr"] if include_bid_pr else [])]
-    return join_close(filled, stage(previous, "prev_close")).select(*columns)
+    return filled.withColumnRenamed("trade_pr", "latest_trade_pr").select(*columns)
 
 
 def enrich_quotes_eod(

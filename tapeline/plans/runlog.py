@@ -49,17 +49,17 @@ class RunLog:
         now = datetime.now(timezone.utc)
         row = (job_name, str(uuid.uuid4()), now, "", status, error)
         try:
-            (
-                self.spark.createDataFrame([row], RUN_LOG_SCHEMA)
-                .withColumn("job_id", job_id(F.col("job_name"), F.lit(started or now)))
-                .write.mode("append")
-                .parquet(self.path)
-            )
+            change = self.spark.createDataFrame([row], RUN_LOG_SCHEMA)
+            self.append(change.withColumn("job_id", job_id(F.col("job_name"), F.lit(started or now))))
         except Exception:
             _logger.warning(
                 "run log %s: no row for %s %s", self.path, job_name, status, exc_info=True
             )
 
+    def append(self, changes: DataFrame) -> None:
+        """Append status changes, such as those of another log."""
+        changes.select(*RUN_LOG_SCHEMA.names).write.mode("append").parquet(self.path)
+
     def rows(self) -> DataFrame:
         return self.spark.read.schema(RUN_LOG_SCHEMA).parquet(self.path)
 

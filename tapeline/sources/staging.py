@@ -31,7 +31,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/tapeline/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tapeline/{name}-{uuid.uuid4().hex}"
+    for paths in _scopes:
+        paths.append(path)
+    return path
 
 
 def stage(rows: DataFrame, name: str) -> DataFrame:
@@ -43,8 +46,6 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = staging_path(spark, name)
-    for paths in _scopes:
-        paths.append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
@@ -60,7 +61,7 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _scopes.remove(paths)
+        _scopes[:] = [scope for scope in _scopes if scope is not paths]
         for path in paths:
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -12,6 +12,7 @@ from tapeline.operators.corrections import annotate_latest, keep_latest
 from tapeline.operators.enrichment import fill_latest_eod, join_close
 from tapeline.operators.moving_average import moving_average
 from tapeline.operators.prices import last_price, last_price_literal
+from tapeline.plans.jobs import enrich_quotes
 from tapeline.sources.staging import stage
 from tapeline.sources.tables import on_dates, read_daily, read_events, write_partitioned
 
@@ -103,6 +104,30 @@ def test_hot_partition_is_written_by_several_tasks(spark, settings, tmp_path):
     assert sorted(files.values())[len(files) // 2] == 1
 
 
+def shuffles(plan):
+    """Shuffles that run, without those reused."""
+    lines = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    return sum("ReusedExchange" not in line for line in lines)
+
+
+def test_quotes_move_once_when_enriched(spark, settings):
+    settings({k: "-1" for k in SMALL_SKEW if k.endswith("autoBroadcastJoinThreshold")})
+    trades = stage(hot_trades(spark, 3000).withColumn("latest", F.col("arrival_tm")), "trade")
+    sizes = {c: F.lit(1) for c in ("bid_size", "ask_pr", "ask_size")}
+    quotes = stage(trades.drop("trade_pr").withColumns(sizes), "quote")
+    found = final_plan(enrich_quotes(trades, quotes))
+    assert shuffles(found) <= 12
+    wide = [line for line in found.splitlines() if "FileScan" in line and "ask_size" in line]
+    assert len(wide) == 1
+
+
+def test_events_of_one_version_stay_out_of_the_join(spark):
+    plan = physical(annotate_latest(hot_trades(spark)))
+    counted = plan.index("(n_versions#")
+    second_shuffle = plan.rindex("Exchange", 0, counted)
+    assert "Filter" in plan[second_shuffle:counted]
+
+
 def test_copies_are_cut_down_before_the_shuffle(spark):
     plan = physical(keep_latest(hot_trades(spark)))
     partial, final = plan.index("Partial"), plan.index("Final")
