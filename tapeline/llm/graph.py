@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeline.functions.joins import join_back
 from tapeline.llm.common import stage
 
 
@@ -14,6 +15,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     rounds grows with the logarithm of the longest chain. Each round is written to
     the shared folder, so nothing is recomputed when an executor is lost. Only a
     count and a checksum come to the driver. Null ends and self-links are passed over.
+    A node that most links meet, as the root of a large component is, takes several
+    tasks: both sides of its joins have a shuffle of their own, which AQE can split.
     """
     larger, smaller = F.greatest("a", "b"), F.least("a", "b")
     edges = links.filter("a <> b").select(larger.alias("u"), smaller.alias("v")).distinct()
@@ -35,10 +38,10 @@ def _mark(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return join_back(both, least, ["u"], "inner").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    linked = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    linked = join_back(edges, least, ["u"], "inner").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return linked.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
