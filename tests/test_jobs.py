@@ -7,7 +7,7 @@ from tapeline.plans.jobs import run_enrich, run_ingest, run_load
 from tapeline.plans.runlog import RunLog
 from tapeline.schemas import ENRICHED_COLUMNS
 from tapeline.sources.messages import format_glob, read_lines, source_files
-from tapeline.sources.staging import shared_folder, stage
+from tapeline.sources.staging import shared_folder, stage, staging_scope
 from tapeline.sources.tables import read_events, write_partitioned
 
 
@@ -285,3 +285,19 @@ def test_staged_tables_go_to_the_folder_the_session_names(spark):
     staged = stage(spark.range(5).selectExpr("id", "id AS same"), "numbers")
     assert staged.count() == 5
     assert all(shared_folder(spark) in path for path in staged.inputFiles())
+
+
+def test_scopes_delete_what_was_staged_in_them(spark):
+    def there(rows):
+        path = spark._jvm.org.apache.hadoop.fs.Path(rows.inputFiles()[0])
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+    with staging_scope(spark):
+        with staging_scope(spark):  # as empty as the outer one when it ends
+            pass
+        with pytest.raises(ZeroDivisionError), staging_scope(spark):
+            inner = stage(spark.range(3), "inner")
+            raise ZeroDivisionError
+        outer = stage(spark.range(3), "outer")
+        assert not there(inner) and there(outer)
+    assert not there(outer)
