@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tapeline.llm.common import fresh, rows_per_batch
 
@@ -232,16 +233,10 @@ def with_spans(docs: DataFrame, spans_col: str = "spans", text_col: str = "text"
             )
 
     rows_per_batch(docs.sparkSession)
-    kept = rows.select(*names).schema.add(spans_col, _span_type())
+    kept = rows.select(*names).schema.add(spans_col, StructType.fromDDL(f"spans {SPAN_TYPE}")["spans"].dataType)
     return rows.mapInArrow(run, kept)
 
 
-def _span_type():
-    from pyspark.sql.types import _parse_datatype_string
-
-    return _parse_datatype_string(SPAN_TYPE)
-
-
 def masked(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every identifier replaced by its kind in angle brackets.
 

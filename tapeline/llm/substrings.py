@@ -16,9 +16,11 @@ GRAM = 6
 SHARD_WORDS = 1 << 19
 ANCHOR_SEGMENTS = 4_096  # different segments of one anchor that an index holds
 BLOCK_SEGMENTS = 1 << 21
-#: common grams are counted in a bounded sample; they only decide where segments are cut
-SAMPLE_DOCS = 4_096
+#: a gram is common in COMMON_DOCS documents and one in COMMON_SHARE; it decides only where segments are cut
 COMMON_DOCS = 8
+COMMON_SHARE = 512
+COMMON_GRAMS = 1 << 20  # at most so many, 8 MB, are broadcast: those in most documents
+BLOCK_GRAMS = 1 << 21
 RESULTS = ("n_words", "n_removed")
 
 _ODD = 0x9E3779B97F4A7C15
@@ -189,23 +191,40 @@ def _later_copies(columns: list[np.ndarray]) -> np.ndarray:
 
 
 def _common_grams(keyed: DataFrame, text: str) -> np.ndarray:
-    """Hashes of grams that several documents of a bounded sample share, sorted.
+    """Hashes of grams that many documents share, sorted.
 
     Anchors avoid them, so that a passage in very many documents does not become the
-    anchor of windows which also hold the different words around it.
+    anchor of windows which also hold the different words around it. All documents
+    are counted, a block of about BLOCK_GRAMS grams at a time; a block hands on the
+    grams that several of its documents share, so few are shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                grams = np.unique(gram_hashes(word_hashes(value), GRAM))
-                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], ["gram"])
-
-    sample = keyed.select(F.substring(text, 1, 1 << 16).alias("text")).limit(SAMPLE_DOCS)
-    grams = sample.mapInArrow(run, "gram long").groupBy("gram").count()
-    # at most SAMPLE_DOCS * 2 ** 15 / COMMON_DOCS grams, in practice thousands
-    found = grams.filter(F.col("count") >= COMMON_DOCS).select("gram").toPandas()["gram"]
-    return np.sort(found.to_numpy(dtype=np.int64).view(np.uint64))
+                held.append(np.unique(gram_hashes(word_hashes(value), GRAM)))
+                size += len(held[-1])
+            if size >= BLOCK_GRAMS:
+                yield _shared_grams(held)
+                held, size = [], 0
+        if held:
+            yield _shared_grams(held)
+
+    grams = keyed.select(text).mapInArrow(run, "gram long, docs long")
+    grams = grams.groupBy("gram").agg(F.sum("docs").alias("docs"))
+    common = grams.filter(F.col("docs") >= max(COMMON_DOCS, keyed.count() / COMMON_SHARE))
+    common = common.orderBy(F.desc("docs"), "gram").limit(COMMON_GRAMS).select("gram")
+    return np.sort(common.toPandas()["gram"].to_numpy(dtype=np.int64).view(np.uint64))
+
+
+def _shared_grams(held: list[np.ndarray]) -> pa.RecordBatch:
+    """The grams of several documents of a block, and at least of one in 2 * COMMON_SHARE."""
+    grams, docs = np.unique(np.concatenate(held), return_counts=True)
+    shared = docs >= max(2, len(held) / (2 * COMMON_SHARE))
+    columns = [pa.array(grams[shared].view(np.int64)), pa.array(docs[shared].astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, ["gram", "docs"])
 
 
 _OCCURRENCE = "anchor long, content long, key long, start long, windows int, later boolean"

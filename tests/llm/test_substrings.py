@@ -88,6 +88,18 @@ def test_index_counts_as_a_scan_does():
         assert (high - low)[0] == places
 
 
+def test_common_grams_are_those_of_all_whole_texts(docs_of, monkeypatch):
+    prose = " ".join(f"w{i}" for i in range(10))
+    texts = [" ".join(f"u{n}-{i}" for i in range(9_000)) + f" {prose}" for n in range(24)]
+    texts += [None, "", "few words"]
+    wanted = np.unique(substrings.gram_hashes(substrings.word_hashes(prose), substrings.GRAM))
+    keyed = docs_of(texts).coalesce(1)
+    assert substrings._common_grams(keyed, "text").tolist() == wanted.tolist()
+    monkeypatch.setattr(substrings, "COMMON_SHARE", 1)
+    assert len(substrings._common_grams(keyed, "text")) == 0
+    assert len(substrings._common_grams(docs_of([]), "text")) == 0
+
+
 def test_equal_windows_have_equal_anchors():
     words = substrings.word_hashes(" ".join(f"w{i % 40}" for i in range(100)))
     anchor, content, start, count = substrings.segments(words, np.empty(0, np.uint64))
