@@ -16,6 +16,7 @@ from tapeline.llm.common import rows_per_batch, stage
 
 CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 512
+SCAN_CHARS = 1 << 17  # of a text that the library scans in one go
 
 
 @lru_cache(maxsize=4)
@@ -46,9 +47,11 @@ def _as_bytes(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
-def _encode_pieces(text: str, encoding: tiktoken.Encoding, pattern: str) -> bytes:
-    """Ids of a text whose pre-tokens may be of any length: the library's own scan of a
-    long run of white space overflows its stack, so the text is split here."""
+def encode_whole(text: str, encoding: tiktoken.Encoding, pattern: str) -> bytes:
+    """Ids of a text of any length. The library's own scan of white space overflows its
+    stack at about half a million characters, so longer texts are split here."""
+    if len(text) <= SCAN_CHARS:
+        return _as_bytes(encoding.encode_ordinary(text))
     found = _pieces(pattern).findall(text)
     return b"".join(_as_bytes(encoding._encode_single_piece(p.encode())) for p in found)
 
@@ -84,13 +87,7 @@ def encode(
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(ranks.value, pattern)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            found = [
-                _as_bytes(encoding.encode_ordinary(t))
-                if len(t) <= chunk + overlap
-                else _encode_pieces(t, encoding, pattern)
-                for t in texts
-            ]
+            found = [encode_whole(t, encoding, pattern) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +141,7 @@ def encode(
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(ranks.value, pattern)
         for batch in batches:
-            found = [_as_bytes(encoding.encode_ordinary(t)) for t in batch.column(1).to_pylist()]
+            found = [encode_whole(t, encoding, pattern) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["of", "ids"])
 
     pieces = pieces.mapInArrow(encode_pieces, "of struct<key:long,doc_id:long,k:int>, ids binary")

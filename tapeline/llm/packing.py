@@ -1,6 +1,7 @@
 """Token sequences packed first-fit decreasing in randomised groups of documents."""
 
 import json
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -12,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeline.llm.bpe import encode_whole
 from tapeline.llm.common import rows_per_batch
 from tapeline.sources.staging import staging_path
 
@@ -124,11 +126,12 @@ def _pieces(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str, te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(vocabulary.value, pattern)
+        end = struct.pack("<I", END_ID)
         random = np.random.default_rng([SEED, TaskContext.get().partitionId()])
         for batch in batches:
             columns: list[list] = [[] for _ in range(6)]
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = np.array([*encoding.encode_ordinary(text or ""), END_ID], dtype="<u4")
+                ids = np.frombuffer(encode_whole(text or "", encoding, pattern) + end, "<u4")
                 for start in range(0, len(ids), CAPACITY):
                     piece = ids[start : start + CAPACITY]
                     group = -1 if len(piece) == CAPACITY else int(random.integers(groups))

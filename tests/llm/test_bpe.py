@@ -43,3 +43,11 @@ def test_chunks_meet(docs_of, odd_texts, clashing, library):
 def test_odd_rows(docs_of, library):
     check(docs_of([(None, "a b"), (1, "c" * 40_000), (1, "c" * 40_000), (2, " \n" * 20_000)]), library)
     assert bpe.decode(bpe.encode(docs_of([]), RANKS, PATTERN), RANKS, PATTERN).count() == 0
+
+
+def test_white_space_beyond_the_library_scan(docs_of):
+    """The library can't scan it in one go, but its pre-tokens are known."""
+    n = 1_200_000
+    rows = bpe.decode(bpe.encode(docs_of([" " * n + "x", "\n" * n]), RANKS, PATTERN), RANKS, PATTERN)
+    decoded = {r.doc_id: bytes(r.decoded).decode() for r in rows.collect()}
+    assert decoded == {0: " " * n + "x", 1: "\n" * n}

@@ -50,7 +50,7 @@ def test_whole_table(spark, tokenizer):
 
 
 def test_odd_rows(docs_of, odd_texts, clashing, tokenizer):
-    texts = [*odd_texts, "<|endoftext|>"]
+    texts = [*odd_texts, "<|endoftext|>", " " * 1_200_000 + "x", "x" + " \n" * 600_000]
     docs = clashing(docs_of(texts))
     check(packing.pack(docs, VOCABULARY, PATTERN).collect(), list(enumerate(texts)), tokenizer)
     repeated = docs_of([(None, "a b"), (1, "c"), (1, "c")])
