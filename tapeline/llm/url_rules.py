@@ -1,16 +1,16 @@
 """URL filters: stated host rules first, mined token rules for the rest."""
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeline.llm.common import fresh, stage
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_BLOCK = "=block"
 
 
 class HostRule(NamedTuple):
@@ -74,86 +74,117 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(*parts))
 
 
-def mine_rules(
-    labelled: DataFrame,
-    min_support: float = 0.002,
-    min_confidence: float = 0.9,
-    min_lift: float = 1.05,
-    longest: int = 12,
-) -> DataFrame:
-    """(rule, items, anchor, confidence, support) of token sets that tell pages to block.
-
-    ``labelled`` is (tokens, block). Items are tokens that reach ``min_support`` among
-    pages to block and raise their share by ``min_lift``; of a URL with more than
-    ``longest`` such tokens those with the greatest lift are mined, which bounds the
-    item sets of one URL. FP-growth finds the sets; those of enough confidence are
-    kept, without sets from which an item can go at no loss of confidence. ``anchor`` is
-    the item that fewest pages have, under which the inverted index holds the rule.
-    No labels, or none to block, give no rules.
+def _alike(keyed: DataFrame, items: DataFrame) -> DataFrame:
+    """``items`` (token, pages, hits, mark) as classes of tokens that stand on the same pages.
+
+    (token, pages, hits, members): ``token`` is the least member. Tokens of one ``mark``, a
+    hash of their pages, are compared page by page; where it misleads, a token stays alone.
     """
-    empty = labelled.sparkSession.createDataFrame(
-        [], "rule long, items array<string>, anchor string, confidence double, support double"
+    same = Window.partitionBy("pages", "hits", "mark")
+    items = stage(items.withColumn("least", F.min("token").over(same)), "items")
+    others = items.filter("token != least").select("token", "least", "pages")
+    met = keyed.select("tokens", F.explode("tokens").alias("token")).join(others, "token")
+    shared = met.groupBy("token").agg(
+        F.count_if(F.array_contains("tokens", F.col("least"))).alias("shared"), F.first("pages").alias("all")
     )
-    labelled = stage(labelled.select("tokens", F.col("block").cast("int").alias("block")), "labelled")
-    total, blocked = labelled.agg(F.count("*"), F.coalesce(F.sum("block"), F.lit(0))).first()
+    equal = shared.filter(F.col("shared") == F.col("all")).select("token", F.lit(True).alias("equal"))
+    items = items.join(equal, "token", "left")
+    items = items.withColumn("least", F.when(F.col("equal"), F.col("least")).otherwise(F.col("token")))
+    return items.groupBy(F.col("least").alias("token")).agg(
+        F.first("pages").alias("pages"), F.first("hits").alias("hits"), F.sort_array(F.collect_set("token")).alias("members")
+    )
+
+
+def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.9) -> DataFrame:
+    """(rule, items, alike, anchor, confidence, support) of token sets that tell pages to block.
+
+    ``labelled`` is (tokens, block). A set is a rule if its pages to block reach
+    ``min_support`` among all and ``min_confidence`` among its own. Only prunes that lose
+    no verdict are made: tokens below the support; tokens on the same labelled pages
+    count as one item, the least of them, and ``alike`` has all of them for each item; a
+    token that is a rule alone, or is on all labelled pages, joins no other set.
+    FP-growth finds the sets of the pages to block, from whole URLs; all labelled pages
+    that hold a set are then counted by its rarest item, which is its ``anchor``. Sets from
+    which an item can go at no loss of confidence are left out.
+    No labels, or none to block, give no rules.
+    """
+    fields = "items array<string>, alike array<array<string>>, anchor string, confidence double, support double"
+    spark = labelled.sparkSession
+    empty = spark.createDataFrame([], f"rule long, {fields}")
+    keyed = labelled.select(F.array_distinct("tokens").alias("tokens"), F.col("block").cast("int").alias("block"))
+    keyed = stage(keyed.withColumn("page", F.monotonically_increasing_id()), "labelled")
+    total, blocked = keyed.agg(F.count("*"), F.coalesce(F.sum("block"), F.lit(0))).first()
     if not blocked:
         return empty
-    share = blocked / total
-    counts = labelled.select(F.explode("tokens").alias("token"), "block").groupBy("token")
-    counts = counts.agg(F.count("*").alias("pages"), F.sum("block").alias("hits"))
-    lift = F.col("hits") / F.col("pages") / F.lit(share)
-    items = counts.filter((F.col("hits") >= min_support * total) & (lift >= min_lift))
-    items = stage(items.select("token", "pages", lift.alias("lift")), "items")
-
-    keyed = stage(labelled.withColumn("page", F.monotonically_increasing_id()), "pages")
-    chosen = keyed.select("page", F.explode("tokens").alias("token")).join(items, "token")
-    chosen = chosen.groupBy("page").agg(
-        F.sort_array(F.collect_list(F.struct("lift", "token")), asc=False).alias("found")
-    )
-    baskets = keyed.join(chosen, "page").select(
-        F.concat(
-            F.slice("found.token", 1, longest),
-            F.when(F.col("block") == 1, F.array(F.lit(_BLOCK))).otherwise(F.array().cast("array<string>")),
-        ).alias("items")
+    least = max(1, math.ceil(min_support * total))
+    counts = keyed.select(F.explode("tokens").alias("token"), "block", "page").groupBy("token").agg(
+        F.count("*").alias("pages"), F.sum("block").alias("hits"), F.bit_xor(F.xxhash64("page")).alias("mark")
     )
+    classes = stage(_alike(keyed, counts.filter(F.col("hits") >= least)), "classes")
+    told = F.col("hits") / F.col("pages")
+    single = classes.filter(told >= min_confidence).select(
+        F.array("token").alias("items"), F.array("members").alias("alike"), F.col("token").alias("anchor"),
+        told.alias("confidence"), (F.col("hits") / total).alias("support"),
+    )
+    joining = classes.filter((told < min_confidence) & (F.col("pages") < total)).select("token", "pages", "members")
+    several = _sets_of_several(keyed, joining, least, total, min_confidence)
+    rules = stage(single if several is None else single.unionByName(several), "rules")
+    return rules.select(F.monotonically_increasing_id().alias("rule"), *rules.columns)
+
+
+def _sets_of_several(
+    keyed: DataFrame, items: DataFrame, least: int, total: int, min_confidence: float
+) -> DataFrame | None:
+    """The rules of two or more ``items``, or None."""
+    held = keyed.select("page", "block", F.explode("tokens").alias("token")).join(items.select("token"), "token")
+    baskets = held.groupBy("page").agg(F.max("block").alias("block"), F.sort_array(F.collect_list("token")).alias("items"))
+    baskets = baskets.filter(F.size("items") > 1).groupBy("items", "block").agg(F.count("*").alias("n"))
     baskets = stage(baskets, "baskets")
-    with_items = baskets.count()
-    if not with_items:
-        return empty
-    model = FPGrowth(
-        itemsCol="items",
-        minSupport=min(1.0, min_support * total / with_items),
-        minConfidence=min_confidence,
-    ).fit(baskets)
-    rules = model.associationRules.filter(F.col("consequent")[0] == _BLOCK)
-    rules = rules.select(
-        F.sort_array("antecedent").alias("items"),
-        "confidence",
-        (F.col("support") * with_items / total).alias("support"),
+    to_block = baskets.filter("block = 1").select("items", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    to_block = to_block.select("items")
+    n = to_block.count()
+    if n < least:
+        return None
+    found = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n).fit(to_block).freqItemsets
+    found = found.filter(F.size("items") > 1).select(F.sort_array("items").alias("items"), F.col("freq").alias("hits"))
+    found = stage(found.withColumn("set", F.monotonically_increasing_id()), "sets")
+    rare = found.select("set", F.explode("items").alias("token")).join(items, "token").groupBy("set").agg(
+        F.min_by("token", F.struct("pages", "token")).alias("anchor"),
+        F.sort_array(F.collect_list(F.struct("token", "members"))).alias("alike"),
     )
-    rules = stage(rules.withColumn("rule", F.monotonically_increasing_id()), "rules")
-    shorter = rules.filter(F.size("items") > 1).select(
-        "rule", "confidence", F.explode("items").alias("item"), F.col("items").alias("all")
+    found = found.join(rare, "set").select("set", "items", "hits", "anchor", F.col("alike.members").alias("alike"))
+    found = stage(found, "anchored")
+
+    good = baskets.filter("block = 0").select("n", F.col("items").alias("tokens"), F.explode("items").alias("anchor"))
+    met = good.join(found.select("set", "items", "anchor"), "anchor")
+    met = met.filter(F.size(F.array_except("items", "tokens")) == 0)
+    missed = met.groupBy("set").agg(F.sum("n").alias("missed"))
+    told = F.col("hits") / (F.col("hits") + F.coalesce("missed", F.lit(0)))
+    found = found.join(missed, "set", "left").withColumn("confidence", told)
+    rules = stage(found.filter(F.col("confidence") >= min_confidence), "several")
+
+    shorter = rules.filter(F.size("items") > 2).select(
+        "set", "confidence", F.explode("items").alias("item"), F.col("items").alias("all")
     )
     shorter = shorter.withColumn("items", F.array_remove("all", F.col("item")))
     plain = rules.select("items", F.col("confidence").alias("plain"))
-    needless = shorter.join(plain, "items").filter("plain >= confidence").select("rule").distinct()
-    rules = rules.join(needless, "rule", "left_anti")
-    rare = rules.select("rule", F.explode("items").alias("token")).join(items, "token")
-    rare = rare.groupBy("rule").agg(F.min_by("token", F.struct("pages", "token")).alias("anchor"))
-    return rules.join(rare, "rule").select("rule", "items", "anchor", "confidence", "support")
+    needless = shorter.join(plain, "items").filter("plain >= confidence").select("set").distinct()
+    return rules.join(needless, "set", "left_anti").select(
+        "items", "alike", "anchor", "confidence", (F.col("hits") / total).alias("support")
+    )
 
 
 def matches(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Distinct ``tokens`` arrays of ``pages`` (tokens) that hold all items of some rule.
 
-    An inverted index: each rule stands under its rarest item, so a URL meets only
-    rules whose rarest item it has.
+    An item is held by any of the tokens alike. An inverted index: each rule stands
+    under its rarest item, so a URL meets only rules whose rarest item it has.
     """
     urls = pages.select("tokens").distinct()
-    index = rules.select(F.col("anchor").alias("token"), "items")
+    at = F.array_position("items", F.col("anchor")).cast("int")
+    index = rules.select(F.explode(F.element_at("alike", at)).alias("token"), "alike")
     met = urls.select("tokens", F.explode("tokens").alias("token")).join(index, "token")
-    full = met.filter(F.size(F.array_except("items", "tokens")) == 0)
+    full = met.filter(F.forall("alike", lambda same: F.arrays_overlap(same, F.col("tokens"))))
     return full.select("tokens").distinct()
 
 

@@ -1,3 +1,6 @@
+import itertools
+from random import Random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +74,44 @@ def test_odd_rows(judged, spark):
     long = spark.createDataFrame([(i, "http://a.io/" + "/".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(300)), "") for i in range(0, 60, 10)], SCHEMA)
     rows = url_rules.judge_urls(table.union(long), labels)
     assert rows.count() == 406
+
+
+def brute_blocked(rows, urls, min_support, longest):
+    """Of ``urls`` those that hold a set of at most ``longest`` tokens that is a rule, by counting each set."""
+    counts = {}
+    for tokens, block in rows:
+        for size in range(1, longest + 1):
+            for chosen in itertools.combinations(sorted(tokens), size):
+                of = counts.setdefault(chosen, [0, 0])
+                of[0] += 1
+                of[1] += block
+    rules = {c for c, (n, hits) in counts.items() if hits >= max(1, min_support * len(rows)) and hits / n >= 0.9}
+    return {u for u in urls if any(c in rules for k in range(1, longest + 1) for c in itertools.combinations(sorted(u), k))}
+
+
+def mined_blocked(spark, rows, urls, **mining):
+    labelled = spark.createDataFrame([(list(t), b) for t, b in rows], "tokens array<string>, block int")
+    pages = spark.createDataFrame([(sorted(u),) for u in urls], "tokens array<string>")
+    found = url_rules.matches(pages, url_rules.mine_rules(labelled, **mining)).collect()
+    return {frozenset(r.tokens) for r in found}
+
+
+def test_a_token_that_is_average_alone_makes_a_rule(spark):
+    # a: 20 of 40, b: 20 of 60, both: 20 of 20; their shares are at most that of all pages
+    rows = [("ab", 1)] * 20 + [("ax", 0)] * 20 + [("by", 0)] * 40 + [("z", 1)] * 80
+    urls = {frozenset("ab"), frozenset("abq"), frozenset("ax"), frozenset("bx"), frozenset("z")}
+    expected = {frozenset("ab"), frozenset("abq"), frozenset("z")}
+    assert mined_blocked(spark, rows, urls) == brute_blocked(rows, urls, 0.002, 2) == expected
+
+
+def test_mined_verdicts_against_counting_every_set(spark):
+    random = Random(7)
+    for share in (0.2, 0.6):
+        rows = []
+        for _ in range(300):
+            tokens = frozenset(random.sample("abcdefgh", random.randint(1, 5))) | {"s"}
+            tokens |= {"x", "y"} if "a" in tokens else set()  # a, x, y are on the same pages
+            rows.append((tokens, int({"b", "c"} <= tokens or {"d", "e", "f"} <= tokens or random.random() < share / 4)))
+        urls = {frozenset(random.sample("abcdefghxyqs", random.randint(1, 6))) for _ in range(200)}
+        found = mined_blocked(spark, rows, urls, min_support=0.02)
+        assert 0 < len(found) < len(urls) and found == brute_blocked(rows, urls, 0.02, 6)
