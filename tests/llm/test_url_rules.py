@@ -115,3 +115,14 @@ def test_mined_verdicts_against_counting_every_set(spark):
         urls = {frozenset(random.sample("abcdefghxyqs", random.randint(1, 6))) for _ in range(200)}
         found = mined_blocked(spark, rows, urls, min_support=0.02)
         assert 0 < len(found) < len(urls) and found == brute_blocked(rows, urls, 0.02, 6)
+
+
+def test_long_urls_are_counted_whole(spark):
+    # 15 tokens each; the good pages differ from those to block in one only
+    common = [f"t{i:02}" for i in range(14)]
+    rows = [((*common[:i], *common[i + 1 :], "bad", "end"), 1) for i in range(14)]
+    rows += [((*common[:i], *common[i + 1 :], "good", "end"), 0) for i in range(14)]
+    rows += [(("bad",), 0)] * 9 + [(("end",), 0)] * 9
+    urls = {frozenset({"bad", "t03"}), frozenset({"bad", "end"}), frozenset(common), frozenset({"bad"}), frozenset({"end", "t01"})}
+    found = mined_blocked(spark, rows, urls, min_support=0.15)
+    assert found == brute_blocked(rows, urls, 0.15, 2) == {frozenset({"bad", "t03"}), frozenset({"bad", "end"})}
