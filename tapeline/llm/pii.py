@@ -134,7 +134,10 @@ _NUMBER_WORDS = {
     "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
 }
 _NUMBER = "|".join(_NUMBER_WORDS)
-_SPELLED_HINT = re.compile(rf"(?i)\b(?:{_NUMBER})[ -]+(?:{_NUMBER}|dot|point|[0-9])\b")
+#: every match of _SPELLED with a number word has one beside a part
+_SPELLED_HINT = re.compile(
+    rf"(?i)(?<![A-Za-z0-9])(?:{_NUMBER})[ -]+(?:{_NUMBER}|[0-9])|[0-9][ -]+(?:{_NUMBER})(?![A-Za-z0-9])"
+)
 _SPELLED = re.compile(
     rf"(?i)(?:\bplus[ -]+(?=(?:{_NUMBER})\b|[0-9]))?(?<![A-Za-z0-9])(?:{_NUMBER}|[0-9]+)"
     rf"(?:[ -]+(?:{_NUMBER}|[0-9]+)(?![A-Za-z0-9]))+"

@@ -1,3 +1,4 @@
+import itertools
 import re
 
 import pytest
@@ -83,3 +84,30 @@ def test_masking(docs_of, odd_texts, clashing):
     assert [rows[i].text for i in range(len(odd_texts))] == odd_texts
     assert pii.masked(docs).columns == docs.columns
     assert pii.with_spans(docs_of([])).count() == pii.masked(docs_of([])).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("phone", "value"),
+    [
+        ("+44 20 seven 946 zero 958", "+442079460958"),
+        ("+44 20 7946 09 five 8", "+4420794609" + "58"),
+        ("+44 207 946 095 eight", "+442079460958"),
+        ("+four 42079 46 0958", "+442079460958"),
+    ],
+)
+def test_number_words_beside_long_runs_of_digits(phone, value):
+    text = f"call {phone} now"
+    assert ("phone", 5, 5 + len(phone), False, value) in pii.spans(text)
+    assert pii.mask(text) == "call <phone> now"
+
+
+def test_a_verdict_does_not_depend_on_other_text():
+    parts = ("20", "four", "1234", "oh", "x", "plus")
+    for chosen in itertools.product(parts, repeat=3):
+        for gap in (" ", "-"):
+            text = gap.join(chosen)
+            alone = pii.spelled_digits(pii.Mapped.of(text))
+            assert alone == pii.spelled_digits(pii.Mapped.of(f"{text}, or one two"))[: len(alone)]
+            assert bool(alone) == any(
+                any(w in m[0].split(gap) for w in ("four", "oh")) for m in pii._SPELLED.finditer(text)
+            )
