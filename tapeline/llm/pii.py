@@ -142,27 +142,60 @@ _SPELLED = re.compile(
     rf"(?i)(?:\bplus[ -]+(?=(?:{_NUMBER})\b|[0-9]))?(?<![A-Za-z0-9])(?:{_NUMBER}|[0-9]+)"
     rf"(?:[ -]+(?:{_NUMBER}|[0-9]+)(?![A-Za-z0-9]))+"
 )
-_SPELLED_IP = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:{_NUMBER})(?:[ -]+(?:{_NUMBER}|dot|point)(?![A-Za-z0-9]))+")
-_PART = re.compile(r"[A-Za-z]+|[0-9]+|[ -]+")
+_ONE = rf"(?:(?<![A-Za-z0-9])(?:{_NUMBER})(?![A-Za-z0-9])|(?<![0-9])[0-9](?![0-9]))"
+_TWO = r"(?<![0-9])[0-9]{2}(?![0-9])"
+_GAP = r"[ -]{1,9}"
+#: up to three digits in several parts, or digits in one
+_OCTET = rf"(?:{_ONE}(?:{_GAP}{_ONE}){{2}}|{_ONE}{_GAP}{_TWO}|{_TWO}{_GAP}{_ONE}|{_ONE}{_GAP}{_ONE}|{_ONE}|(?<![0-9])[0-9]+(?![0-9]))"
+_POINT = r"(?:\.|[ -]{1,9}(?:dot|point|punkt|punto)[ -]{1,9})"
+_SPELLED_IP = re.compile(rf"(?i)(?:\bplus[ -]+)?{_OCTET}(?:{_POINT}{_OCTET}){{3}}")
+#: every match of _SPELLED_IP with a number word has one beside a point, or as in _SPELLED
+_SPELLED_IP_HINT = re.compile(
+    rf"(?i)(?<![A-Za-z0-9])(?:{_NUMBER}){_POINT}[A-Za-z0-9]|{_POINT}(?:{_NUMBER})(?![A-Za-z0-9])"
+)
+_POINT_WORDS = frozenset(("dot", "point", "punkt", "punto"))
+_PART = re.compile(r"[A-Za-z]+|[0-9]+|[ -]+|\.")
+
+
+def _spelled_addresses(text: str) -> Iterator[re.Match]:
+    """Four octets with a number word, each at most 255, in order and without overlap."""
+    for match in _SPELLED_IP.finditer(text):
+        words = [p[0].lower() for p in _PART.finditer(match[0]) if p[0][0] not in " -"]
+        plain = "".join("." if w in _POINT_WORDS else _NUMBER_WORDS.get(w, w) for w in words if w != "plus")
+        octets = [o.lstrip("0") for o in plain.split(".")]
+        if all(len(o) <= 3 and int(o or 0) <= 255 for o in octets) and not _NUMBER_WORDS.keys().isdisjoint(words):
+            yield match
+
+
+def _spelled_edits(match: re.Match) -> Iterator[tuple[int, int, str]]:
+    parts = list(_PART.finditer(match[0]))
+    for at, part in enumerate(parts):
+        word, a = part[0].lower(), match.start() + part.start()
+        if word == "plus":
+            yield a, match.start() + parts[at + 1].end(), "+"
+        elif word in _NUMBER_WORDS:
+            yield a, match.start() + part.end(), _NUMBER_WORDS[word]
+        elif word in _POINT_WORDS:
+            yield a, match.start() + part.end(), "."
+        elif word[0] in " -" and not (at and parts[at - 1][0].lower() == "plus"):
+            yield a, match.start() + part.end(), ""
 
 
 def spelled_digits(source: Mapped) -> list[tuple[int, int, str]]:
-    """Runs with a spelled digit become digits; ``plus`` before one becomes a sign."""
-    if not _SPELLED_HINT.search(source.text):
-        return []
-    edits = []
-    for match in _SPELLED.finditer(source.text):
-        parts = list(_PART.finditer(match[0]))
-        if not any(p[0].lower() in _NUMBER_WORDS for p in parts):
-            continue
-        for at, part in enumerate(parts):
-            word, a = part[0].lower(), match.start() + part.start()
-            if word == "plus":
-                edits.append((a, match.start() + parts[at + 1].end(), "+"))
-            elif word in _NUMBER_WORDS:
-                edits.append((a, match.start() + part.end(), _NUMBER_WORDS[word]))
-            elif word[0] in " -" and not (at and parts[at - 1][0].lower() == "plus"):
-                edits.append((a, match.start() + part.end(), ""))
+    """Runs with a spelled digit become digits; ``plus`` before one becomes a sign.
+
+    An address may have octets of one word, with points written out between them.
+    """
+    text, edits, last = source.text, [], 0
+    if not _SPELLED_HINT.search(text) and not _SPELLED_IP_HINT.search(text):
+        return edits
+    for address in [*_spelled_addresses(text), None]:
+        for match in _SPELLED.finditer(text, last, address.start() if address else len(text)):
+            if any(p[0].lower() in _NUMBER_WORDS for p in _PART.finditer(match[0])):
+                edits += _spelled_edits(match)
+        if address:
+            edits += _spelled_edits(address)
+            last = address.end()
     return edits
 
 

@@ -111,3 +111,34 @@ def test_a_verdict_does_not_depend_on_other_text():
             assert bool(alone) == any(
                 any(w in m[0].split(gap) for w in ("four", "oh")) for m in pii._SPELLED.finditer(text)
             )
+
+
+@pytest.mark.parametrize(
+    ("address", "value"),
+    [
+        ("one nine two dot one six eight dot zero dot one", "192.168.0.1"),
+        ("1 point 2 point 3 point 2 five 5", "1.2.3.255"),
+        ("one.two.three.four", "1.2.3.4"),
+        ("10 dot zero dot Zero dot one", "10.0.0.1"),
+        ("10.0.0.one", "10.0.0.1"),
+        ("eight point eight point four point four", "8.8.4.4"),
+        ("one-two-seven-dot-zero-dot-zero-dot-one", "127.0.0.1"),
+        ("one 27 dot oh dot 0 dot 2 five 5", "127.0.0.255"),
+        ("nine nine nine dot one dot one dot one", None),
+        ("one.two.three", None),
+        ("one. two. three. four", None),
+    ],
+)
+def test_spelled_addresses(address, value):
+    text = f"host {address}, ok"
+    expected = [("ip", 5, 5 + len(address), False, value)] if value else []
+    assert pii.spans(text) == expected
+
+
+def test_an_address_beside_other_numbers():
+    assert pii.mask("rows 1 2 3 at room seven one nine two dot one six eight dot zero dot one") == "rows 1 2 3 at room seven <ip>"
+    assert pii.mask("one.two.three.four and five.six.seven.eight") == "<ip> and <ip>"
+    assert pii.mask("call plus four nine dot one five one dot two three dot five six") == "call <phone>"
+    assert pii.mask("one.two.three.four 4111 1111 1111 1111") == "<ip> <card>"
+    assert pii.mask("5551234 one.two.three.four") == "5551234 <ip>"
+    assert pii.mask("one.two.three, 1 2 " * 3000) == "one.two.three, 1 2 " * 3000
