@@ -40,7 +40,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of tokens, a row per piece of a document."""
-    return packing.pack(docs, VOCABULARY, PATTERN)
+    return packing.pack(docs, VOCABULARY, PATTERN, added_tokens=True)
 
 
 def _with_own_names(docs: DataFrame, results: Sequence[str], function: Callable) -> DataFrame:

@@ -1,6 +1,7 @@
 """Token sequences packed first-fit decreasing in randomised groups of documents."""
 
 import json
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,6 +42,28 @@ def _encoding(vocabulary: bytes, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def _added_tokens(vocabulary: bytes) -> tuple[re.Pattern, dict[str, bytes]] | None:
+    """A pattern of the added tokens of a BPE file, longest first, and their ids."""
+    added = json.loads(vocabulary).get("added_tokens", ())
+    if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens must be plain strings")
+    contents = sorted((t["content"] for t in added), key=len, reverse=True)
+    ids = {t["content"]: struct.pack("<I", t["id"]) for t in added}
+    return (re.compile("|".join(map(re.escape, contents))), ids) if ids else None
+
+
+def encode_with_added(text: str, vocabulary: bytes, pattern: str) -> bytes:
+    """Ids as the ``tokenizers`` library gives them: added tokens in a text are cut out
+    first, and what lies between them is encoded piece by piece."""
+    encoding, added = _encoding(vocabulary, pattern), _added_tokens(vocabulary)
+    parts, last = [], 0
+    for match in added[0].finditer(text) if added else ():
+        parts += [encode_whole(text[last : match.start()], encoding, pattern), added[1][match[0]]]
+        last = match.end()
+    return b"".join([*parts, encode_whole(text[last:], encoding, pattern)])
+
+
 class CapacityTree:
     """A tournament tree: each node holds the largest free room of the bins below it."""
 
@@ -118,7 +141,9 @@ _PIECE = [
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
-def _pieces(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str, text_col: str, groups: int) -> DataFrame:
+def _pieces(
+    docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str, text_col: str, groups: int, added_tokens: bool
+) -> DataFrame:
     """Each document's ids, cut at every CAPACITY; the last piece has a random group."""
     spark = docs.sparkSession
     rows_per_batch(spark)
@@ -131,7 +156,11 @@ def _pieces(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str, te
         for batch in batches:
             columns: list[list] = [[] for _ in range(6)]
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = np.frombuffer(encode_whole(text or "", encoding, pattern) + end, "<u4")
+                if added_tokens:
+                    found = encode_with_added(text or "", vocabulary.value, pattern)
+                else:
+                    found = encode_whole(text or "", encoding, pattern)
+                ids = np.frombuffer(found + end, "<u4")
                 for start in range(0, len(ids), CAPACITY):
                     piece = ids[start : start + CAPACITY]
                     group = -1 if len(piece) == CAPACITY else int(random.integers(groups))
@@ -168,12 +197,18 @@ def _pack_group(key: tuple, rows: pa.Table) -> pa.Table:
 
 
 def pack(
-    docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    vocabulary_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Sequences of at most CAPACITY tokens, as a row per piece of a document.
 
-    A document's tokens are its ids, in the byte-level BPE file, and END_ID; strings of
-    special tokens are ordinary text. Columns: doc_id, start and length of the piece
+    A document's tokens are its ids, in the byte-level BPE file, and END_ID. With
+    ``added_tokens``, as the registered queries have it, the file's added tokens in a
+    text have their own ids; else their strings are ordinary text. Columns: doc_id, start and length of the piece
     among the document's tokens, doc_tokens, ids (little-endian unsigned 32-bit),
     sequence_id and offset, where the piece begins in its sequence.
 
@@ -186,7 +221,7 @@ def pack(
     empty table has no sequences.
     """
     groups = max(1, -(-docs.count() // GROUP_DOCS))
-    pieces = _pieces(docs, vocabulary_path, pattern, id_col, text_col, groups)
+    pieces = _pieces(docs, vocabulary_path, pattern, id_col, text_col, groups, added_tokens)
     names = [n for n, _ in _PIECE]
     full = pieces.filter("pack_group < 0").select(
         *names, (2 * F.monotonically_increasing_id() + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")

@@ -15,7 +15,7 @@ NEIGHBOURS = 5
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN, added_tokens=True)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

@@ -81,3 +81,25 @@ def test_gaps_are_filled_without_loss():
         parts = [(a, b) for i, a, b in covered if i == item]
         assert parts[0][0] == 0 and parts[-1][1] == size
         assert all(x[1] == y[0] for x, y in zip(parts, parts[1:]))
+
+
+def test_added_tokens_have_their_own_ids(spark, docs_of):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [end, f"a{end}b", f"a {end} b \n", f"{end}{end}  x", f"<|{end}|>", "<|endoftext", f"é{end}" * 700, None]
+    texts.append(" " * 200_000 + f"x{end}y" + "\n" * 200_000)
+    docs = docs_of(texts)
+    rows = packing.pack(docs, VOCABULARY, PATTERN, added_tokens=True).collect()
+    check(rows, list(enumerate(texts)), library)
+
+
+def test_queries_give_added_tokens_their_own_ids(spark, docs_of, tmp_path):
+    import corpus_pipeline
+    from tapeline.llm.queries import op1_packing
+
+    docs = docs_of(["a<|endoftext|>b"])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    ids = np.array([64, 50256, 65, 0], "<u4").tobytes()
+    [row] = op1_packing(spark, str(tmp_path)).collect()
+    assert (row.length, row.doc_tokens, row.ids_crc32) == (4, 4, zlib.crc32(ids))
+    assert corpus_pipeline.packed(spark, docs, str(tmp_path)).first().ids == ids
