@@ -58,4 +58,53 @@ ORACLE = {
             sha256(coalesce(rest, '')) AS kept_sha256
         FROM docs LEFT JOIN kept USING (doc_id)
     """,
+    "op12_resampling": r"""
+        WITH RECURSIVE steps AS (
+            SELECT b, b AS crc, 0 AS step FROM range(256) AS t(b)
+            UNION ALL
+            SELECT b, CASE crc & 1 WHEN 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END, step + 1
+            FROM steps WHERE step < 8
+        ), crcs AS (
+            SELECT list(crc ORDER BY b) AS by_byte FROM steps WHERE step = 8
+        ), words AS (
+            SELECT doc_id, false AS aimed, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+            UNION ALL
+            SELECT NULL, true, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+        ), counted AS (
+            SELECT doc_id, aimed, word, count(*) AS n FROM words GROUP BY ALL
+        ), digits AS (
+            SELECT word, hex(encode(word)) AS code FROM (SELECT DISTINCT word FROM counted)
+        ), hashes AS (
+            SELECT word, xor(4294967295, list_reduce(
+                list_transform(range(1, len(code), 2),
+                    lambda i: 16 * (strpos('0123456789ABCDEF', code[i]) - 1) + strpos('0123456789ABCDEF', code[i + 1]) - 1),
+                lambda crc, b: xor(by_byte[(xor(crc, b) & 255) + 1], crc >> 8),
+                4294967295)) % 10000 AS bucket
+            FROM digits, crcs
+        ), buckets AS (
+            SELECT b AS bucket, coalesce(sum(n) FILTER (NOT aimed), 0) AS s, coalesce(sum(n) FILTER (aimed), 0) AS t
+            FROM range(10000) AS r(b) LEFT JOIN (counted JOIN hashes USING (word)) ON bucket = b GROUP BY b
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM buckets
+        ), weights AS (
+            SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+            FROM counted JOIN hashes USING (word) JOIN gains USING (bucket) WHERE NOT aimed GROUP BY doc_id
+        ), scores AS (
+            SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                coalesce(weight, 0) + floor(-1000 * ln(-ln((
+                    ('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+            FROM documents d LEFT JOIN weights w USING (doc_id)
+        ), drawn AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS position, count(*) OVER () AS n
+            FROM scores WHERE n_features >= 20
+        )
+        SELECT s.doc_id, n_features, weight, score,
+            CASE WHEN position <= 10 * n // 100 THEN position END AS rank
+        FROM scores s LEFT JOIN drawn USING (doc_id)
+    """,
 }

@@ -4,8 +4,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import ann, bpe, chats, packing, pii, quality, simhash, substrings, url_rules, warc
+from tapeline.llm import (
+    ann,
+    bpe,
+    chats,
+    packing,
+    pii,
+    quality,
+    resampling,
+    simhash,
+    substrings,
+    token_files,
+    url_rules,
+    warc,
+    whitening,
+)
 from tapeline.llm.common import table
+from tapeline.sources.staging import staging_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -88,6 +103,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = resampling.importance_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranks.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = token_files.write_token_files(docs, staging_path(spark, "files"), VOCABULARY, PATTERN)
+    return token_files.read_token_files(files).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -101,5 +132,8 @@ QUERIES = {
         op8_substrings,
         op9_urls,
         op10_simhash,
+        op11_whitening,
+        op12_resampling,
+        op13_token_files,
     )
 }
