@@ -1,6 +1,8 @@
 """Byte-level BPE: long texts are encoded in overlapping chunks, decoding joins bytes."""
 
 import base64
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -17,6 +19,7 @@ from tapeline.llm.common import rows_per_batch, stage
 CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 512
 SCAN_CHARS = 1 << 17  # of a text that the library scans in one go
+_PLAIN = array("I").itemsize == 4 and sys.byteorder == "little"  # an array is bytes as they are written
 
 
 @lru_cache(maxsize=4)
@@ -44,7 +47,7 @@ def boundaries(text: str, pattern: str, is_end: bool) -> list[int]:
 
 
 def _as_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    return (array("I", ids) if _PLAIN else np.array(ids, dtype="<u4")).tobytes()
 
 
 def encode_whole(text: str, encoding: tiktoken.Encoding, pattern: str) -> bytes:

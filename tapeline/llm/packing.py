@@ -3,8 +3,8 @@
 import json
 import re
 import struct
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
 from pathlib import Path
 
 import numpy as np
@@ -53,15 +53,22 @@ def _added_tokens(vocabulary: bytes) -> tuple[re.Pattern, dict[str, bytes]] | No
     return (re.compile("|".join(map(re.escape, contents))), ids) if ids else None
 
 
-def encode_with_added(text: str, vocabulary: bytes, pattern: str) -> bytes:
-    """Ids as the ``tokenizers`` library gives them: added tokens in a text are cut out
-    first, and what lies between them is encoded piece by piece."""
+def encoder_with_added(vocabulary: bytes, pattern: str) -> Callable[[str], bytes]:
+    """Encodes texts as the ``tokenizers`` library does: added tokens in a text are cut out
+    first, and what lies between them is encoded piece by piece.
+
+    To be made once a task: finding the tables in the caches compares whole vocabularies.
+    """
     encoding, added = _encoding(vocabulary, pattern), _added_tokens(vocabulary)
-    parts, last = [], 0
-    for match in added[0].finditer(text) if added else ():
-        parts += [encode_whole(text[last : match.start()], encoding, pattern), added[1][match[0]]]
-        last = match.end()
-    return b"".join([*parts, encode_whole(text[last:], encoding, pattern)])
+
+    def encode(text: str) -> bytes:
+        parts, last = [], 0
+        for match in added[0].finditer(text) if added else ():
+            parts += [encode_whole(text[last : match.start()], encoding, pattern), added[1][match[0]]]
+            last = match.end()
+        return b"".join([*parts, encode_whole(text[last:], encoding, pattern)])
+
+    return encode
 
 
 class CapacityTree:
@@ -150,17 +157,16 @@ def _pieces(
     vocabulary = spark.sparkContext.broadcast(Path(vocabulary_path).read_bytes())  # bounded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(vocabulary.value, pattern)
+        if added_tokens:
+            encode = encoder_with_added(vocabulary.value, pattern)
+        else:
+            encode = partial(encode_whole, encoding=_encoding(vocabulary.value, pattern), pattern=pattern)
         end = struct.pack("<I", END_ID)
         random = np.random.default_rng([SEED, TaskContext.get().partitionId()])
         for batch in batches:
             columns: list[list] = [[] for _ in range(6)]
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if added_tokens:
-                    found = encode_with_added(text or "", vocabulary.value, pattern)
-                else:
-                    found = encode_whole(text or "", encoding, pattern)
-                ids = np.frombuffer(found + end, "<u4")
+                ids = np.frombuffer(encode(text or "") + end, "<u4")
                 for start in range(0, len(ids), CAPACITY):
                     piece = ids[start : start + CAPACITY]
                     group = -1 if len(piece) == CAPACITY else int(random.integers(groups))

@@ -25,12 +25,14 @@ from tapeline.sources.staging import staging_path
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+#: cuts texts just where PATTERN does, but has fewer branches to try at each place
+SCAN_PATTERN = r" ?(?:\p{L}+|\p{N}+)|'(?:[sdmt]|ll|ve|re)| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s"
 QUERY_STEP = 50
 NEIGHBOURS = 5
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN, added_tokens=True)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, SCAN_PATTERN, added_tokens=True)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
@@ -115,7 +117,7 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    files = token_files.write_token_files(docs, staging_path(spark, "files"), VOCABULARY, PATTERN)
+    files = token_files.write_token_files(docs, staging_path(spark, "files"), VOCABULARY, SCAN_PATTERN)
     return token_files.read_token_files(files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.llm.common import stage, with_key
-from tapeline.llm.packing import encode_with_added
+from tapeline.llm.packing import encoder_with_added
 from tapeline.llm.warc import open_store
 from tapeline.sources.staging import staging_path
 
@@ -180,10 +180,11 @@ def encoded(docs: DataFrame, vocabulary_path: str, pattern: str) -> tuple[DataFr
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder_with_added(vocabulary.value, pattern)
         for batch in batches:
             columns: list[list] = [[] for _ in types]
             for key, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = np.frombuffer(encode_with_added(text or "", vocabulary.value, pattern) + end, "<u4").astype(width)
+                ids = np.frombuffer(encode(text or "") + end, "<u4").astype(width)
                 for piece, at in enumerate(range(0, len(ids), PIECE_TOKENS)):
                     row = (key, doc_id, piece, len(ids), ids[at : at + PIECE_TOKENS].tobytes())
                     for column, value in zip(columns, row, strict=True):

@@ -1,12 +1,15 @@
 import io
+import itertools
 from zlib import crc32
 
 import numpy as np
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from tapeline.llm import token_files
-from tapeline.llm.queries import PATTERN, QUERIES, VOCABULARY
+from tapeline.llm.packing import encoder_with_added
+from tapeline.llm.queries import PATTERN, QUERIES, SCAN_PATTERN, VOCABULARY
 from tapeline.llm.token_files import FileError, Writer, pack_ranks, read_file, unpack_ranks
 
 from conftest_llm import SF_DIR
@@ -40,6 +43,19 @@ def test_control_bytes_against_a_plain_reading():
     assert data == b"\x01" + (300).to_bytes(2, "little") + (70_000).to_bytes(3, "little") + (1 << 30).to_bytes(4, "little") + b"\x09"
 
 
+def test_the_faster_pattern_cuts_as_the_given_one(odd_texts):
+    given, faster = regex.compile(PATTERN), regex.compile(SCAN_PATTERN)
+    for parts in itertools.product([" ", "\n", "'", "s", "ll", "ve", "é", "1", "²", "!", "字", "\u00a0", "\u2028"], repeat=4):
+        assert given.findall("".join(parts)) == faster.findall("".join(parts))
+    for code in [*range(0xD800), *range(0xE000, 0x30000)]:
+        text = f"a{chr(code)} {chr(code)}'s'{chr(code)}1"
+        assert given.findall(text) == faster.findall(text)
+    vocabulary = open(VOCABULARY, "rb").read()
+    encode, faster_encode = (encoder_with_added(vocabulary, p) for p in (PATTERN, SCAN_PATTERN))
+    for text in [*odd_texts, "it's  we'll\t\tthey've 12 1a \n\n x \n"]:
+        assert encode(text or "") == faster_encode(text or "")
+
+
 def written(docs, by_rank=np.arange(100), start=7):
     out = io.BytesIO()
     writer = Writer(out, start, by_rank)
