@@ -356,3 +356,19 @@ LEFT JOIN close_of USING (trade_dt, symbol, exchange)""",
 ORACLE["daily_trades"] = ORACLE["load_trades"]
 ORACLE["daily_quotes"] = ORACLE["load_quotes"]
 ORACLE["daily_enriched"] = _enriched(_EARLIER_DAY, tables=_DAILY_TABLES)
+# Which dates a late folder with the corrections of even days changes: those of its proper messages.
+_LATE = """late AS (
+  SELECT DISTINCT trade_dt FROM messages WHERE partition <> 'B'
+  AND day(CAST(trade_dt AS DATE)) % 2 = 0
+  AND CAST(arrival_tm AS TIMESTAMP) = CAST(event_tm AS TIMESTAMP) + INTERVAL '6' SECOND)"""
+ORACLE["late_corrections"] = f"""WITH {_RAW}, messages AS ({_ALL}), {_LATE},
+typed AS (SELECT {_TRADE_TYPED} FROM messages WHERE {_TRADE_PROPER})
+SELECT *, arrival_tm AS latest, trade_dt IN (SELECT trade_dt FROM late) AS rebuilt
+FROM typed {_NEWEST}"""
+ORACLE["enriched_without_first_trades"] = _enriched(
+    _EARLIER_DAY,
+    tables=_DAILY_TABLES.replace(
+        f"FROM messages WHERE {_TRADE_PROPER}",
+        f"FROM messages WHERE {_TRADE_PROPER} AND trade_dt > (SELECT min(CAST(trade_dt AS VARCHAR)) FROM base)",
+    ),
+)

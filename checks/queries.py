@@ -44,10 +44,12 @@ from tapeline.schemas import ENRICHED_COLUMNS, QUOTE, QUOTE_TYPES, TRADE, TRADE_
 from tapeline.sources.messages import format_glob, source_files
 from tapeline.sources.staging import stage, staging_path
 from tapeline.sources.tables import on_dates, read_events, write_partitioned
+from tapeline.sources.versions import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 REPORT_DATE = "2024-01-15"
+LATE_FOLDER = "DATE '2030-01-01'"
 
 
 def portable(rows: DataFrame) -> DataFrame:
@@ -76,10 +78,10 @@ def _stored(spark, sf_dir):
     return stage(_trades(spark, sf_dir), "trade"), stage(_quotes(spark, sf_dir), "quote")
 
 
-def _message_files(spark, sf_dir) -> str:
+def _message_files(spark, sf_dir, messages=None, src_date="trade_dt") -> str:
     """Message files of both formats in the shared folder, by date and exchange."""
     root = staging_path(spark, "messages")
-    messages = market.raw_messages(spark, sf_dir)
+    messages = market.raw_messages(spark, sf_dir) if messages is None else messages
     origin = ["src_date", "src_exchange"]
     for name, exchange, lines_of in (
         ("csv", "NYSE", market.csv_lines),
@@ -87,7 +89,7 @@ def _message_files(spark, sf_dir) -> str:
     ):
         lines = lines_of(
             messages.where(F.col("exchange") == exchange)
-            .withColumns({"src_date": F.col("trade_dt"), "src_exchange": F.col("exchange")}),
+            .withColumns({"src_date": F.expr(src_date), "src_exchange": F.col("exchange")}),
             *origin,
         )
         lines.hint("rebalance", *origin).write.partitionBy(*origin).text(f"{root}/{name}")
@@ -115,11 +117,11 @@ def _daily_tables(spark, sf_dir):
 
 
 def daily_trades(spark, sf_dir):
-    return spark.read.parquet(f"{_daily_tables(spark, sf_dir)}/tables/trade")
+    return read_table(spark, f"{_daily_tables(spark, sf_dir)}/tables/trade")
 
 
 def daily_quotes(spark, sf_dir):
-    return spark.read.parquet(f"{_daily_tables(spark, sf_dir)}/tables/quote")
+    return read_table(spark, f"{_daily_tables(spark, sf_dir)}/tables/quote")
 
 
 def daily_enriched(spark, sf_dir):
@@ -127,7 +129,42 @@ def daily_enriched(spark, sf_dir):
     tables, output, log = f"{path}/tables", f"{path}/enriched", f"{path}/log"
     run_enrich(spark, tables, output, log)
     run_enrich(spark, tables, output, log, REPORT_DATE)
-    return spark.read.parquet(output).select(*ENRICHED_COLUMNS)
+    return read_table(spark, output).select(*ENRICHED_COLUMNS)
+
+
+def late_corrections(spark, sf_dir):
+    """The trades after corrections of every even day came in one late folder.
+
+    The second load is told no dates; ``rebuilt`` marks those it chose.
+    """
+    path = staging_path(spark, "late")
+    events, tables, log = f"{path}/events", f"{path}/tables", f"{path}/log"
+    corrected = F.expr("arrival_tm = event_tm + INTERVAL '6' SECOND")
+    late = corrected & (F.day("trade_dt") % 2 == 0)
+    messages = market.raw_messages(spark, sf_dir)
+    for part, src_date in ((messages.where(~late), "trade_dt"), (messages.where(late), LATE_FOLDER)):
+        root = _message_files(spark, sf_dir, part, src_date)
+        # corrected events have even numbers, so all are of the exchange that sends CSV
+        json = None if src_date == LATE_FOLDER else format_glob(root, "json")
+        run_ingest(spark, format_glob(root, "csv"), json, events, log)
+        dates = run_load(spark, events, tables, log)
+    rebuilt = F.col("trade_dt").isin([F.lit(day).cast("date") for day in dates if day])
+    return read_table(spark, f"{tables}/trade").withColumn("rebuilt", rebuilt)
+
+
+def enriched_without_first_trades(spark, sf_dir):
+    """Enriched quotes of a store whose first date has quotes only, and is enriched first."""
+    path = staging_path(spark, "sparse")
+    events, tables, output, log = (f"{path}/{name}" for name in ("events", "tables", "enriched", "log"))
+    messages = market.raw_messages(spark, sf_dir)
+    first = messages.agg(F.min("trade_dt")).first()[0]
+    is_first = F.col("trade_dt") == F.lit(first)
+    for part in (messages.where(is_first & (F.col("rec_type") != TRADE)), messages.where(~is_first)):
+        root = _message_files(spark, sf_dir, part)
+        run_ingest(spark, format_glob(root, "csv"), format_glob(root, "json"), events, log)
+        dates = run_load(spark, events, tables, log)
+        run_enrich(spark, tables, output, log, [day for day in dates if day])
+    return read_table(spark, output).select(*ENRICHED_COLUMNS)
 
 
 def ingest_csv(spark, sf_dir):
@@ -355,6 +392,8 @@ QUERIES: dict[str, Query] = {
     "daily_trades": daily_trades,
     "daily_quotes": daily_quotes,
     "daily_enriched": daily_enriched,
+    "late_corrections": late_corrections,
+    "enriched_without_first_trades": enriched_without_first_trades,
 }
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tapeline.llm import packing, pii, quality, simhash, substrings
 from tapeline.llm.common import fresh, stage, table
-from tapeline.llm.queries import PATTERN, VOCABULARY
+from tapeline.llm.queries import SCAN_PATTERN, VOCABULARY
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of tokens, a row per piece of a document."""
-    return packing.pack(docs, VOCABULARY, PATTERN, added_tokens=True)
+    return packing.pack(docs, VOCABULARY, SCAN_PATTERN, added_tokens=True)
 
 
 def _with_own_names(docs: DataFrame, results: Sequence[str], function: Callable) -> DataFrame:

@@ -4,7 +4,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tapeline.plans.jobs import run_enrich, run_ingest, run_load
+from tapeline.plans.jobs import run_clean, run_enrich, run_ingest, run_load
 from tapeline.settings import configured
 
 
@@ -22,7 +22,9 @@ def main() -> None:
     job = jobs.add_parser("load", help="event table to daily trade and quote tables")
     job.add_argument("--events", required=True)
     job.add_argument("--tables", required=True)
-    job.add_argument("--dates", nargs="+", help="trade dates to rebuild, default all")
+    which = job.add_mutually_exclusive_group()
+    which.add_argument("--dates", nargs="+", help="trade dates to rebuild, default those changed")
+    which.add_argument("--everything", action="store_true", help="rebuild all dates")
 
     job = jobs.add_parser("enrich", help="trade and quote tables to enriched quotes")
     job.add_argument("--tables", required=True)
@@ -32,12 +34,18 @@ def main() -> None:
     job.add_argument("--calendar-day", action="store_true")
     job.add_argument("--bid-price", action="store_true")
 
+    job = jobs.add_parser("clean", help="delete what later runs replaced")
+    job.add_argument("--tables", nargs="+", required=True, help="paths of single tables")
+    job.add_argument("--keep-hours", type=float, default=24)
+
     args = parser.parse_args()
     spark = configured(SparkSession.builder).appName(f"tapeline-{args.job}").getOrCreate()
     if args.job == "ingest":
         run_ingest(spark, args.csv, args.json, args.events, args.log, args.bad)
     elif args.job == "load":
-        run_load(spark, args.events, args.tables, args.log, args.dates)
+        run_load(spark, args.events, args.tables, args.log, args.dates, args.everything)
+    elif args.job == "clean":
+        run_clean(spark, args.tables, args.log, args.keep_hours)
     else:
         run_enrich(
             spark,

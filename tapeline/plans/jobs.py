@@ -6,6 +6,7 @@ write the stored tables and log their status.
 """
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,20 +25,37 @@ from tapeline.operators.parsing import all_events, bad_records
 from tapeline.operators.prices import last_price, prev_close
 from tapeline.plans.runlog import RunLog
 from tapeline.schemas import (
+    CLOSE_TABLE_TYPES,
     DAY_GROUP_KEY,
     DAY_SYMBOL_KEY,
     ENRICHED_COLUMNS,
+    EVENT_TABLE_TYPES,
     QUOTE,
+    QUOTE_TABLE_TYPES,
     QUOTE_TYPES,
+    SOURCE_KEY,
     TRADE,
+    TRADE_TABLE_TYPES,
     TRADE_TYPES,
+    schema_of,
 )
 from tapeline.sources.messages import no_lines, origins, read_lines
 from tapeline.sources.staging import stage, staging_scope
-from tapeline.sources.tables import on_dates, read_daily, read_events, replace_partitions
+from tapeline.sources.tables import on_dates, read_daily
+from tapeline.sources.versions import (
+    notes,
+    remove_superseded,
+    replace_partitions,
+    snapshot,
+    within,
+    written,
+)
 
 HALF_HOUR = 1800
-SOURCE_KEY = ("src_date", "src_format", "src_exchange")
+#: kept with each run of the event table: the trade dates it changed
+CHANGED = "changed"
+#: kept with each run of the closes: the event runs it took in
+LOADED = "loaded"
 
 
 def ingest(
@@ -102,9 +120,9 @@ def _dates(dates: Sequence[str] | str | None) -> list[str] | None:
     return [dates] if isinstance(dates, str) else None if dates is None else list(dates)
 
 
-def _covered(dates: Sequence[str] | None) -> list[dict]:
+def _covered(dates: Sequence[str | None] | None, column: str = "trade_dt") -> list[dict]:
     """What a run over ``dates`` replaces of a table by trade date; without, all of it."""
-    return [{}] if dates is None else [{"trade_dt": day} for day in dates]
+    return [{}] if dates is None else [{column: day} for day in dates]
 
 
 def run_ingest(
@@ -119,22 +137,49 @@ def run_ingest(
 
     The table is partitioned by file date, format and exchange, then by the trade
     date in the message and the record type.  A run replaces all that the table
-    holds of the folders it read, and nothing else.  Bad rows have no fields in the
-    event table; ``bad_path`` keeps the text of their lines.
+    holds of the folders it read, in one step, and nothing else.  With the run it records
+    the trade dates of the rows that it replaced or wrote, for the load job.  Bad rows have
+    no fields in the event table; ``bad_path`` keeps the text of their lines.
     """
     with RunLog(spark, log_path).job("ingest"):
         given = [paths for paths in (csv_paths, json_paths) if paths]
-        covered = [origin for paths in given for origin in origins(spark, paths)]
+        found = [origin for paths in given for origin in origins(spark, paths)]
+        covered = [{c: origin[c] for c in SOURCE_KEY} for origin in found]
         csv, json = (
             read_lines(spark, paths) if paths else no_lines(spark)
             for paths in (csv_paths, json_paths)
         )
         events = all_events(csv, json, *SOURCE_KEY)
         events = events.withColumn("trade_day", F.col("trade_dt").try_cast("date"))
-        by = [*SOURCE_KEY, "trade_day", "partition"]
-        replace_partitions(events, events_path, by, covered)
-        if bad_path is not None:
-            replace_partitions(bad_records(csv, json, *SOURCE_KEY), bad_path, SOURCE_KEY, covered)
+        with written() as versions:
+            by = [*SOURCE_KEY, "trade_day", "partition"]
+            version = versions.add(events, events_path, by, covered)
+            if bad_path is not None:
+                versions.add(bad_records(csv, json, *SOURCE_KEY), bad_path, SOURCE_KEY, covered)
+            days = version.read().select("trade_day")
+            before = snapshot(spark, events_path)
+            if before.runs:
+                replaced = before.read(schema_of(EVENT_TABLE_TYPES)).where(within(covered))
+                days = days.unionByName(replaced.select("trade_day"))
+            days = days.distinct().select(F.col("trade_day").cast("string"))
+            version.note(CHANGED, [row.trade_day for row in days.collect()])  # dates, not rows
+
+
+def changed_dates(
+    spark: SparkSession, events_path: str, tables_path: str
+) -> tuple[list[str], list[str | None]]:
+    """Event runs that no load has taken in yet, and the trade dates they changed.
+
+    A date is None where rows without a proper trade date changed.
+    """
+    published = snapshot(spark, events_path).runs
+    if not published:
+        raise FileNotFoundError(f"{events_path} has no published run")
+    close = f"{tables_path}/close"  # published last
+    loaded = set(notes(spark, close, LOADED, snapshot(spark, close).runs))
+    runs = [run for run in published if run not in loaded]
+    changed = set(notes(spark, events_path, CHANGED, runs))
+    return runs, sorted(changed, key=lambda day: day or "")
 
 
 def run_load(
@@ -143,34 +188,47 @@ def run_load(
     tables_path: str,
     log_path: str,
     dates: Sequence[str] | str | None = None,
-) -> None:
+    everything: bool = False,
+) -> list[str | None] | None:
     """Rebuild the daily ``trade``, ``quote``, ``close`` and ``rejected_*`` tables.
 
-    ``dates`` are the trade dates to rebuild, each from the events of all files that
-    hold it; the event table is pruned to them.  Rows whose trade date is no date are
-    rejected, and rebuilt only by a run over every date.
+    Without ``dates``, those dates are rebuilt that ingested files changed since they were
+    last loaded: a late correction rebuilds its own trade date, whatever its file's date.
+    ``dates`` are the trade dates to rebuild instead; ``everything`` rebuilds all, and is
+    the only way to mend tables that were changed by hand.  Each date is rebuilt from the
+    events of all files that hold it, and the event table is pruned to them.  Rows whose trade
+    date is no date are rejected, and rebuilt when such rows changed or with everything.
+
+    All tables are written first and then published, one rename each.  The last one holds
+    which event runs are loaded, so a run that stops is done again by the next one.
+    Returns the dates that were rebuilt, None for all.
     """
     dates = _dates(dates)
     with RunLog(spark, log_path).job("load"):
-        covered = _covered(dates)
-        for record_type, name, types in (
-            (TRADE, "trade", TRADE_TYPES),
-            (QUOTE, "quote", QUOTE_TYPES),
-        ):
-            events = on_dates(read_events(spark, events_path, record_type), dates, "trade_day")
-            latest = keep_latest(typed_rows(events, types))
-            replace_partitions(latest, f"{tables_path}/{name}", ["trade_dt"], covered)
-            rejected = rejected_rows(events, types, "trade_day", "src_date")
-            replace_partitions(
-                rejected,
-                f"{tables_path}/rejected_{name}",
-                ["trade_day"],
-                [{"trade_day": v for v in one.values()} for one in covered],
-            )
-        # a table without rows has no files to tell its columns
-        stored = spark.read.schema(",".join(f"{c} {t}" for c, t in (TRADE_TYPES | {"latest": "timestamp_ntz"}).items()))
-        trades = on_dates(stored.parquet(f"{tables_path}/trade"), dates)
-        replace_partitions(last_price(trades), f"{tables_path}/close", ["trade_dt"], covered)
+        taken: Sequence[str] = []
+        if dates is None:
+            taken, changed = changed_dates(spark, events_path, tables_path)
+            dates = None if everything else changed
+        if dates == []:
+            return dates
+        state = snapshot(spark, events_path)
+        with written() as versions:
+            for record_type, name, types in (
+                (TRADE, "trade", TRADE_TYPES),
+                (QUOTE, "quote", QUOTE_TYPES),
+            ):
+                of_type = state.read(schema_of(EVENT_TABLE_TYPES)).where(F.col("partition") == record_type)
+                events = on_dates(of_type, dates, "trade_day")
+                latest = keep_latest(typed_rows(events, types))
+                version = versions.add(latest, f"{tables_path}/{name}", ["trade_dt"], _covered(dates))
+                rejected = rejected_rows(events, types, "trade_day", "src_date")
+                path = f"{tables_path}/rejected_{name}"
+                versions.add(rejected, path, ["trade_day"], _covered(dates, "trade_day"))
+                if record_type == TRADE:
+                    trades = version.read()
+            close = versions.add(last_price(trades), f"{tables_path}/close", ["trade_dt"], _covered(dates))
+            close.note(LOADED, state.runs if dates is None else taken)
+    return dates
 
 
 def run_enrich(
@@ -187,16 +245,18 @@ def run_enrich(
 
     Trades and quotes are read for those dates only; earlier closing prices
     come from the small ``close`` table.  ``end_of_day`` writes the form of
-    :func:`enrich_quotes_eod`, to which the later options do not apply.
+    :func:`enrich_quotes_eod`, to which the later options do not apply.  Any of the
+    tables may be without rows: without quotes nothing is written, and without
+    trades or closes the quotes' values are NULL.
     """
     dates = _dates(dates)
     with RunLog(spark, log_path).job("enrich"), staging_scope(spark):
-        trades = read_daily(spark, f"{tables_path}/trade", dates)
-        quotes = read_daily(spark, f"{tables_path}/quote", dates)
+        trades = read_daily(spark, f"{tables_path}/trade", dates, TRADE_TABLE_TYPES)
+        quotes = read_daily(spark, f"{tables_path}/quote", dates, QUOTE_TABLE_TYPES)
         if end_of_day:
             enriched = enrich_quotes_eod(trades, quotes)
         else:
-            closes = read_daily(spark, f"{tables_path}/close")
+            closes = read_daily(spark, f"{tables_path}/close", types=CLOSE_TABLE_TYPES)
             enriched = enrich_quotes(
                 trades,
                 quotes,
@@ -205,3 +265,10 @@ def run_enrich(
                 include_bid_pr=include_bid_pr,
             )
         replace_partitions(enriched, output_path, ["trade_dt"], _covered(dates))
+
+
+def run_clean(spark: SparkSession, paths: Sequence[str], log_path: str, keep_hours: float = 24) -> int:
+    """Delete from the tables at ``paths`` what later runs replaced over ``keep_hours`` ago."""
+    before = datetime.now(timezone.utc) - timedelta(hours=keep_hours)
+    with RunLog(spark, log_path).job("clean"):
+        return sum(remove_superseded(spark, path, before) for path in paths)

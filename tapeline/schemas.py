@@ -1,5 +1,7 @@
 """Column lists, keys and types of the message, trade and quote tables."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import types as T
 
 # The all-text event table that ingestion writes, one row per message line.
@@ -50,6 +52,24 @@ QUOTE_TYPES = {
     "ask_size": "bigint",
 }
 
+
+def schema_of(types: Mapping[str, str]) -> T.StructType:
+    return T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in types.items()))
+
+
+# The stored tables, with their partition columns.
+SOURCE_KEY = ("src_date", "src_format", "src_exchange")
+_SOURCE_TYPES = {"src_date": "date", "src_format": "string", "src_exchange": "string"}
+EVENT_TABLE_TYPES = {
+    **{name: "string" for name in COMMON_COLUMNS if name != "partition"},
+    **_SOURCE_TYPES,
+    "trade_day": "date",
+    "partition": "string",
+}
+TRADE_TABLE_TYPES = {**TRADE_TYPES, "latest": "timestamp_ntz"}
+QUOTE_TABLE_TYPES = {**QUOTE_TYPES, "latest": "timestamp_ntz"}
+CLOSE_TABLE_TYPES = {"trade_dt": "date", "symbol": "string", "exchange": "string", "close_pr": PRICE}
+
 # Trades with their average, and quotes, lined up under one another.
 COMBINED_COLUMNS = (
     *EVENT_KEY,

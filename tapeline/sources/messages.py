@@ -42,10 +42,19 @@ def no_lines(spark: SparkSession) -> DataFrame:
 
 
 def origins(spark: SparkSession, paths: str | Sequence[str]) -> list[dict[str, str | None]]:
-    """The folders that message files lie in, those of empty files too; no file is read."""
+    """The folders that message files lie in, those of empty files too; no file is read.
+
+    Spark lists the files, many folders at a time; their names stay in the JVM, and only
+    the distinct folders come here.
+    """
     reader = spark.read.option("recursiveFileLookup", "true")
-    files = reader.text([paths] if isinstance(paths, str) else list(paths)).inputFiles()
-    found = {_origin_of(unquote(file)) for file in files}
+    files = reader.text([paths] if isinstance(paths, str) else list(paths))._jdf.inputFiles()
+    jvm = spark._jvm
+    listed = jvm.scala.jdk.javaapi.CollectionConverters.asJava(jvm.scala.Predef.genericWrapArray(files))
+    names = spark._jsparkSession.createDataset(listed, jvm.org.apache.spark.sql.Encoders.STRING())
+    folder = F.regexp_replace("value", "/[^/]+$", "/")
+    folders = DataFrame(names.toDF(), spark).select(folder.alias("folder")).distinct()
+    found = {_origin_of(f"{unquote(row.folder)}x") for row in folders.collect()}
     return [dict(zip(("src_format", "src_date", "src_exchange"), one, strict=True)) for one in found]
 
 

@@ -1,19 +1,21 @@
 """Partitioned Parquet tables: the event table and the daily tables."""
 
-import re
-from collections.abc import Iterable, Mapping, Sequence
-from urllib.parse import unquote
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeline.schemas import schema_of
+from tapeline.sources.versions import read_table
+
 
 def write_partitioned(rows: DataFrame, path: str, by: Sequence[str]) -> None:
     """Replace exactly the partitions that ``rows`` holds.
 
     One write for the whole input: a second overwrite of the same folder would
     remove what the first one wrote.  A stored partition that ``rows`` has no
-    row of stays as it is; see :func:`replace_partitions`.  The rows of a
+    row of stays as it is, and readers see one partition after the other change; see
+    ``versions.replace_partitions``.  The rows of a
     partition are shuffled into few files, and AQE splits a partition that is too
     big for one task.
     """
@@ -26,82 +28,30 @@ def write_partitioned(rows: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
-_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _folder_of(path: str, by: Sequence[str], values: Mapping[str, str | None]) -> str:
-    """The deepest folder of a stored table that holds all partitions with ``values``."""
-    for name in by:
-        value = values.get(name, "/")  # no folder name
-        if value is not None and not re.fullmatch(r"[\w.-]+", value):
-            break  # not given, or written in a form of Spark's own
-        path = f"{path}/{name}={_NULL_FOLDER if value is None else value}"
-    return path
-
-
-def _partition_files(
-    spark: SparkSession, folders: Iterable[str]
-) -> dict[str, tuple[dict, set[str]]]:
-    """Files of each partition folder below ``folders``, with the folder's values as text."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    found: dict[str, tuple[dict, set[str]]] = {}
-    for top in folders:
-        root = hadoop.Path(top)
-        store = root.getFileSystem(spark._jsc.hadoopConfiguration())
-        files = store.listFiles(root, True) if store.exists(root) else None
-        while files and files.hasNext():
-            file = files.next().getPath().toString()
-            folder = file.rpartition("/")[0]
-            values = dict(re.findall(r"/([^/=]+)=([^/]*)", folder))
-            shown = {k: None if v == _NULL_FOLDER else unquote(v) for k, v in values.items()}
-            found.setdefault(folder, (shown, set()))[1].add(file)
-    return found
-
-
-def replace_partitions(
-    rows: DataFrame, path: str, by: Sequence[str], covered: Iterable[Mapping[str, str | None]]
-) -> None:
-    """Replace all that the stored table holds of what ``covered`` names.
-
-    ``covered`` are values, as text, of some of the columns ``by``: the files or dates
-    that ``rows`` were made from.  A partition within them of which there are no rows
-    any more is removed; all others stay.  The new rows are written first, so a run
-    that fails leaves the old ones, and a rerun mends a run that stopped between.
-    """
-    spark = rows.sparkSession
-    wanted = [dict(values) for values in covered]
-
-    def is_covered(values: dict) -> bool:
-        return any(all(values.get(k) == v for k, v in one.items()) for one in wanted)
-
-    folders = {_folder_of(path, by, one) for one in wanted}
-    before = _partition_files(spark, folders)
-    write_partitioned(rows, path, by)
-    after = _partition_files(spark, folders)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for folder, (values, files) in before.items():
-        if is_covered(values) and files & after.get(folder, ({}, set()))[1]:
-            at = hadoop.Path(folder)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def read_events(spark: SparkSession, path: str, record_type: str) -> DataFrame:
-    """One record type of the event table (S6, F3); other folders are not listed."""
-    return spark.read.parquet(path).where(F.col("partition") == record_type)
+    """One record type of the event table (S6, F3); other folders are not read."""
+    return read_table(spark, path).where(F.col("partition") == record_type)
 
 
 def on_dates(
-    rows: DataFrame, dates: Sequence[str] | str | None, column: str = "trade_dt"
+    rows: DataFrame, dates: Sequence[str | None] | str | None, column: str = "trade_dt"
 ) -> DataFrame:
-    """Rows of the given trade dates (F1, S8); ``None`` keeps every date."""
+    """Rows of the given trade dates (F1, S8); ``None`` keeps every date, ``[None]`` rows without one."""
     if dates is None:
         return rows
     wanted = [dates] if isinstance(dates, str) else list(dates)
-    return rows.where(F.col(column).isin([F.lit(day).cast("date") for day in wanted]))
+    there = F.col(column).isin([F.lit(day).cast("date") for day in wanted if day is not None])
+    return rows.where(there | F.col(column).isNull() if None in wanted else there)
 
 
 def read_daily(
-    spark: SparkSession, path: str, dates: Sequence[str] | str | None = None
+    spark: SparkSession,
+    path: str,
+    dates: Sequence[str] | str | None = None,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A daily table, pruned to the folders of the given trade dates."""
-    return on_dates(spark.read.parquet(path), dates)
+    """A daily table, pruned to the folders of the given trade dates.
+
+    A table without rows has no files to tell its columns; ``types`` does.
+    """
+    return on_dates(read_table(spark, path, types and schema_of(types)), dates)

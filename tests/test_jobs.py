@@ -3,12 +3,13 @@ import json
 import pytest
 
 from tables import values
-from tapeline.plans.jobs import run_enrich, run_ingest, run_load
+from tapeline.plans.jobs import changed_dates, run_clean, run_enrich, run_ingest, run_load
 from tapeline.plans.runlog import RunLog
 from tapeline.schemas import ENRICHED_COLUMNS
 from tapeline.sources.messages import format_glob, read_lines, source_files
 from tapeline.sources.staging import shared_folder, stage, staging_scope
 from tapeline.sources.tables import read_events, write_partitioned
+from tapeline.sources.versions import read_table
 
 
 def csv_trade(day, time, seq, price, arrival=None, symbol="A"):
@@ -71,7 +72,7 @@ def test_text_of_bad_lines_is_kept_where_wanted(spark, root):
     run_ingest(
         spark, f"{data}/csv", f"{data}/json", f"{root}/events", f"{root}/log", f"{root}/bad"
     )
-    assert values(spark.read.parquet(f"{root}/bad"), "src_date", "source", "raw_line") == [
+    assert values(read_table(spark, f"{root}/bad"), "src_date", "source", "raw_line") == [
         (MONDAY, "csv", "junk"), (MONDAY, "json", "{oops"),
     ]
 
@@ -87,7 +88,7 @@ def ingest(spark, root, date="*"):
 
 
 def counts(spark, root):
-    events = spark.read.parquet(f"{root}/events")
+    events = read_table(spark, f"{root}/events")
     return values(events.groupBy("src_date", "partition").count(), "src_date", "partition", "count")
 
 
@@ -123,7 +124,7 @@ def test_both_formats_are_kept_and_a_rerun_changes_nothing(spark, root):
 
 
 def enriched(spark, root):
-    found = spark.read.parquet(f"{root}/enriched")
+    found = read_table(spark, f"{root}/enriched")
     assert sorted(found.columns) == sorted(ENRICHED_COLUMNS)
     return values(
         found, "trade_dt", "event_seq_nb", "latest_trade_pr", "mov_avg_pr", "close_pr"
@@ -134,11 +135,11 @@ def test_the_three_jobs(spark, root):
     log = f"{root}/log"
     ingest(spark, root)
     run_load(spark, f"{root}/events", f"{root}/tables", log)
-    trades = spark.read.parquet(f"{root}/tables/trade")
+    trades = read_table(spark, f"{root}/tables/trade")
     assert values(trades, "trade_dt", "trade_pr") == [
         (MONDAY, 12.0), (MONDAY, 20.0), (TUESDAY, 31.0),
     ]
-    rejected = spark.read.parquet(f"{root}/tables/rejected_trade")
+    rejected = read_table(spark, f"{root}/tables/rejected_trade")
     assert values(rejected, "trade_pr") == [("n/a",)]
 
     expected = [(MONDAY, 3, 20.0, 16.0, None), (TUESDAY, 4, 31.0, 31.0, 20.0)]
@@ -151,7 +152,7 @@ def test_the_three_jobs(spark, root):
     assert enriched(spark, root) == expected
 
     run_enrich(spark, f"{root}/tables", f"{root}/eod", log, end_of_day=True)
-    eod = spark.read.parquet(f"{root}/eod")
+    eod = read_table(spark, f"{root}/eod")
     assert values(eod, "trade_dt", "latest_trade_pr", "close_pr") == [
         (MONDAY, None, 20.0), (TUESDAY, None, 31.0),
     ]
@@ -167,7 +168,7 @@ def write(root, name, *lines):
 
 def load(spark, root, *dates):
     run_load(spark, f"{root}/events", f"{root}/tables", f"{root}/log", dates or None)
-    return values(spark.read.parquet(f"{root}/tables/trade"), "trade_dt", "event_seq_nb", "trade_pr")
+    return values(read_table(spark, f"{root}/tables/trade"), "trade_dt", "event_seq_nb", "trade_pr")
 
 
 def test_a_correction_in_a_later_file_leaves_the_rest_of_its_day(spark, root):
@@ -203,9 +204,11 @@ def test_a_rerun_leaves_nothing_stale(spark, root):
     write(root, f"csv/{TUESDAY}/NYSE/a.txt")
     rerun()
     assert counts(spark, root) == [(MONDAY, "T", 2), (TUESDAY, "Q", 1)]
-    assert not list((root / "bad").rglob("*.parquet"))
+    assert read_table(spark, f"{root}/bad").count() == 0
     assert load(spark, root, TUESDAY) == [(MONDAY, 1, 12.0), (MONDAY, 2, 20.0)]
     assert load(spark, root) == [(MONDAY, 1, 10.0), (MONDAY, 2, 20.0)]
+    assert run_clean(spark, [f"{root}/bad", f"{root}/tables/close", f"{root}/tables/rejected_trade"], f"{root}/log", 0)
+    assert not list((root / "bad").rglob("*.parquet"))
     for name in ("rejected_trade", "close"):
         days = {p.parent.name for p in (root / "tables" / name).rglob("*.parquet")}
         assert days == (set() if name == "rejected_trade" else {f"trade_dt={MONDAY}"})
@@ -223,7 +226,7 @@ def test_every_trade_is_kept_superseded_or_rejected(spark, root):
     )
     ingest(spark, root, MONDAY)
     assert load(spark, root) == [(MONDAY, 1, 10.0), (MONDAY, 10, 1.5), (MONDAY, 2, 20.0)]
-    rejected = spark.read.parquet(f"{root}/tables/rejected_trade")
+    rejected = read_table(spark, f"{root}/tables/rejected_trade")
     assert values(rejected, "event_seq_nb") == [("5",), ("6",), ("8",), ("9",)]
 
 
@@ -240,6 +243,86 @@ def test_a_run_leaves_no_staged_tables(spark, root, tmp_path):
     assert set(os.listdir(folder)) == before
 
 
+def everything(spark, root, name, *columns):
+    return values(read_table(spark, f"{root}/{name}"), *columns)
+
+
+def test_a_late_file_rebuilds_only_the_dates_it_changes(spark, root):
+    events, tables, log = f"{root}/events", f"{root}/tables", f"{root}/log"
+    write(root, f"csv/{TUESDAY}/NYSE/a.txt", csv_trade(TUESDAY, "09:00:00", 1, "30.0"))
+    ingest(spark, root)
+    # the bad lines have no trade date, so rows without one changed too
+    assert run_load(spark, events, tables, log) == [None, MONDAY, TUESDAY]
+    assert run_load(spark, events, tables, log) == []
+    written = {p for p in (root / "tables").rglob("*.parquet")}
+
+    write(root, "csv/2020-08-07/NYSE/late.txt", csv_trade(MONDAY, "09:00:00", 1, "12.0", arrival="23:59:59"))
+    run_ingest(spark, format_glob(f"{root}/data", "csv", "2020-08-07"), None, events, log)
+    assert changed_dates(spark, events, tables)[1] == [MONDAY]
+    assert run_load(spark, events, tables, log) == [MONDAY]
+    new = {p for p in (root / "tables").rglob("*.parquet")} - written
+    assert {p.parent.name for p in new} - {p.parent.name for p in new if p.parent.name.startswith("run=")} == {
+        f"trade_dt={MONDAY}"
+    }
+    run_load(spark, events, f"{root}/again", log, everything=True)
+    for name in ("trade", "quote", "close"):
+        columns = [c for c in ("trade_dt", "event_seq_nb", "trade_pr", "close_pr") if c in read_table(spark, f"{tables}/{name}").columns]
+        assert everything(spark, root, f"tables/{name}", *columns) == everything(spark, root, f"again/{name}", *columns)
+    assert (MONDAY, 1, 12.0) in everything(spark, root, "tables/trade", "trade_dt", "event_seq_nb", "trade_pr")
+
+
+def test_replaced_files_change_the_dates_they_no_longer_hold(spark, root):
+    ingest(spark, root)
+    load(spark, root)
+    write(root, f"csv/{TUESDAY}/NYSE/a.txt")  # Monday's correction and Tuesday's trades are gone
+    ingest(spark, root, TUESDAY)
+    assert changed_dates(spark, f"{root}/events", f"{root}/tables")[1] == [MONDAY, TUESDAY]
+    assert load(spark, root) == [(MONDAY, 1, 10.0), (MONDAY, 2, 20.0)]
+    # dates that were given are rebuilt without being noted
+    ingest(spark, root, MONDAY)
+    load(spark, root, MONDAY)
+    assert changed_dates(spark, f"{root}/events", f"{root}/tables")[1] == [None, MONDAY]
+    run_load(spark, f"{root}/events", f"{root}/tables", f"{root}/log", everything=True)
+    assert changed_dates(spark, f"{root}/events", f"{root}/tables") == ([], [])
+
+
+def test_a_load_that_stops_is_done_again(spark, root, monkeypatch):
+    from tapeline.plans import jobs
+
+    ingest(spark, root, MONDAY)
+    assert load(spark, root) == [(MONDAY, 1, 10.0), (MONDAY, 2, 20.0)]
+    ingest(spark, root, TUESDAY)
+    before = sorted(p for p in (root / "tables").rglob("*"))
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "last_price", stop)
+        with pytest.raises(KeyboardInterrupt):
+            load(spark, root)
+    assert sorted(p for p in (root / "tables").rglob("*")) == before
+    assert everything(spark, root, "tables/trade", "trade_dt", "trade_pr") == [(MONDAY, 10.0), (MONDAY, 20.0)]
+    assert load(spark, root)[0] == (MONDAY, 1, 12.0)
+
+
+def test_stores_with_an_empty_table(spark, root):
+    log = f"{root}/log"
+    for name, line in (("quotes", json_quote(MONDAY, "09:20:00", 3)), ("trades", json_trade(MONDAY, "09:10:00", 2, 20.0))):
+        write(root, f"{name}/json/{MONDAY}/NYSE/a.txt", line)
+        run_ingest(spark, None, f"{root}/data/{name}/json", f"{root}/{name}/events", log)
+        run_load(spark, f"{root}/{name}/events", f"{root}/{name}/tables", log)
+        for eod in (False, True):
+            run_enrich(spark, f"{root}/{name}/tables", f"{root}/{name}/out-{eod}", log, end_of_day=eod)
+            run_enrich(spark, f"{root}/{name}/tables", f"{root}/{name}/out-{eod}", log, [MONDAY], end_of_day=eod)
+    for eod in (False, True):
+        found = read_table(spark, f"{root}/quotes/out-{eod}")
+        assert values(found, "trade_dt", "event_seq_nb", "latest_trade_pr", "mov_avg_pr", "close_pr") == [
+            (MONDAY, 3, None, None, None)
+        ]
+        assert not list((root / "trades" / f"out-{eod}").rglob("*.parquet"))
+
+
 def test_the_command_line(spark, root, monkeypatch):
     import run_job
 
@@ -250,8 +333,11 @@ def test_the_command_line(spark, root, monkeypatch):
     data, events, tables = f"{root}/data", f"{root}/events", f"{root}/tables"
     run("ingest", "--csv", f"{data}/csv", "--json", f"{data}/json", "--events", events)
     run("load", "--events", events, "--tables", tables, "--dates", MONDAY, TUESDAY)
+    run("load", "--events", events, "--tables", tables)
+    run("load", "--events", events, "--tables", tables, "--everything")
+    run("clean", "--tables", f"{tables}/trade", f"{tables}/quote", "--keep-hours", "0")
     run("enrich", "--tables", tables, "--output", f"{root}/out", "--dates", TUESDAY, "--bid-price")
-    found = spark.read.parquet(f"{root}/out")
+    found = read_table(spark, f"{root}/out")
     assert values(found, "trade_dt", "latest_trade_pr", "close_pr", "bid_pr") == [
         (TUESDAY, 31.0, 20.0, 9.9)
     ]
