@@ -372,3 +372,24 @@ ORACLE["enriched_without_first_trades"] = _enriched(
         f"FROM messages WHERE {_TRADE_PROPER} AND trade_dt > (SELECT min(CAST(trade_dt AS VARCHAR)) FROM base)",
     ),
 )
+
+_OFFSET = """CASE event_seq_nb % 4 WHEN 0 THEN 'Z' WHEN 1 THEN '+05:30' WHEN 2 THEN '-08:00' ELSE '' END"""
+ORACLE["zoned_times"] = f"""WITH {_TABLES},
+texts AS (SELECT *, concat(CAST(event_tm AS VARCHAR), {_OFFSET}) AS text FROM trade)
+SELECT event_seq_nb, CAST(arrival_tm AS VARCHAR) AS arrival_tm, text,
+       CAST(CASE WHEN event_seq_nb % 4 = 3 THEN event_tm
+            ELSE timezone('America/New_York', CAST(text AS TIMESTAMPTZ)) END AS VARCHAR) AS local_tm
+FROM texts"""
+ORACLE["carried_month_ends"] = f"""WITH {_TABLES}, {_CLOSES.format(trades="latest_trade")},
+bounds AS (SELECT date_trunc('month', min(trade_dt))::DATE AS first, max(trade_dt) AS last_day FROM close_of),
+spread AS (
+  SELECT (first + to_months(2 * (trade_dt - first)::INT))::DATE AS trade_dt, symbol, exchange, close_pr
+  FROM close_of, bounds WHERE close_pr IS NOT NULL),
+months AS (
+  SELECT unnest(range(first::TIMESTAMP, (first + to_months(2 * (last_day - first)::INT + 1)), INTERVAL '1' MONTH))::DATE AS month
+  FROM bounds)
+SELECT CAST(m.month AS VARCHAR) AS month, CAST(s.trade_dt AS VARCHAR) AS trade_dt, k.symbol, k.exchange,
+       CAST(s.close_pr AS DOUBLE) AS close_pr
+FROM months m CROSS JOIN (SELECT DISTINCT symbol, exchange FROM spread) k
+ASOF JOIN spread s
+  ON s.symbol = k.symbol AND s.exchange = k.exchange AND (m.month + INTERVAL '1' MONTH)::DATE > s.trade_dt"""

@@ -1,11 +1,13 @@
 """The registered queries: each operator and job over the whole events table."""
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sample_market as market
+from tapeline.functions.casts import event_time
 from tapeline.operators.asof import fill_asof, trade_points
 from tapeline.operators.corrections import (
     annotate_latest,
@@ -24,6 +26,7 @@ from tapeline.operators.parsing import (
     to_events,
 )
 from tapeline.operators.prices import (
+    carried_closes,
     last_event_time,
     last_price,
     last_price_literal,
@@ -254,12 +257,42 @@ def moving_avg_bucketed(spark, sf_dir):
     return _average(moving_average(trades, 6 * 3600, ("symbol", "exchange"), cell_seconds=300))
 
 
+def zoned_times(spark, sf_dir):
+    """Event times written with and without offsets, shown in one time zone."""
+    seq = F.col("event_seq_nb")
+    text = F.concat(
+        F.col("event_tm").cast("string"),
+        F.when(seq % 4 == 0, "Z").when(seq % 4 == 1, "+05:30").when(seq % 4 == 2, "-08:00").otherwise(""),
+    )
+    rows = market.raw_trades(spark, sf_dir).withColumn("text", text)
+    local = event_time(F.col("text"), F.lit("2024-01-01"), "America/New_York")
+    return rows.select("event_seq_nb", "arrival_tm", "text", local.alias("local_tm"))
+
+
+def carried_month_ends(spark, sf_dir):
+    """Closes at month ends: of all at once up to the tenth day, then carried on from there."""
+    closes = stage(last_price(_trades(spark, sf_dir), one_version=True), "close")
+    days = closes.agg(F.min("trade_dt"), F.max("trade_dt")).first()
+    first = days[0].replace(day=1)
+    # each day stands for one two months long, so that there are month ends between
+    spread = F.add_months(F.lit(first), 2 * F.datediff("trade_dt", F.lit(first)))
+    closes = stage(closes.withColumn("trade_dt", spread), "spread")
+    middle, last = spark.range(1).select(
+        F.add_months(F.lit(first), 20), F.add_months(F.lit(first), 2 * (days[1] - first).days)
+    ).first()
+    early = closes.where(F.col("trade_dt") < F.lit(middle))
+    carried = stage(carried_closes(early, early.limit(0), None, middle - timedelta(days=1)), "carried")
+    before = carried.where(F.col("month") == F.add_months(F.lit(middle), -1))
+    later = carried_closes(closes.where(F.col("trade_dt") >= F.lit(middle)), before, middle, last)
+    return carried.unionByName(later.where(F.col("month") >= F.lit(middle)))
+
+
 def last_event_times(spark, sf_dir):
     return last_event_time(market.raw_trades(spark, sf_dir))
 
 
 def closing_prices(spark, sf_dir):
-    return last_price(_trades(spark, sf_dir))
+    return last_price(_trades(spark, sf_dir), one_version=True)
 
 
 def closing_prices_literal(spark, sf_dir):
@@ -290,7 +323,7 @@ def quotes_of_combined(spark, sf_dir):
 
 
 def filled_latest_eod(spark, sf_dir):
-    return fill_latest_eod(stage(_combined(spark, sf_dir), "combined"))
+    return fill_latest_eod(stage(_combined(spark, sf_dir), "combined"), one_version=True)
 
 
 def filled_asof(spark, sf_dir):
@@ -373,6 +406,8 @@ QUERIES: dict[str, Query] = {
     "moving_avg_30m": moving_avg_30m,
     "moving_avg_6h": moving_avg_6h,
     "moving_avg_bucketed": moving_avg_bucketed,
+    "zoned_times": zoned_times,
+    "carried_month_ends": carried_month_ends,
     "last_event_time": last_event_times,
     "last_price": closing_prices,
     "last_price_literal": closing_prices_literal,

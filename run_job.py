@@ -24,6 +24,7 @@ def main() -> None:
     job.add_argument("--tables", required=True)
     which = job.add_mutually_exclusive_group()
     which.add_argument("--dates", nargs="+", help="trade dates to rebuild, default those changed")
+    job.add_argument("--zone", help="time zone of event times, such as America/New_York")
     which.add_argument("--everything", action="store_true", help="rebuild all dates")
 
     job = jobs.add_parser("enrich", help="trade and quote tables to enriched quotes")
@@ -43,7 +44,7 @@ def main() -> None:
     if args.job == "ingest":
         run_ingest(spark, args.csv, args.json, args.events, args.log, args.bad)
     elif args.job == "load":
-        run_load(spark, args.events, args.tables, args.log, args.dates, args.everything)
+        run_load(spark, args.events, args.tables, args.log, args.dates, args.everything, args.zone)
     elif args.job == "clean":
         run_clean(spark, args.tables, args.log, args.keep_hours)
     else:

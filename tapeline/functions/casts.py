@@ -15,24 +15,36 @@ def whole_number(text: Column) -> Column:
     )
 
 
-def event_time(text: Column, date_text: Column) -> Column:
+def event_time(text: Column, date_text: Column, zone: str | None = None) -> Column:
     """TIMESTAMP_NTZ of a date-time text.
 
-    A text with a time only belongs to ``date_text``: a plain cast would put
-    it on the day the job happens to run.  Times have no zone;
-    a plain cast would also pass over an offset or a zone after the time, so such
-    a text does not cast.
+    A text with a time only belongs to ``date_text``: a plain cast would put it on the day
+    the job happens to run.  Times are local and have no zone; a plain cast would also pass
+    over an offset or a zone after the time.  Such a text casts only if the time zone
+    is named that times are local to: it is the instant it tells, shown there.  So of the
+    hour that is repeated when clocks go back both instants have the same local time, and
+    none falls into the hour left out when they go forward.  A text without zone stays
+    as it is written, in such hours too.
     """
     zoned = text.rlike(_ZONED)
     full = F.when(text.rlike(r"^\s*\d{1,2}:\d{2}"), F.concat_ws(" ", date_text, F.trim(text)))
-    return F.when(~zoned, full.otherwise(text).try_cast("timestamp_ntz"))
+    full = full.otherwise(text)
+    local = F.when(~zoned, full.try_cast("timestamp_ntz"))
+    return local if zone is None else F.coalesce(local, F.when(zoned, _shown_in(full, zone)))
 
 
-def typed(name: str, type_name: str) -> Column:
-    """Column ``name`` of the all-text event table as ``type_name``."""
+def _shown_in(text: Column, zone: str) -> Column:
+    """Local time in ``zone`` of a text with a zone of its own, in any session time zone."""
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(text.try_cast("timestamp")), start)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
+def typed(name: str, type_name: str, zone: str | None = None) -> Column:
+    """Column ``name`` of the all-text event table as ``type_name``; see :func:`event_time`."""
     text = F.col(name)
     if type_name == "timestamp_ntz":
-        return event_time(text, F.col("trade_dt"))
+        return event_time(text, F.col("trade_dt"), zone)
     if type_name == "bigint":
         return whole_number(text)
     value = text.try_cast(type_name)

@@ -12,37 +12,42 @@ from tapeline.functions.joins import join_back
 from tapeline.schemas import EVENT_KEY, QUOTE_TYPES, TRADE_TYPES
 
 
-def _failed_cast(types: dict[str, str]) -> Column:
+def _failed_cast(types: dict[str, str], zone: str | None) -> Column:
     """True where a text that is present does not cast to its type, or a key is NULL."""
     return reduce(
         or_,
         [
-            typed(c, t).isNull() if c in EVENT_KEY else F.col(c).isNotNull() & typed(c, t).isNull()
+            typed(c, t, zone).isNull() & (F.lit(c in EVENT_KEY) | F.col(c).isNotNull())
             for c, t in types.items()
         ],
     )
 
 
-def typed_rows(events: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Rows of the all-text event table whose texts all cast, as ``types``."""
-    return events.where(~_failed_cast(types)).select(
-        *[typed(c, t).alias(c) for c, t in types.items()]
+def typed_rows(events: DataFrame, types: dict[str, str], zone: str | None = None) -> DataFrame:
+    """Rows of the all-text event table whose texts all cast, as ``types``.
+
+    Times are local to ``zone``; without it, a time with an offset or a zone does not cast.
+    """
+    return events.where(~_failed_cast(types, zone)).select(
+        *[typed(c, t, zone).alias(c) for c, t in types.items()]
     )
 
 
-def rejected_rows(events: DataFrame, types: dict[str, str], *extra: str) -> DataFrame:
+def rejected_rows(
+    events: DataFrame, types: dict[str, str], *extra: str, zone: str | None = None
+) -> DataFrame:
     """The rows :func:`typed_rows` leaves out, still as text, after ``extra`` columns."""
-    return events.where(_failed_cast(types)).select(*extra, *types)
+    return events.where(_failed_cast(types, zone)).select(*extra, *types)
 
 
-def trade_rows(events: DataFrame) -> DataFrame:
+def trade_rows(events: DataFrame, zone: str | None = None) -> DataFrame:
     """Typed trades out of the T partition."""
-    return typed_rows(events, TRADE_TYPES)
+    return typed_rows(events, TRADE_TYPES, zone)
 
 
-def quote_rows(events: DataFrame) -> DataFrame:
+def quote_rows(events: DataFrame, zone: str | None = None) -> DataFrame:
     """Typed quotes out of the Q partition."""
-    return typed_rows(events, QUOTE_TYPES)
+    return typed_rows(events, QUOTE_TYPES, zone)
 
 
 def latest_arrival(

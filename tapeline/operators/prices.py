@@ -1,11 +1,13 @@
 """Last event times, closing prices and previous closing prices."""
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeline.functions.joins import join_back
+from tapeline.functions.order import packed_order
 from tapeline.schemas import DAY_GROUP_KEY, GROUP_KEY
 
 
@@ -14,20 +16,21 @@ def last_event_time(rows: DataFrame, keys: Sequence[str] = GROUP_KEY) -> DataFra
     return rows.groupBy(*keys).agg(F.max("event_tm").alias("last_event_tm"))
 
 
-def last_price(trades: DataFrame, keys: Sequence[str] = DAY_GROUP_KEY) -> DataFrame:
+def last_price(
+    trades: DataFrame, keys: Sequence[str] = DAY_GROUP_KEY, one_version: bool = False
+) -> DataFrame:
     """Price of the last trade per key, as ``close_pr`` (A3).
 
-    At the same time the greater sequence number is the later trade.
+    At the same time the greater sequence number is the later trade.  Where ``trades``
+    hold ``one_version`` of each event, time and sequence number tell the last one, and
+    as one number they are aggregated by hash, without sorting the rows first.
     """
-    return (
-        trades.where(F.col("event_tm").isNotNull())
-        .groupBy(*keys)
-        .agg(
-            F.max_by(
-                "trade_pr", F.struct("event_tm", "event_seq_nb", "arrival_tm", "trade_pr")
-            ).alias("close_pr")
-        )
-    )
+    if one_version:
+        order = packed_order(F.col("event_tm"), F.lit(False), F.col("event_seq_nb"))
+    else:
+        order = F.struct("event_tm", "event_seq_nb", "arrival_tm", "trade_pr")
+    timed = trades.where(F.col("event_tm").isNotNull())
+    return timed.groupBy(*keys).agg(F.max_by("trade_pr", order).alias("close_pr"))
 
 
 def last_price_literal(trades: DataFrame) -> DataFrame:
@@ -77,3 +80,34 @@ def prev_close(closes: DataFrame, days: DataFrame, calendar_day: bool = False) -
         .where("wanted")
         .drop("wanted")
     )
+
+
+def month_of(day: Column) -> Column:
+    """The first day of a date's month."""
+    return F.trunc(day, "month")
+
+
+def carried_closes(
+    closes: DataFrame, carried: DataFrame, first_month: date | None, last_day: date
+) -> DataFrame:
+    """The last close of each symbol and exchange at the end of each month (A4).
+
+    ``closes`` are those from ``first_month`` on, ``carried`` those last known at the
+    end of the month before it, if any, both by trade date, symbol and exchange.
+    A row keeps the trade date it is of; ``month`` runs on to that of ``last_day``, also for
+    keys that are not traded any more.  A close that is NULL is none.  Closes are reduced to
+    one per key and month before they are shuffled, and a key then has a row a month.
+    """
+    columns = [*DAY_GROUP_KEY, "close_pr"]
+    before = F.lit(None).cast("date") if first_month is None else F.add_months(F.lit(first_month), -1)
+    monthly = (
+        closes.select(*columns)
+        .unionByName(carried.select(*columns))
+        .where(F.col("close_pr").isNotNull())
+        .groupBy(*GROUP_KEY, F.greatest(month_of(F.col("trade_dt")), before).alias("month"))
+        .agg(F.max_by("close_pr", "trade_dt").alias("close_pr"), F.max("trade_dt").alias("trade_dt"))
+    )
+    following = F.lead("month").over(Window.partitionBy(*GROUP_KEY).orderBy("month"))
+    until = F.coalesce(F.add_months(following, -1), month_of(F.lit(last_day)).cast("date"))
+    months = F.sequence("month", F.greatest("month", "until"), F.expr("INTERVAL '1' MONTH"))
+    return monthly.withColumn("until", until).select(F.explode(months).alias("month"), *columns)

@@ -6,7 +6,7 @@ write the stored tables and log their status.
 """
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +22,10 @@ from tapeline.operators.corrections import (
 from tapeline.operators.enrichment import REC_TYPE, combine, fill_latest_eod, join_close
 from tapeline.operators.moving_average import moving_average
 from tapeline.operators.parsing import all_events, bad_records
-from tapeline.operators.prices import last_price, prev_close
+from tapeline.operators.prices import carried_closes, last_price, prev_close
 from tapeline.plans.runlog import RunLog
 from tapeline.schemas import (
+    CARRIED_TABLE_TYPES,
     CLOSE_TABLE_TYPES,
     DAY_GROUP_KEY,
     DAY_SYMBOL_KEY,
@@ -43,6 +44,8 @@ from tapeline.sources.messages import no_lines, origins, read_lines
 from tapeline.sources.staging import stage, staging_scope
 from tapeline.sources.tables import on_dates, read_daily
 from tapeline.sources.versions import (
+    Version,
+    Versions,
     notes,
     remove_superseded,
     replace_partitions,
@@ -54,7 +57,7 @@ from tapeline.sources.versions import (
 HALF_HOUR = 1800
 #: kept with each run of the event table: the trade dates it changed
 CHANGED = "changed"
-#: kept with each run of the closes: the event runs it took in
+#: kept with each run of the carried closes: the event runs that the load took in
 LOADED = "loaded"
 
 
@@ -94,7 +97,7 @@ def enrich_quotes(
     """
     points = trade_points(trades, length_seconds, DAY_SYMBOL_KEY, DAY_GROUP_KEY)
     previous = prev_close(
-        last_price(trades) if closes is None else closes, quotes, calendar_day
+        last_price(trades, one_version=True) if closes is None else closes, quotes, calendar_day
     )
     filled = fill_asof(quotes, points, of_key=stage(previous, "prev_close"))
     columns = [*ENRICHED_COLUMNS, *(["bid_pr"] if include_bid_pr else [])]
@@ -112,8 +115,8 @@ def enrich_quotes_eod(
     """
     averaged = moving_average(trades, length_seconds, DAY_SYMBOL_KEY)
     combined = stage(combine(averaged, quotes, include_rec_type=True), "combined")
-    filled = fill_latest_eod(combined).where(F.col(REC_TYPE) == QUOTE)
-    return join_close(filled, stage(last_price(trades), "close")).select(*ENRICHED_COLUMNS)
+    filled = fill_latest_eod(combined, one_version=True).where(F.col(REC_TYPE) == QUOTE)
+    return join_close(filled, stage(last_price(trades, one_version=True), "close")).select(*ENRICHED_COLUMNS)
 
 
 def _dates(dates: Sequence[str] | str | None) -> list[str] | None:
@@ -175,8 +178,8 @@ def changed_dates(
     published = snapshot(spark, events_path).runs
     if not published:
         raise FileNotFoundError(f"{events_path} has no published run")
-    close = f"{tables_path}/close"  # published last
-    loaded = set(notes(spark, close, LOADED, snapshot(spark, close).runs))
+    carried = f"{tables_path}/carried"  # published last
+    loaded = set(notes(spark, carried, LOADED, snapshot(spark, carried).runs))
     runs = [run for run in published if run not in loaded]
     changed = set(notes(spark, events_path, CHANGED, runs))
     return runs, sorted(changed, key=lambda day: day or "")
@@ -189,8 +192,10 @@ def run_load(
     log_path: str,
     dates: Sequence[str] | str | None = None,
     everything: bool = False,
+    zone: str | None = None,
 ) -> list[str | None] | None:
-    """Rebuild the daily ``trade``, ``quote``, ``close`` and ``rejected_*`` tables.
+    """Rebuild the daily ``trade``, ``quote``, ``close`` and ``rejected_*`` tables, and ``carried``,
+    the closes last known at the end of each month.
 
     Without ``dates``, those dates are rebuilt that ingested files changed since they were
     last loaded: a late correction rebuilds its own trade date, whatever its file's date.
@@ -198,6 +203,7 @@ def run_load(
     the only way to mend tables that were changed by hand.  Each date is rebuilt from the
     events of all files that hold it, and the event table is pruned to them.  Rows whose trade
     date is no date are rejected, and rebuilt when such rows changed or with everything.
+    Times are local to ``zone``; without it, times with an offset or a zone are rejected.
 
     All tables are written first and then published, one rename each.  The last one holds
     which event runs are loaded, so a run that stops is done again by the next one.
@@ -219,18 +225,81 @@ def run_load(
             ):
                 of_type = state.read(schema_of(EVENT_TABLE_TYPES)).where(F.col("partition") == record_type)
                 events = on_dates(of_type, dates, "trade_day")
-                latest = keep_latest(typed_rows(events, types))
+                latest = keep_latest(typed_rows(events, types, zone))
                 version = versions.add(latest, f"{tables_path}/{name}", ["trade_dt"], _covered(dates))
-                rejected = rejected_rows(events, types, "trade_day", "src_date")
+                rejected = rejected_rows(events, types, "trade_day", "src_date", zone=zone)
                 path = f"{tables_path}/rejected_{name}"
                 versions.add(rejected, path, ["trade_day"], _covered(dates, "trade_day"))
                 if record_type == TRADE:
                     trades = version.read()
-            close = versions.add(last_price(trades), f"{tables_path}/close", ["trade_dt"], _covered(dates))
-            close.note(LOADED, state.runs if dates is None else taken)
+            closes = last_price(trades, one_version=True)
+            close = versions.add(closes, f"{tables_path}/close", ["trade_dt"], _covered(dates))
+            last = _carry(spark, tables_path, close.read(), dates, versions)
+            last.note(LOADED, state.runs if dates is None else taken)
     return dates
 
 
+def _carry(
+    spark: SparkSession,
+    tables_path: str,
+    closes: DataFrame,
+    dates: Sequence[str | None] | None,
+    versions: Versions,
+) -> Version:
+    """Bring the ``carried`` closes up to date with the rebuilt ``closes`` of ``dates``.
+
+    Those of earlier months stay; from the first month with a rebuilt date on, they are carried anew.
+    """
+    path, by = f"{tables_path}/carried", ["month"]
+    none = spark.createDataFrame([], schema_of(CARRIED_TABLE_TYPES))
+    days = [day for day in dates or () if day]
+    if dates is None:
+        last = closes.agg(F.max("trade_dt")).first()[0]
+        return versions.add(carried_closes(closes, none, None, last) if last else none, path, by, [{}])
+    if not days:
+        return versions.add(none, path, by, [])
+    first = date.fromisoformat(min(days)).replace(day=1)
+    stored, state = snapshot(spark, f"{tables_path}/close"), snapshot(spark, path)
+    if stored.runs:
+        later = on_dates(stored.read(schema_of(CLOSE_TABLE_TYPES)), days, outside=True)
+        closes = closes.unionByName(later.where(F.col("trade_dt") >= F.lit(first)))
+    carried = state.read(none.schema) if state.runs else none
+    last_carried = carried.agg(F.max("month")).first()[0]
+    last_close = closes.agg(F.max("trade_dt")).first()[0]
+    last = max(day for day in (first, last_carried, last_close) if day).replace(day=1)
+    rows = carried_closes(closes, _carried_before(carried, first), first, last).where(F.col("month") >= F.lit(first))
+    covered = [first]
+    while covered[-1] < last:
+        covered.append((covered[-1] + timedelta(days=32)).replace(day=1))
+    return versions.add(rows, path, by, [{"month": month.isoformat()} for month in covered])
+
+
+def _carried_before(carried: DataFrame, first: date) -> DataFrame:
+    """The closes carried to the last month end before the month ``first``."""
+    earlier = carried.where(F.col("month") < F.lit(first))
+    return earlier.where(F.col("month") == F.lit(earlier.agg(F.max("month")).first()[0])).drop("month")
+
+
+def closes_before(
+    spark: SparkSession, tables_path: str, dates: Sequence[str] | None
+) -> DataFrame:
+    """The closing prices that the previous close of ``dates`` can come from.
+
+    Those last known at the end of the month before the first date, and all from that month to
+    the last date: however long the history, two months' folders and those of ``dates`` are read.
+    """
+    closes = read_daily(spark, f"{tables_path}/close", types=CLOSE_TABLE_TYPES)
+    if not dates:
+        return closes
+    first = date.fromisoformat(min(dates)).replace(day=1)
+    between = F.col("trade_dt").between(F.lit(first), F.lit(date.fromisoformat(max(dates))))
+    state = snapshot(spark, f"{tables_path}/carried")
+    if not state.runs:  # tables that were loaded before closes were carried
+        return closes
+    carried = _carried_before(state.read(schema_of(CARRIED_TABLE_TYPES)), first)
+    return closes.where(between).unionByName(carried)
+
+
 def run_enrich(
     spark: SparkSession,
     tables_path: str,
@@ -243,8 +312,8 @@ def run_enrich(
 ) -> None:
     """Write the enriched quotes of the given trade dates.
 
-    Trades and quotes are read for those dates only; earlier closing prices
-    come from the small ``close`` table.  ``end_of_day`` writes the form of
+    Trades and quotes are read for those dates only, earlier closing prices from
+    the month before; see :func:`closes_before`.  ``end_of_day`` writes the form of
     :func:`enrich_quotes_eod`, to which the later options do not apply.  Any of the
     tables may be without rows: without quotes nothing is written, and without
     trades or closes the quotes' values are NULL.
@@ -256,7 +325,7 @@ def run_enrich(
         if end_of_day:
             enriched = enrich_quotes_eod(trades, quotes)
         else:
-            closes = read_daily(spark, f"{tables_path}/close", types=CLOSE_TABLE_TYPES)
+            closes = closes_before(spark, tables_path, dates)
             enriched = enrich_quotes(
                 trades,
                 quotes,

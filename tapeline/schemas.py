@@ -69,6 +69,7 @@ EVENT_TABLE_TYPES = {
 TRADE_TABLE_TYPES = {**TRADE_TYPES, "latest": "timestamp_ntz"}
 QUOTE_TABLE_TYPES = {**QUOTE_TYPES, "latest": "timestamp_ntz"}
 CLOSE_TABLE_TYPES = {"trade_dt": "date", "symbol": "string", "exchange": "string", "close_pr": PRICE}
+CARRIED_TABLE_TYPES = {**CLOSE_TABLE_TYPES, "month": "date"}
 
 # Trades with their average, and quotes, lined up under one another.
 COMBINED_COLUMNS = (

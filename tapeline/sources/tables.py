@@ -34,14 +34,22 @@ def read_events(spark: SparkSession, path: str, record_type: str) -> DataFrame:
 
 
 def on_dates(
-    rows: DataFrame, dates: Sequence[str | None] | str | None, column: str = "trade_dt"
+    rows: DataFrame,
+    dates: Sequence[str | None] | str | None,
+    column: str = "trade_dt",
+    outside: bool = False,
 ) -> DataFrame:
-    """Rows of the given trade dates (F1, S8); ``None`` keeps every date, ``[None]`` rows without one."""
+    """Rows of the given trade dates (F1, S8), or those ``outside`` of them.
+
+    ``None`` keeps every date, ``[None]`` rows without one.
+    """
     if dates is None:
         return rows
     wanted = [dates] if isinstance(dates, str) else list(dates)
     there = F.col(column).isin([F.lit(day).cast("date") for day in wanted if day is not None])
-    return rows.where(there | F.col(column).isNull() if None in wanted else there)
+    if None in wanted:
+        there = there | F.col(column).isNull()
+    return rows.where(~there if outside else there)
 
 
 def read_daily(

@@ -3,12 +3,13 @@ import json
 import pytest
 
 from tables import values
-from tapeline.plans.jobs import changed_dates, run_clean, run_enrich, run_ingest, run_load
+from tapeline.operators.prices import prev_close
+from tapeline.plans.jobs import changed_dates, closes_before, run_clean, run_enrich, run_ingest, run_load
 from tapeline.plans.runlog import RunLog
-from tapeline.schemas import ENRICHED_COLUMNS
+from tapeline.schemas import CLOSE_TABLE_TYPES, ENRICHED_COLUMNS
 from tapeline.sources.messages import format_glob, read_lines, source_files
 from tapeline.sources.staging import shared_folder, stage, staging_scope
-from tapeline.sources.tables import read_events, write_partitioned
+from tapeline.sources.tables import read_daily, read_events, write_partitioned
 from tapeline.sources.versions import read_table
 
 
@@ -294,7 +295,7 @@ def test_a_load_that_stops_is_done_again(spark, root, monkeypatch):
     ingest(spark, root, TUESDAY)
     before = sorted(p for p in (root / "tables").rglob("*"))
 
-    def stop(*_):
+    def stop(*_, **__):
         raise KeyboardInterrupt
 
     with monkeypatch.context() as patch:
@@ -323,6 +324,48 @@ def test_stores_with_an_empty_table(spark, root):
         assert not list((root / "trades" / f"out-{eod}").rglob("*.parquet"))
 
 
+DAYS = ("2020-01-30", "2020-02-03", "2020-02-28", "2020-05-04", "2020-05-05", "2020-07-01")
+
+
+def test_closes_of_two_months_are_enough(spark, tmp_path):
+    """Whatever was loaded in whatever order, the previous closes are those of the full history."""
+    tables, events, log = (f"{tmp_path}/{name}" for name in ("tables", "events", "log"))
+
+    def deliver(folder, *lines):
+        path = tmp_path / "data" / "csv" / folder / "NYSE" / "a.txt"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("\n".join(lines))
+        run_ingest(spark, str(path), None, events, log)
+        run_load(spark, events, tables, log)
+
+    def check():
+        full = read_daily(spark, f"{tables}/close", types=CLOSE_TABLE_TYPES)
+        for day in (*DAYS, "2020-03-01", "2020-06-01", "2020-09-01", "2021-01-01"):
+            wanted = spark.sql(f"select date'{day}' as trade_dt, s as symbol, 'NYSE' as exchange from values 'A','B','C' as t(s)")
+            for calendar_day in (False, True):
+                some = prev_close(closes_before(spark, tables, [day]), wanted, calendar_day)
+                assert values(some, "symbol", "close_pr") == values(prev_close(full, wanted, calendar_day), "symbol", "close_pr")
+
+    lines = [csv_trade(day, "09:00:00", n, f"{n + 1}.5", symbol="AB"[n % 2]) for n, day in enumerate(DAYS)]
+    deliver("2020-07-02", *lines[1:4])
+    deliver("2020-07-03", lines[0], *lines[4:])
+    # a late correction of February's last close of A, and a new symbol there
+    deliver("2020-07-04", csv_trade(DAYS[2], "09:00:00", 2, "77.0", arrival="10:00:00"), csv_trade(DAYS[1], "09:00:00", 9, "5", symbol="C"))
+    check()
+    read = closes_before(spark, tables, [DAYS[3]])
+    folders = [row[0] for row in read.select("trade_dt").distinct().collect()]
+    assert sorted(map(str, folders)) == [DAYS[1], DAYS[2], DAYS[3]]
+    plan = spark._jvm.PythonSQLUtils.explainString(read._jdf.queryExecution(), "formatted")
+    assert plan.count("PartitionFilters: [") == 2 and "PartitionFilters: []" not in plan
+    # the correction goes away again, and C with it
+    deliver("2020-07-04", "")
+    run_load(spark, events, f"{tmp_path}/again", log, everything=True)
+    for name in ("close", "carried"):
+        again = read_table(spark, f"{tmp_path}/again/{name}")
+        rows = read_table(spark, f"{tables}/{name}")
+        assert values(rows, *sorted(rows.columns)) == values(again, *sorted(rows.columns))
+
+
 def test_the_command_line(spark, root, monkeypatch):
     import run_job
 

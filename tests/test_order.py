@@ -1,0 +1,47 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tables import values
+from tapeline.functions.order import packed_order
+from tapeline.operators.enrichment import latest_values
+from tapeline.operators.prices import last_price
+
+TIMES = [datetime(1, 1, 1), datetime(1969, 12, 31, 23, 59, 59, 999999), datetime(1970, 1, 1), datetime(2020, 8, 5, 9, 0, 0, 1), datetime(9999, 12, 31, 23, 59, 59, 999999)]
+NUMBERS = [-(2**63), -1, 0, 1, 2**63 - 1]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_packed_orders_as_its_parts_do(spark, settings, zone):
+    settings({"spark.sql.session.timeZone": zone})
+    rows = [(t, f, n) for t in TIMES for f in (False, True) for n in NUMBERS]
+    frame = spark.createDataFrame(rows, "t timestamp_ntz, f boolean, n bigint")
+    found = frame.select("t", "f", "n", packed_order(F.col("t"), F.col("f"), F.col("n")).alias("o")).collect()
+    in_order = sorted(found, key=lambda r: r.o)
+    assert [(r.t, r.f, r.n) for r in in_order] == sorted(rows)
+    assert len({r.o for r in found}) == len(rows) and all(r.o is not None for r in found)
+
+
+def trades(spark):
+    """A third of all rows are of one symbol, and many at one time stamp."""
+    return spark.range(30_000).select(
+        F.lit("2020-08-05").cast("date").alias("trade_dt"),
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 50)).alias("symbol"),
+        F.lit("X").alias("exchange"),
+        F.timestamp_add("SECOND", (F.col("id") * 7919 % 600).cast("int"), F.lit("2020-08-05 09:00:00").cast("timestamp_ntz")).alias("event_tm"),
+        F.col("id").alias("event_seq_nb"),
+        F.lit(None).cast("timestamp_ntz").alias("arrival_tm"),
+        (F.col("id") % 997).cast("decimal(18,4)").alias("trade_pr"),
+        F.when(F.col("id") % 5 == 0, F.col("id")).alias("ask_size"),
+        (F.col("id") % 31).cast("double").alias("mov_avg_pr"),
+    )
+
+
+def test_last_values_without_sorting(spark):
+    rows = trades(spark)
+    for function, columns in ((last_price, ("symbol", "close_pr")), (latest_values, ("symbol", "latest_trade_pr", "mov_avg_pr"))):
+        by_hash, by_sort = function(rows, one_version=True), function(rows)
+        assert values(by_hash, *columns) == values(by_sort, *columns)
+        plan = by_hash._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2

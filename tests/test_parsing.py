@@ -1,7 +1,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from tapeline.functions import casts
 from tapeline.operators.parsing import all_events, bad_records, parse_csv, parse_json, to_events
 from tapeline.schemas import COMMON_COLUMNS, COMMON_SCHEMA
 
@@ -154,3 +156,36 @@ def test_text_after_a_json_message_makes_the_line_bad(spark):
     found = {r.raw_line: r.partition for r in parse_json(rows).collect()}
     assert {line: found[line] for line in bad} == dict.fromkeys(bad, "B")
     assert {line: found[line] for line in fine} == dict.fromkeys(fine, "T")
+
+
+@pytest.mark.parametrize("session_zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_times_with_a_zone(spark, settings, session_zone):
+    settings({"spark.sql.session.timeZone": session_zone})
+    texts = {
+        "2020-08-05 09:00:00Z": "2020-08-05 05:00:00",
+        "2020-08-05T09:00:00.123456+05:30": "2020-08-04 23:30:00.123456",
+        "2020-01-05 09:00:00 Europe/Paris": "2020-01-05 03:00:00",
+        "09:00:00-08:00": "2020-08-05 13:00:00",  # on the trade date, there
+        # clocks go back at 06:00 UTC: two instants an hour apart have the same local time
+        "2020-11-01 05:30:00Z": "2020-11-01 01:30:00",
+        "2020-11-01 06:30:00Z": "2020-11-01 01:30:00",
+        # clocks go forward at 07:00 UTC
+        "2020-03-08 06:59:59Z": "2020-03-08 01:59:59",
+        "2020-03-08 07:00:00Z": "2020-03-08 03:00:00",
+        # without a zone: as written, in the hour left out too
+        "2020-03-08 02:30:00": "2020-03-08 02:30:00",
+        "2020-08-05 09:00:00": "2020-08-05 09:00:00",
+        "09:00:00": "2020-08-05 09:00:00",
+        "2020-08-05 09:00:00+99:00": None,
+        "2020-08-05 09:00:00 Nowhere/City": None,
+        "1890-01-01 12:00:00Z": "1890-01-01 07:00:00",
+        "junk": None,
+    }
+    frame = spark.createDataFrame([(t, "2020-08-05") for t in texts], "text string, day string")
+    local = casts.event_time(F.col("text"), F.col("day"), "America/New_York")
+    found = {r.text: r.t and str(r.t) for r in frame.select("text", local.alias("t")).collect()}
+    assert found == texts
+    without = {r.text: r.t for r in frame.select("text", casts.event_time(F.col("text"), F.col("day")).alias("t")).collect()}
+    assert [t for t, time in without.items() if time is not None] == [
+        "2020-03-08 02:30:00", "2020-08-05 09:00:00", "09:00:00",
+    ]
