@@ -1,5 +1,6 @@
 import itertools
 import re
+import time
 
 import pytest
 
@@ -142,3 +143,75 @@ def test_an_address_beside_other_numbers():
     assert pii.mask("one.two.three.four 4111 1111 1111 1111") == "<ip> <card>"
     assert pii.mask("5551234 one.two.three.four") == "5551234 <ip>"
     assert pii.mask("one.two.three, 1 2 " * 3000) == "one.two.three, 1 2 " * 3000
+
+
+WIDE = " " * 40
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        (f"write to jo{WIDE}(at){WIDE}site{WIDE}({WIDE}dot{WIDE}){WIDE}org now", "email", "jo@site.org"),
+        (f"host 192{WIDE}dot{WIDE}168 dot 0 dot 1", "ip", "192.168.0.1"),
+        (f"one{WIDE}nine two{WIDE}dot{WIDE}one six eight dot zero dot one", "ip", "192.168.0.1"),
+        (f"plus four{WIDE}nine one five one two three four five six", "phone", "+4915123456"),
+        ("plus vier neun eins fünf eins zwei drei vier fünf sechs", "phone", "+4915123456"),
+        ("plus quatre neuf un cinq un deux trois quatre cinq six", "phone", "+4915123456"),
+        ("plus cuatro nueve uno cinco uno dos tres cuatro cinco seis", "phone", "+4915123456"),
+        ("+44 20 double four 946 zero 958", "phone", "+4420449460958"),
+        ("+44 twenty 79 46 09 58 1", "phone", "+4420794609581"),
+        ("+44 twenty one 79 46 09 58", "phone", "+442179460958"),
+        ("plus four nine, one five one, two three four five six", "phone", "+4915123456"),
+        ("plus four nine\none five one\ntwo three four five six", "phone", "+4915123456"),
+        ("jo arroba site punto es", "email", "jo@site.es"),
+        ("jean arobase site point fr", "email", "jean@site.fr"),
+        ("+৪৯ ১৫১ ২৩৪৫৬৭", "phone", "+49 151 234567"),
+        ("+49 l51 23456O", "phone", "+49 151 234560"),
+        ("call 192 . 168 . 0 . 1 now", "ip", "192.168.0.1"),
+        ("mail jo_at_site_dot_org", "email", "jo@site.org"),
+        ("jo77 at site dot org", "email", "jo77@site.org"),
+        ("see jo.b at site dot org", "email", "jo.b@site.org"),
+        ("contact: jo at site (dot) org!", "email", "jo@site.org"),
+        ("Smith, jo at site dot org, London", "email", "jo@site.org"),
+    ],
+)
+def test_wider_disguises(text, kind, value):
+    found = pii.spans(text)
+    assert [(k, v) for k, _, _, base_, v in found if not base_] == [(kind, value)]
+    ((_, start, end, _, _),) = [s for s in found if not s[3]]
+    assert not text[start].isspace() and not text[end - 1].isspace()
+
+
+PROSE = [
+    "meet us at example dot com", "we looked at acme dot org", "She laughed at every dot com boom.",
+    "list 1. 2. 3. 4. ok", "one, two, three, four", "dix, six, huit et neuf", "in 2019. 5 people", "zero point un",
+    "Ol O1l l0 IO", "a black_dot_size look_at_me", "six at the table, seven at home", "version 1 . 2 . 3",
+    "uno dos tres", "double trouble twenty", "the null dot product one dot two",
+]
+
+
+def test_prose_gives_no_false_positives():
+    found = {text: pii.spans(text) for text in PROSE}
+    assert sum(map(bool, found.values())) == 0, found
+
+
+@pytest.mark.parametrize(
+    "unit", ["jo.b@site.org, ", "jo77 (at) site (dot) org, ", "one dot one ", "one two, ", "( at ", "1" + " " * 30, "O1", "a_at_"]
+)
+def test_time_in_proportion_to_the_length(unit):
+    def took(count):
+        times = []
+        for _ in range(3):
+            start = time.perf_counter()
+            pii.spans(unit * count)
+            times.append(time.perf_counter() - start)
+        return min(times)
+
+    assert took(16_000) < 12 * max(took(4_000), 0.002)  # four times as long; a square would take sixteen
+
+
+def test_three_megabytes_of_addresses():
+    text = "jo.bo@site.org, one nine two dot one six eight dot zero dot one; " * 46_000
+    start = time.perf_counter()
+    assert len(pii.spans(text)) == 92_000
+    assert time.perf_counter() - start < 30  # 8 s; a square took a quarter of an hour
