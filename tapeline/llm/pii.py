@@ -4,7 +4,7 @@ import re
 import sys
 import unicodedata
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -129,6 +129,8 @@ def _plain_character(character: str) -> str:
 
 
 def homoglyphs(source: Mapped) -> list[tuple[int, int, str]]:
+    if source.text.isascii():
+        return []
     found = ((m.start(), m.end(), _plain_character(m[0])) for m in _DISGUISED.finditer(source.text))
     return [(a, b, new) for a, b, new in found if new != source.text[a:b]]
 
@@ -137,11 +139,14 @@ _LETTER, _NO_WORD_BEFORE, _NO_WORD_AFTER = r"[^\W\d_]", r"(?<![^\W_])", r"(?![^\
 
 #: letters that stand for digits where all else in a word is digits
 _DIGIT_LETTERS = {"O": "0", "o": "0", "l": "1", "I": "1"}
+_MIXED_HINT = re.compile(r"[0-9](?:(?=[OolI])|(?<=[OolI][0-9]))")
 _MIXED = re.compile(rf"{_NO_WORD_BEFORE}(?=[OolI]*[0-9])(?=[0-9]*[OolI])[0-9OolI]+{_NO_WORD_AFTER}")
 
 
 def digit_letters(source: Mapped) -> list[tuple[int, int, str]]:
     """``O49`` and ``l51``: O and l beside digits in a word of nothing else become digits."""
+    if not _MIXED_HINT.search(source.text):
+        return []
     found = (m.start() + i for m in _MIXED.finditer(source.text) for i, c in enumerate(m[0]) if c in _DIGIT_LETTERS)
     return [(at, at + 1, _DIGIT_LETTERS[source.text[at]]) for at in found]
 
@@ -162,7 +167,17 @@ _NUMBER_WORDS = {
 }
 _REPEATS = {"double": 2, "triple": 3, "doppel": 2, "doble": 2}
 _POINT_WORDS = frozenset(("dot", "point", "punkt", "punto"))
-_NUMBER = "|".join(sorted(_NUMBER_WORDS, key=len, reverse=True))
+
+
+def _any_of(words: Iterable[str]) -> str:
+    """A pattern of the words, longest first; first letters are told apart before the rest."""
+    by_first: dict[str, list[str]] = {}
+    for word in sorted(words, key=len, reverse=True):
+        by_first.setdefault(word[0], []).append(word[1:])
+    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_first.items())
+
+
+_NUMBER = _any_of(_NUMBER_WORDS)
 _POINTS = "|".join(sorted(_POINT_WORDS))
 _GAP = r"[\s-]+"
 _WORD = rf"{_NO_WORD_BEFORE}(?:(?:{'|'.join(_REPEATS)}){_GAP})?(?:{_NUMBER}){_NO_WORD_AFTER}"
@@ -179,6 +194,14 @@ _TWO = r"(?<![0-9])[0-9]{2}(?![0-9])"
 _OCTET = rf"(?:{_ONE}(?:{_GAP}{_ONE}){{2}}|{_ONE}{_GAP}{_TWO}|{_TWO}{_GAP}{_ONE}|{_ONE}{_GAP}{_ONE}|{_ONE}|(?<![0-9])[0-9]+(?![0-9]))"
 _POINT = rf"(?:\.|{_GAP}(?:{_POINTS}){_GAP})"
 _SPELLED_IP = re.compile(rf"(?i)(?:\bplus{_GAP})?{_OCTET}(?:{_POINT}{_OCTET}){{3}}")
+#: what a lower-cased text holds if _SPELLED or _SPELLED_IP finds a number word in it: one of the
+#: words, beside another, a digit or a point, and for an address three points
+_SOME_WORDS = re.compile("[a-zéü]+")
+_BESIDE = re.compile(
+    rf"(?:{_NUMBER})(?:[\s-]+|\s*,\s*|\.|{_GAP}(?:{_POINTS}){_GAP})(?:{_NUMBER}|{'|'.join(_REPEATS)}|[0-9])"
+    rf"|[0-9](?:[\s-]+|\.|{_GAP}(?:{_POINTS}){_GAP})(?:(?:{'|'.join(_REPEATS)}){_GAP})?(?:{_NUMBER})"
+)
+_SOME_POINTS = re.compile(rf"[^\W_]\.(?=[^\W_])|{_POINTS}")
 _PART = re.compile(rf"{_LETTER}+|[0-9]+|[\s,-]+|\.")
 
 
@@ -230,9 +253,11 @@ def spelled_digits(source: Mapped) -> list[tuple[int, int, str]]:
     between them. An address may have octets of one word, with points written out between them.
     """
     text, edits, last = source.text, [], 0
-    if not _HAS_NUMBER.search(text):
+    lowered = text.lower()
+    if _NUMBER_WORDS.keys().isdisjoint(_SOME_WORDS.findall(lowered)) or not _BESIDE.search(lowered):
         return edits
-    for address in [*_spelled_addresses(text), None]:
+    pointed = len(_SOME_POINTS.findall(lowered)) >= 3
+    for address in [*(_spelled_addresses(text) if pointed else ()), None]:
         for match in _SPELLED.finditer(text, last, address.start() if address else len(text)):
             if _HAS_NUMBER.search(match[0]):
                 edits += _spelled_edits(match)
@@ -245,10 +270,10 @@ def spelled_digits(source: Mapped) -> list[tuple[int, int, str]]:
 _AT_WORDS = "arroba|arobase|klammeraffe"
 _DOT_TOKEN = rf"(?:{_POINTS}|\.)"
 _IN_BRACKETS = r"[\[({{<]\s*(?:{0})\s*[\])}}>]"
-_AT_HINT = re.compile(
-    rf"(?i){_IN_BRACKETS.format(f'at|@|{_AT_WORDS}|{_DOT_TOKEN}')}|{_NO_WORD_BEFORE}(?:{_POINTS}|{_AT_WORDS}){_NO_WORD_AFTER}"
-    r"|[0-9]\s+\.\s+[0-9]|_(?:at|dot)_"
-)
+#: what a lower-cased text holds if _AT finds something in it
+_AT_PARTS = (*_POINT_WORDS, *_AT_WORDS.split("|"), "_at_")
+_AT_PART = re.compile(rf"(?:{_POINTS}|{_AT_WORDS})(?=[\s\])}}>_])|_at_")
+_AT_SIGNS = re.compile(r"[\[({<]\s*(?:at|[@.])\s*[\])}>]|[0-9]\s+\.\s+[0-9]")
 #: what a written-out domain looks like after a bare ``at``
 _DOMAIN_AHEAD = rf"(?=[0-9A-Za-z-]+(?:\s+(?:{_POINTS})\s+|\s*{_IN_BRACKETS.format(_DOT_TOKEN)}\s*)[A-Za-z])"
 _AT = re.compile(
@@ -293,7 +318,9 @@ def _is_address(text: str, at: int) -> bool:
 def at_and_dot(source: Mapped) -> list[tuple[int, int, str]]:
     """Written-out ``at`` and ``dot`` become signs: in brackets, with any blanks around, or as words."""
     text, edits, last = source.text, [], 0
-    if not _AT_HINT.search(text):
+    lowered = text.lower()
+    some = any(part in lowered for part in _AT_PARTS) and _AT_PART.search(lowered)
+    if not some and not _AT_SIGNS.search(lowered):
         return edits
     for match in _AT.finditer(text):
         start, end = match.span()
