@@ -393,3 +393,6 @@ SELECT CAST(m.month AS VARCHAR) AS month, CAST(s.trade_dt AS VARCHAR) AS trade_d
 FROM months m CROSS JOIN (SELECT DISTINCT symbol, exchange FROM spread) k
 ASOF JOIN spread s
   ON s.symbol = k.symbol AND s.exchange = k.exchange AND (m.month + INTERVAL '1' MONTH)::DATE > s.trade_dt"""
+ORACLE["run_log_runs"] = f"""WITH {_LOG.replace("AS status", "AS status, event_id")}
+SELECT concat(job_id, '-', event_id % 7) AS run_id, arg_max(status, (ts, event_id::VARCHAR)) AS status
+FROM log GROUP BY 1"""

@@ -1,7 +1,7 @@
 """The registered queries: each operator and job over the whole events table."""
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -373,6 +373,21 @@ def run_log_latest(spark, sf_dir):
     return latest_status(log.rows())
 
 
+def run_log_runs(spark, sf_dir):
+    """Last status of each run, from a stored log whose days were compacted between appends.
+
+    Events of one remainder by seven stand for one of a job's runs of a day.
+    """
+    log = RunLog(spark, staging_path(spark, "log"))
+    run_id = F.concat_ws("-", "job_id", F.col("row_key").cast("bigint") % 7)
+    changes = _run_log(spark, sf_dir).withColumn("run_id", run_id)
+    failed = F.col("status") == FAILED
+    log.append(changes.where(failed))
+    log.append(changes.where(~failed))
+    log.compact(date(2024, 1, 20))
+    return latest_status(log.rows(), "run_id")
+
+
 def enriched_quotes(spark, sf_dir):
     return enrich_quotes(*_stored(spark, sf_dir))
 
@@ -421,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "join_close_broadcast": quotes_with_close,
     "run_log_job_ids": run_log_job_ids,
     "run_log_latest": run_log_latest,
+    "run_log_runs": run_log_runs,
     "enriched_quotes": enriched_quotes,
     "enriched_quotes_with_bid": enriched_quotes_with_bid,
     "enriched_quotes_eod": enriched_quotes_eod,

@@ -55,6 +55,8 @@ from tapeline.sources.versions import (
 )
 
 HALF_HOUR = 1800
+#: the order within files of the daily tables
+BY_SYMBOL = ("symbol", "exchange", "event_tm", "event_seq_nb")
 #: kept with each run of the event table: the trade dates it changed
 CHANGED = "changed"
 #: kept with each run of the carried closes: the event runs that the load took in
@@ -226,7 +228,8 @@ def run_load(
                 of_type = state.read(schema_of(EVENT_TABLE_TYPES)).where(F.col("partition") == record_type)
                 events = on_dates(of_type, dates, "trade_day")
                 latest = keep_latest(typed_rows(events, types, zone))
-                version = versions.add(latest, f"{tables_path}/{name}", ["trade_dt"], _covered(dates))
+                path = f"{tables_path}/{name}"
+                version = versions.add(latest, path, ["trade_dt"], _covered(dates), BY_SYMBOL)
                 rejected = rejected_rows(events, types, "trade_day", "src_date", zone=zone)
                 path = f"{tables_path}/rejected_{name}"
                 versions.add(rejected, path, ["trade_day"], _covered(dates, "trade_day"))
@@ -333,11 +336,17 @@ def run_enrich(
                 calendar_day=calendar_day,
                 include_bid_pr=include_bid_pr,
             )
-        replace_partitions(enriched, output_path, ["trade_dt"], _covered(dates))
+        replace_partitions(enriched, output_path, ["trade_dt"], _covered(dates), BY_SYMBOL)
 
 
 def run_clean(spark: SparkSession, paths: Sequence[str], log_path: str, keep_hours: float = 24) -> int:
-    """Delete from the tables at ``paths`` what later runs replaced over ``keep_hours`` ago."""
-    before = datetime.now(timezone.utc) - timedelta(hours=keep_hours)
-    with RunLog(spark, log_path).job("clean"):
-        return sum(remove_superseded(spark, path, before) for path in paths)
+    """Delete from the tables at ``paths`` what later runs replaced over ``keep_hours`` ago.
+
+    The run log's changes of the days before yesterday are gathered in few files.
+    """
+    now = datetime.now(timezone.utc)
+    log = RunLog(spark, log_path)
+    with log.job("clean"):
+        removed = sum(remove_superseded(spark, path, now - timedelta(hours=keep_hours)) for path in paths)
+        log.compact(now.date() - timedelta(days=1))
+        return removed

@@ -107,5 +107,6 @@ RUN_LOG_SCHEMA = T.StructType(
         T.StructField("job_id", T.StringType(), False),
         T.StructField("status", T.StringType(), False),
         T.StructField("error", T.StringType(), True),
+        T.StructField("run_id", T.StringType(), True),
     ]
 )

@@ -155,7 +155,16 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 class Version:
     """A run's partitions: written, but not part of the table until :meth:`publish`."""
 
-    def __init__(self, rows: DataFrame, path: str, by: Sequence[str], covered: Iterable[Spec]):
+    def __init__(
+        self,
+        rows: DataFrame,
+        path: str,
+        by: Sequence[str],
+        covered: Iterable[Spec],
+        sorted_by: Sequence[str] = (),
+    ):
+        """``sorted_by``: each file is in order of these columns, so a filter on the first of
+        them reads only the row groups whose range holds the value."""
         self._spark, self._path, self._schema = rows.sparkSession, path.rstrip("/"), rows.schema
         columns, specs = _same_columns({c: spec[c] for c in by if c in spec} for spec in covered)
         if columns != tuple(by[: len(columns)]):
@@ -165,7 +174,10 @@ class Version:
             raise ValueError(f"{path} holds partitions outside of any run, such as {plain[0]}")
         self._folder = f"{self._path}/_writing-{uuid.uuid4().hex}"
         try:
-            rows.hint("rebalance", *by).write.partitionBy(*by).parquet(self._folder)
+            spread = rows.hint("rebalance", *by)
+            if sorted_by:
+                spread = spread.sortWithinPartitions(*by, *sorted_by)
+            spread.write.partitionBy(*by).parquet(self._folder)
             self.note("covered", specs)
         except BaseException:
             self.discard()
@@ -198,8 +210,15 @@ class Versions:
     def __init__(self) -> None:
         self.all: list[Version] = []
 
-    def add(self, rows: DataFrame, path: str, by: Sequence[str], covered: Iterable[Spec]) -> Version:
-        self.all.append(Version(rows, path, by, covered))
+    def add(
+        self,
+        rows: DataFrame,
+        path: str,
+        by: Sequence[str],
+        covered: Iterable[Spec],
+        sorted_by: Sequence[str] = (),
+    ) -> Version:
+        self.all.append(Version(rows, path, by, covered, sorted_by))
         return self.all[-1]
 
 
@@ -220,14 +239,20 @@ def written() -> Iterator[Versions]:
         version.publish()
 
 
-def replace_partitions(rows: DataFrame, path: str, by: Sequence[str], covered: Iterable[Spec]) -> str:
+def replace_partitions(
+    rows: DataFrame,
+    path: str,
+    by: Sequence[str],
+    covered: Iterable[Spec],
+    sorted_by: Sequence[str] = (),
+) -> str:
     """Replace all that the table holds of what ``covered`` names, in one step; see :class:`Version`.
 
     ``covered`` are values, as text, of the first of the columns ``by``: the files or dates that
     ``rows`` were made from, ``{}`` for all. A partition within them of which there are no
     rows any more is gone then; all others stay.
     """
-    return Version(rows, path, by, covered).publish()
+    return Version(rows, path, by, covered, sorted_by).publish()
 
 
 def notes(spark: SparkSession, path: str, name: str, runs: Iterable[str]) -> list:

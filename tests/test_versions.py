@@ -151,3 +151,32 @@ def test_folders_of_files_are_found_without_their_names(spark, tmp_path, monkeyp
         ("", None, None), ("csv", "2020-08-03", "NY SE"), ("csv", "2020-08-04", "AR+CA"),
     ]
     assert versions._children(spark, f"{tmp_path}/nothing") == []
+
+
+def test_a_filter_on_symbol_skips_row_groups(spark, tmp_path, settings):
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    path = f"{tmp_path}/t"
+    rows = spark.range(200_000).select(
+        F.lit(MON).cast("date").alias("d"),
+        F.concat(F.lit("S"), F.lpad((F.col("id") * 7919 % 100).cast("string"), 2, "0")).alias("symbol"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    store = spark._jsc.hadoopConfiguration()
+    store.set("parquet.block.size", str(256 * 1024))
+    try:
+        replace_partitions(rows, path, ["d"], [{}], ["symbol", "v"])
+    finally:
+        store.unset("parquet.block.size")
+    groups = []
+    for file in (tmp_path / "t").rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.to_arrow_schema().get_field_index("symbol")
+        groups += [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups)]
+    holding = [g for g in groups if g.min <= "S42" <= g.max]
+    assert len(groups) > 20 and len(holding) <= len(groups) // 5
+    read = read_table(spark, path).where("symbol = 'S42'")
+    assert read.count() == 2000
+    plan = spark._jvm.PythonSQLUtils.explainString(read._jdf.queryExecution(), "formatted")
+    assert "EqualTo(symbol,S42)" in plan
