@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import rows_per_batch, stage
+from tapeline.llm.common import stage
 
 QUERY_BLOCK = 256
 CANDIDATE_BLOCK = 4_096
@@ -111,10 +111,9 @@ def nearest(
     equal queries are searched once, so copies, however many, cost nothing more.
     Rows without id, and vectors that are null, zero or hold null or non-finite
     components, take no part; a row that repeats id and vector counts once; rows of one
-    id are never each other's neighbours. Vectors only meet those of their length.
+    id are never each other's neighbours. Vectors only meet those of their length. An empty
+    table has no rows; other columns, however called, play no part.
     """
-    spark = embeddings.sparkSession
-    rows_per_batch(spark, 4)  # rows are whole blocks from here on
     vec = F.col(vector_col).cast("array<double>")
     rows = embeddings.filter(F.col(id_col).isNotNull() & valid_vector(vec))
     rows = rows.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec"), F.coalesce(queries, F.lit(False)).alias("asks"))
@@ -140,13 +139,13 @@ def nearest(
     candidates = blocks(classes, CANDIDATE_BLOCK, "ids").select("dim", "block", "n", "rows")
     coded = stage(candidates.mapInArrow(_encode_blocks, _CODED), "codes")
     asking = blocks(asking, QUERY_BLOCK).select("dim", F.col("rows").alias("asking"))
-    targets = coded.select("dim", "block")
-    pairs = asking.join(targets, "dim").join(coded, ["dim", "block"])
+    last = stage(coded.groupBy("dim").agg(F.max("block").alias("last")), "block-counts")  # a row a length
+    block = F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("block")
+    pairs = asking.join(last, "dim").select("dim", "asking", block).join(coded, ["dim", "block"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield _search_pair(row, k + 1)
+        for row in _one_by_one(batches):
+            yield _search_pair(row, k + 1)
 
     found = pairs.select("dim", "asking", "classes", "ids", "packed", "scalars", "vectors")
     found = found.mapInArrow(search, "class long, score double, ids array<long>")
@@ -164,23 +163,29 @@ _CODED = (
 )
 
 
-def _encode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows that are whole blocks, one at a time as Python values."""
     for batch in batches:
-        for row in batch.to_pylist():
-            vectors = np.array([r["vec"] for r in row["rows"]], dtype=np.float64)
-            packed, scalars = codes(vectors)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([row["dim"]], pa.int32()),
-                    pa.array([row["block"]], pa.int64()),
-                    pa.array([np.array([r["class"] for r in row["rows"]], "<i8").tobytes()], pa.binary()),
-                    pa.array([[r["ids"] for r in row["rows"]]], pa.list_(pa.list_(pa.int64()))),
-                    pa.array([packed.tobytes()], pa.binary()),
-                    pa.array([scalars.tobytes()], pa.binary()),
-                    pa.array([vectors.tobytes()], pa.binary()),
-                ],
-                ["dim", "block", "classes", "ids", "packed", "scalars", "vectors"],
-            )
+        for at in range(batch.num_rows):
+            yield batch.slice(at, 1).to_pylist()[0]
+
+
+def _encode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in _one_by_one(batches):
+        vectors = np.array([r["vec"] for r in row["rows"]], dtype=np.float64)
+        packed, scalars = codes(vectors)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([row["dim"]], pa.int32()),
+                pa.array([row["block"]], pa.int64()),
+                pa.array([np.array([r["class"] for r in row["rows"]], "<i8").tobytes()], pa.binary()),
+                pa.array([[r["ids"] for r in row["rows"]]], pa.list_(pa.list_(pa.int64()))),
+                pa.array([packed.tobytes()], pa.binary()),
+                pa.array([scalars.tobytes()], pa.binary()),
+                pa.array([vectors.tobytes()], pa.binary()),
+            ],
+            ["dim", "block", "classes", "ids", "packed", "scalars", "vectors"],
+        )
 
 
 def _search_pair(row: dict, k: int) -> pa.RecordBatch:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tapeline.sources.staging import stage
 
-__all__ = ["fresh", "rekeyed", "rows_per_batch", "stage", "table", "with_key"]
+__all__ = ["fresh", "rows_per_batch", "stage", "table", "with_key"]
 
 BATCH_ROWS = 256  # rows of whole texts that a Python worker holds at once
 
@@ -40,8 +40,3 @@ def with_key(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame
     ordered = docs.sort(F.col(id_col).asc_nulls_last(), F.col(text_col).asc_nulls_first())
     return stage(ordered.withColumn(key, F.monotonically_increasing_id()), "keyed")
 
-
-def rekeyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` as (key, id, text), with the key of ``with_key``."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return with_key(rows, "key", "id", "text").select("key", "id", "text")

@@ -46,6 +46,18 @@ def test_recall_against_brute_force(spark):
     compare(ann.nearest(table, asks()), [(r.vec_id, r.embedding) for r in table.collect()], 0.98)
 
 
+def test_recall_at_ten_times_the_size(spark):
+    table = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/embeddings.parquet")
+    compare(ann.nearest(table, asks()), [(r.vec_id, r.embedding) for r in table.collect()], 0.98)
+
+
+def test_no_setting_is_left_behind(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    ann.nearest(spark.createDataFrame([(0, [1.0, 2.0], 0), (1, [2.0, 1.0], 0)], SCHEMA), asks()).collect()
+    assert spark.conf.get(name) == before
+
+
 def test_odd_rows(spark, clashing):
     numbers = np.random.default_rng(1).standard_normal((40, 8)).astype(np.float32).tolist()
     rows = [(i, v) for i, v in enumerate(numbers)]
