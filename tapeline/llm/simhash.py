@@ -14,7 +14,8 @@ from tapeline.llm.graph import connected_components
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
-SEGMENT_BITS = 4
+SEGMENT_BITS = 2
+SPREAD_ROWS = 50_000  # fingerprints that one task spreads over their cells
 CELL_LIMIT = 16  # fingerprints in a cell that are compared pair by pair
 _HASHES = 1 << 16  # hashes unpacked to bits at once
 
@@ -59,31 +60,37 @@ def fingerprints(
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
+def _signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def bit_counts(fp: Column) -> Column:
-    """The bits set in each segment of four, in the place of the segment."""
+    """The bits set in each segment of two, in the place of the segment."""
 
     def counted(half: Column) -> Column:  # of 32 bits, so that no sum reaches the sign
-        pairs = half.bitwiseAND(F.lit(0x55555555)) + F.shiftright(half, 1).bitwiseAND(F.lit(0x55555555))
-        return pairs.bitwiseAND(F.lit(0x33333333)) + F.shiftright(pairs, 2).bitwiseAND(F.lit(0x33333333))
+        return half.bitwiseAND(F.lit(0x55555555)) + F.shiftright(half, 1).bitwiseAND(F.lit(0x55555555))
 
     low = counted(fp.bitwiseAND(F.lit(0xFFFFFFFF)))
     return F.shiftleft(counted(F.shiftrightunsigned(fp, 32)), 32).bitwiseOR(low)
 
 
 def _near_counts(counts: Column) -> Column:
-    """A grid cell and those one step away from it in one segment."""
+    """A grid cell and those one step away from it in one segment.
+
+    Of the two bits of a count, flipping the lower one steps between 0 and 1, flipping both
+    between 1 and 2.
+    """
     steps = [counts]
     for at in range(0, 64, SEGMENT_BITS):
-        here = F.shiftrightunsigned(counts, at).bitwiseAND(F.lit(15))
-        steps.append(F.when(here < SEGMENT_BITS, counts + F.lit(1 << at)))
-        steps.append(F.when(here > 0, counts - F.lit(1 << at)))
+        here = F.shiftrightunsigned(counts, at).bitwiseAND(F.lit(3))
+        steps.append(F.when(here < 2, counts.bitwiseXOR(F.lit(_signed(1 << at)))))
+        steps.append(F.when(here > 0, counts.bitwiseXOR(F.lit(_signed(3 << at)))))
     return F.array_compact(F.array(*steps))
 
 
 def _near_bits(fp: Column) -> Column:
     """A fingerprint and those one bit away."""
-    signed = [1 << at if at < 63 else -(1 << 63) for at in range(64)]
-    return F.array(fp, *[fp.bitwiseXOR(F.lit(one)) for one in signed])
+    return F.array(fp, *[fp.bitwiseXOR(F.lit(_signed(1 << at))) for at in range(64)])
 
 
 def _spread(rows: DataFrame, name: str, near, times: int) -> DataFrame:
@@ -99,7 +106,8 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, cell_limit: int = CE
     The Manhattan distance of two bit-count vectors is at most the number of bits in
     which the fingerprints differ. So two within ``max_bits`` share a grid cell at most
     half that many steps from either. Those that meet in a cell are compared exactly.
-    A crowded cell would take as many comparisons as its size squared; its
+    With segments of two bits random fingerprints fall into about 2**48 cells, so crowded
+    ones are rare among any number of texts that differ. A crowded cell would take as many comparisons as its size squared; its
     fingerprints meet instead at the bit patterns half the distance away, which are
     exact meeting points with few members each, and link to the smallest one there.
     So links of crowded cells are not all pairs, but connect the same fingerprints.
@@ -108,6 +116,9 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, cell_limit: int = CE
     if max_bits % 2:
         raise ValueError("max_bits must be even")
     steps = max_bits // 2
+    prints = stage(prints.select("fp"), "fingerprints")
+    # each row becomes about fifty, which its bytes don't tell
+    prints = prints.repartition(max(1, -(-prints.count() // SPREAD_ROWS)))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     cells = _spread(prints.select("fp", bit_counts(F.col("fp")).alias("cell")), "cell", _near_counts, steps)
     crowds = cells.groupBy("cell").agg(
