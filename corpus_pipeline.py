@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
 and read again as the ``docs`` of the next; all but the last return the columns of
 documents. ``run`` applies them to the whole documents table.
+
+An empty table stays empty in every stage. A null text counts as an empty one: the rules reject
+it, and where it gets further it stays null and is packed as its end token. Repeated rows are
+documents of their own until near-duplicates go; other columns are kept, whatever they are called.
+A very long text is worked on in one task at a time.
 """
 
 from collections.abc import Callable, Sequence
