@@ -9,13 +9,15 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeline.functions.joins import join_back
 from tapeline.llm.common import fresh, rows_per_batch, stage, with_key
 
 WINDOW = 20
 GRAM = 6
 SHARD_WORDS = 1 << 19
-ANCHOR_SEGMENTS = 4_096  # different segments of one anchor that an index holds
+CROWD_WORDS = SHARD_WORDS // 4  # an anchor with more words in its different segments fills shards by window
 BLOCK_SEGMENTS = 1 << 21
+BLOCK_WORDS = 1 << 21
 #: a gram is common in COMMON_DOCS documents and one in COMMON_SHARE; it decides only where segments are cut
 COMMON_DOCS = 8
 COMMON_SHARE = 512
@@ -61,15 +63,15 @@ def _run_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 def segments(words: np.ndarray, common: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, ...]:
-    """(anchor, content, start, windows) of runs of windows that share an anchor.
+    """(anchor, content, check, start, windows) of runs of windows that share an anchor.
 
     The anchor of a window is its gram with the least hash, rare grams before those in
     ``common``, the first of equals. Equal windows thus have equal anchors at equal
-    places, wherever they are; ``content`` is a hash of all words of the run.
+    places, wherever they are; ``content`` and ``check`` are two hashes of all words of the run.
     """
     size = min(GRAM, window)
     if len(words) < window:
-        return (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.int64),) * 2
+        return (np.empty(0, np.uint64),) * 3 + (np.empty(0, np.int64),) * 2
     grams = gram_hashes(words, size)
     order = grams >> np.uint64(1)
     if len(common):
@@ -79,7 +81,8 @@ def segments(words: np.ndarray, common: np.ndarray, window: int = WINDOW) -> tup
     anchors = views.argmin(axis=1) + np.arange(len(views))
     first = np.flatnonzero(np.diff(anchors, prepend=-1))
     count = np.diff(np.append(first, len(anchors)))
-    return grams[anchors[first]], _run_hashes(words, first, first + count + window - 1), first, count
+    ends = first + count + window - 1
+    return grams[anchors[first]], _run_hashes(words, first, ends), _run_hashes(mixed(~words), first, ends), first, count
 
 
 class WaveletMatrix:
@@ -181,10 +184,12 @@ def later_windows(contents: list[np.ndarray], keys: np.ndarray, at: np.ndarray,
 
 
 def _later_copies(columns: list[np.ndarray]) -> np.ndarray:
-    """Which rows (anchor, content, key, start) repeat anchor and content of an earlier one."""
-    anchor, content, key, start = columns
+    """Which rows (anchor, content, check, key, start) repeat the hashes of an earlier one."""
+    anchor, content, check, key, start = columns
     order = np.lexsort((start, key, content, anchor))
-    same = (anchor[order][1:] == anchor[order][:-1]) & (content[order][1:] == content[order][:-1])
+    same = np.ones(len(order) - 1, dtype=bool)
+    for hashes in (anchor, content, check):
+        same &= hashes[order][1:] == hashes[order][:-1]
     later = np.zeros(len(order), dtype=bool)
     later[order[1:]] = same
     return later
@@ -227,7 +232,7 @@ def _shared_grams(held: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["gram", "docs"])
 
 
-_OCCURRENCE = "anchor long, content long, key long, start long, windows int, later boolean"
+_OCCURRENCE = "anchor long, content long, check long, key long, start long, windows int, later boolean"
 
 
 def _occurrences(keyed: DataFrame, key: str, text: str, common: np.ndarray, window: int) -> DataFrame:
@@ -243,9 +248,9 @@ def _occurrences(keyed: DataFrame, key: str, text: str, common: np.ndarray, wind
         size = 0
         for batch in batches:
             for doc_key, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                anchor, content, start, windows = segments(word_hashes(value), grams.value, window)
+                anchor, content, check, start, windows = segments(word_hashes(value), grams.value, window)
                 if len(anchor):
-                    held.append((anchor, content, np.full(len(anchor), doc_key, np.int64), start, windows))
+                    held.append((anchor, content, check, np.full(len(anchor), doc_key, np.int64), start, windows))
                     size += len(anchor)
             if size >= BLOCK_SEGMENTS:
                 yield _collapsed(held)
@@ -257,89 +262,126 @@ def _occurrences(keyed: DataFrame, key: str, text: str, common: np.ndarray, wind
 
 
 def _collapsed(held: list[tuple]) -> pa.RecordBatch:
-    anchor, content, key, start, windows = (np.concatenate(c) for c in zip(*held, strict=True))
-    later = _later_copies([anchor, content, key, start])
-    own = mixed(mixed(key.view(np.uint64)) + start.astype(np.uint64))
-    anchor = np.where(later, own, anchor)
-    columns = [anchor.view(np.int64), content.view(np.int64), key, start, windows.astype(np.int32), later]
+    anchor, content, check, key, start, windows = (np.concatenate(c) for c in zip(*held, strict=True))
+    later = _later_copies([anchor, content, check, key, start])
+    anchor = np.where(later, _own(key, start), anchor)
+    columns = [anchor.view(np.int64), content.view(np.int64), check.view(np.int64), key, start]
+    columns += [windows.astype(np.int32), later]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _names(_OCCURRENCE))
 
 
+def _own(key: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A value for each place, to spread rows by."""
+    return mixed(mixed(key.view(np.uint64)) + start.astype(np.uint64))
+
+
 def _names(schema: str) -> list[str]:
     return [part.split()[0] for part in schema.split(", ")]
 
 
-def _compared(occurrences: DataFrame) -> DataFrame:
-    """Segments that share their anchor, with ``later`` and how many differ there."""
-    same = Window.partitionBy("anchor")
-    rows = occurrences.withColumn("n", F.count("*").over(same)).filter("later or n > 1")
-    order = Window.partitionBy("anchor", "content").orderBy("key", "start")
-    rows = rows.withColumn("row", F.row_number().over(order))
-    rows = rows.withColumn("different", F.sum(F.when(F.col("row") == 1, 1)).over(same))
-    return rows.select(
-        "anchor", "key", "start", "windows", (F.col("later") | (F.col("row") > 1)).alias("later"), "different"
-    )
+def _ranked(occurrences: DataFrame) -> DataFrame:
+    """Segments with ``later``, whether an equal one comes earlier; those have no anchor.
+
+    Equal segments meet by both hashes of their words, and at most one of a block of
+    segments is there, so no anchor brings all its segments into one task.
+    """
+    copies = Window.partitionBy("anchor", "content", "check").orderBy("key", "start")
+    later = F.col("later") | (F.row_number().over(copies) > 1)
+    rows = occurrences.withColumn("later", later)
+    return rows.select(F.when(~F.col("later"), F.col("anchor")).alias("anchor"), "key", "start", "windows", "later")
+
+
+def _differing(ranked: DataFrame, window: int) -> DataFrame:
+    """First segments whose anchor has others, with ``crowded``: it has more than CROWD_WORDS words.
+
+    Counts of an anchor are made in parts, and joined back so that a hot one can be split.
+    """
+    firsts = ranked.filter("not later").select("anchor", "key", "start", "windows")
+    words = F.sum(F.col("windows").cast("long") + (window - 1))
+    counts = firsts.groupBy("anchor").agg(F.count("*").alias("different"), words.alias("words"))
+    shared = counts.filter("different > 1").select("anchor", (F.col("words") > CROWD_WORDS).alias("crowded"))
+    return join_back(firsts, shared, ["anchor"], "inner")
 
 
-_CONTENT = "shard long, anchor long, content long, key long, start long, words binary, later boolean"
+_CONTENT = "shard long, key long, start long, words binary"
 
 
 def _contents(
     keyed: DataFrame, wanted: DataFrame, key: str, text: str, shards: tuple[int, int], window: int
 ) -> DataFrame:
-    """The words of wanted segments, by shard; those of crowded anchors as single windows."""
+    """The words of wanted segments, by shard.
+
+    Segments of crowded anchors are cut into their windows, which go to the shard that
+    their own words say. Of equal windows in a block only the first has its words.
+    """
     names = keyed.columns
     at_key, at_text = names.index(key), names.index(text)
     light, heavy = shards
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crowd: list[tuple[int, int, np.ndarray]] = []
+        size = 0
         for batch in batches:
-            columns: list[list] = [[] for _ in range(7)]
-            singles: list[tuple] = []
+            columns: list[list] = [[], [], [], []]
             rows = (batch.column(i).to_pylist() for i in (at_key, at_text, len(names)))
             for doc_key, value, wants in zip(*rows, strict=True):
                 words = word_hashes(value)
                 for want in wants:
                     start, end = want["start"], want["start"] + want["windows"] + window - 1
-                    part = words[start:end]
                     if want["crowded"]:
-                        first = gram_hashes(part, window)
-                        second = gram_hashes(mixed(part), window)
-                        n = len(first)
-                        singles.append((first, second, np.full(n, doc_key, np.int64), np.arange(start, start + n)))
+                        crowd.append((doc_key, start, words[start:end].copy()))
+                        size += end - start
+                        if size >= BLOCK_WORDS:
+                            yield from _windows(crowd, light, heavy, window)
+                            crowd, size = [], 0
                         continue
-                    row = (want["anchor"] % light, None, None, doc_key, start, part.tobytes(), False)
+                    row = (want["anchor"] % light, doc_key, start, words[start:end].tobytes())
                     for column, item in zip(columns, row, strict=True):
                         column.append(item)
-            if singles:
-                first, second, keys, starts = (np.concatenate(c) for c in zip(*singles, strict=True))
-                later = _later_copies([first, second, keys, starts])
-                shard = np.where(later, mixed(keys.view(np.uint64)), first) % np.uint64(heavy)
-                more = (shard.astype(np.int64) + light, first.view(np.int64), second.view(np.int64), keys, starts)
-                for column, items in zip(columns, (*(m.tolist() for m in more), [None] * len(keys), later.tolist()), strict=True):
-                    column += items
-            types = [pa.int64()] * 5 + [pa.binary(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], _names(_CONTENT)
-            )
+            yield _content_batch(*columns)
+        if crowd:
+            yield from _windows(crowd, light, heavy, window)
 
     rows = keyed.join(wanted, key, "left").filter("wanted is not null")
     return rows.select(*names, "wanted").mapInArrow(run, _CONTENT)
 
 
+def _content_batch(shard, key, start, words: list) -> pa.RecordBatch:
+    columns = [pa.array(c, pa.int64()) for c in (shard, key, start)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(words, pa.binary())], _names(_CONTENT))
+
+
+def _windows(crowd: list[tuple], light: int, heavy: int, window: int) -> Iterator[pa.RecordBatch]:
+    """Each window of the segments (key, start, words) of a block, for the shards after the first ``light``."""
+    counts = np.array([len(words) - window + 1 for _, _, words in crowd])
+    owner = np.repeat(np.arange(len(crowd)), counts)
+    within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    key = np.array([c[0] for c in crowd], dtype=np.int64)[owner]
+    start = np.array([c[1] for c in crowd], dtype=np.int64)[owner] + within
+    first, second = (
+        np.concatenate([gram_hashes(scrambled(words), window) for _, _, words in crowd])
+        for scrambled in (mixed, lambda words: mixed(~words))
+    )
+    later = _later_copies([first, second, second, key, start])
+    shard = np.where(later, _own(key, start), first) % np.uint64(heavy)
+    shard = shard.astype(np.int64) + light
+    step = 1 << 16
+    for at in range(0, len(key), step):
+        part = slice(at, at + step)
+        places = zip(owner[part].tolist(), within[part].tolist(), later[part].tolist(), strict=True)
+        words = [None if known else crowd[i][2][w : w + window].tobytes() for i, w, known in places]
+        yield _content_batch(shard[part], key[part], start[part], words)
+
+
 def _search_shard(window: int):
     def run(rows: pa.Table) -> pa.Table:
-        crowded = np.array([w is None for w in rows.column("words").to_pylist()])
         key, start = (rows.column(c).to_numpy() for c in ("key", "start"))
-        parts = []
-        if not crowded.all():
-            words = [np.frombuffer(w, "<u8") for w in rows.column("words").to_pylist() if w is not None]
-            parts.append(later_windows(words, key[~crowded], start[~crowded], window))
-        if crowded.any():
-            told = np.array(rows.column("later").to_pylist())[crowded]
-            hashes = [np.array(rows.column(c).to_pylist(), dtype=object)[crowded].astype(np.int64) for c in ("anchor", "content")]
-            later = told | _later_copies([*hashes, key[crowded], start[crowded]])
-            parts.append((key[crowded][later], start[crowded][later]))
+        contents = rows.column("words").to_pylist()
+        known = np.array([words is None for words in contents])
+        parts = [(key[known], start[known])]
+        words = [np.frombuffer(w, "<u8") for w in contents if w is not None]
+        if words:
+            parts.append(later_windows(words, key[~known], start[~known], window))
         keys, starts = (np.concatenate(c) for c in zip(*parts, strict=True))
         return pa.table({"key": pa.array(keys, pa.int64()), "start": pa.array(starts, pa.int64())})
 
@@ -351,26 +393,26 @@ def repeated_windows(keyed: DataFrame, key: str, text: str, window: int = WINDOW
 
     Shards hold what can match, so that no document is streamed through all of them.
     Every window goes where its anchor says, in runs that share an anchor. Runs whose
-    anchor occurs once can't match. Equal runs are copies of the first of them. What
-    differs but shares an anchor is indexed and searched, a shard of about SHARD_WORDS
-    words at a time. Runs of an anchor with more than ANCHOR_SEGMENTS different runs go
-    by single windows instead, which spreads them: an exact way for anchors that would
-    overfill a shard.
+    anchor occurs once can't match. Equal runs, by 128 bits of hashes, are copies of the first
+    of them. What differs but shares an anchor is indexed and searched, a shard of about
+    SHARD_WORDS words at a time. Runs of an anchor that would overfill a shard are cut
+    into their windows, which are spread by their own words and searched in the same way.
     """
     spark = keyed.sparkSession
     rows_per_batch(spark)
     common = _common_grams(keyed, text)
-    found = stage(_compared(_occurrences(keyed, key, text, common, window)), "segments")
-    wanted = found.filter("not later and different > 1").withColumn("crowded", F.col("different") > ANCHOR_SEGMENTS)
+    ranked = stage(_ranked(_occurrences(keyed, key, text, common, window)), "segments")
+    wanted = stage(_differing(ranked, window), "differing")
     sizes = wanted.agg(
-        F.sum(F.when(~F.col("crowded"), F.col("windows") + (window - 1))), F.sum(F.when(F.col("crowded"), F.col("windows")))
+        F.sum(F.when(~F.col("crowded"), F.col("windows").cast("long") + (window - 1))),
+        F.sum(F.when(F.col("crowded"), F.col("windows").cast("long") * window)),
     ).first()
     shards = tuple(max(1, -(-(size or 0) // SHARD_WORDS)) for size in sizes)
     row = F.struct("anchor", "start", "windows", "crowded")
     wanted = wanted.groupBy(F.col("key").alias(key)).agg(F.collect_list(row).alias("wanted"))
     contents = _contents(keyed, wanted, key, text, shards, window)
     searched = contents.groupBy("shard").applyInArrow(_search_shard(window), "key long, start long")
-    known = found.filter("later").select("key", "start", "windows")
+    known = ranked.filter("later").select("key", "start", "windows")
     return known.unionByName(searched.withColumn("windows", F.lit(1)))
 
 

@@ -48,11 +48,50 @@ def test_against_brute_force(docs_of, window):
 
 
 def test_crowded_anchors_and_small_shards(docs_of, monkeypatch):
-    monkeypatch.setattr(substrings, "ANCHOR_SEGMENTS", 2)
     monkeypatch.setattr(substrings, "SHARD_WORDS", 500)
     monkeypatch.setattr(substrings, "BLOCK_SEGMENTS", 10)
+    monkeypatch.setattr(substrings, "BLOCK_WORDS", 400)
     texts = passages(1, 120) + ["a " * 300, "b a " * 200, "a " * 50]
-    check(docs_of(texts), texts, 20)
+    for crowd in (0, 60):
+        monkeypatch.setattr(substrings, "CROWD_WORDS", crowd)
+        check(docs_of(texts), texts, 20)
+
+
+def test_a_crowded_anchor_is_spread(docs_of, monkeypatch):
+    # windows around one common run differ in every document: one anchor, many segments
+    shared = " ".join(f"w{i}" for i in range(12))
+    texts = [" ".join([*(f"l{n}-{i}" for i in range(10)), shared, *(f"r{n % 40}-{i}" for i in range(10))]) for n in range(90)]
+    monkeypatch.setattr(substrings, "COMMON_SHARE", 1)
+    monkeypatch.setattr(substrings, "SHARD_WORDS", 400)
+    monkeypatch.setattr(substrings, "CROWD_WORDS", 100)
+    keyed = docs_of(texts)
+    ranked = substrings._ranked(substrings._occurrences(keyed, "doc_id", "text", np.empty(0, np.uint64), 20))
+    wanted = substrings._differing(ranked, 20)
+    crowded = wanted.filter("crowded")
+    assert crowded.count() > crowded.select("anchor").distinct().count()
+    check(keyed, texts, 20)
+
+
+def test_no_task_ranks_all_segments_of_an_anchor(docs_of):
+    occurrences = substrings._occurrences(docs_of(["a b"]), "doc_id", "text", np.empty(0, np.uint64), 20)
+    plan = substrings._ranked(occurrences)._jdf.queryExecution().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("content" in line and "check" in line for line in windows)
+
+
+def test_windows_of_a_block_go_with_their_words():
+    words = substrings.word_hashes(" ".join(f"w{i}" for i in range(25)))
+    crowd = [(5, 3, words), (4, 0, words[:21]), (9, 7, words[4:])]
+    (batch,) = substrings._windows(crowd, 10, 7, 20)
+    rows = batch.to_pylist()
+    assert len(rows) == 6 + 2 + 2 and all(10 <= row["shard"] < 17 for row in rows)
+    told = {(row["key"], row["start"]) for row in rows if row["words"] is None}
+    assert told == {(5, 3), (5, 4), (9, 7), (9, 8)}
+    shards = {}
+    for row in rows:
+        if row["words"]:
+            shards.setdefault(row["words"], set()).add(row["shard"])
+    assert all(len(where) == 1 for where in shards.values()) and len(shards) == 6
 
 
 def test_odd_rows(docs_of, odd_texts, clashing):
@@ -102,6 +141,7 @@ def test_common_grams_are_those_of_all_whole_texts(docs_of, monkeypatch):
 
 def test_equal_windows_have_equal_anchors():
     words = substrings.word_hashes(" ".join(f"w{i % 40}" for i in range(100)))
-    anchor, content, start, count = substrings.segments(words, np.empty(0, np.uint64))
+    anchor, content, check, start, count = substrings.segments(words, np.empty(0, np.uint64))
     assert count.sum() == 81 and (np.diff(start) == count[:-1]).all()
-    assert len(set(zip(anchor.tolist(), content.tolist()))) < len(anchor)
+    runs = set(zip(anchor.tolist(), content.tolist(), check.tolist()))
+    assert len(runs) < len(anchor) and len(runs) == len({c for _, c, _ in runs}) == len({c for _, _, c in runs})
