@@ -49,3 +49,15 @@ def test_filtering_stages_return_documents(spark, docs_of, odd_texts, clashing,
     assert rows.columns == docs.columns and rows.dtypes == docs.dtypes
     assert rows.count() <= docs.count()
     assert function(spark, docs_of([]), SF_DIR).count() == 0
+
+
+def test_packing_stage_takes_odd_rows(spark, docs_of, odd_texts, clashing):
+    docs = clashing(docs_of([*odd_texts, (None, "x"), (3, "x")]))
+    _, function = corpus_pipeline.STAGES[-1]
+    rows = function(spark, docs, SF_DIR).collect()
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    texts = [*odd_texts, "x", "x"]
+    tokens = [len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for t in texts]
+    assert sum(r.length for r in rows) == sum(tokens)
+    assert sum(r.doc_tokens for r in rows if r.start == 0) == sum(tokens)
+    assert function(spark, docs_of([]), SF_DIR).count() == 0

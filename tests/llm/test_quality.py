@@ -1,5 +1,7 @@
 import math
+import random
 import re
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -72,6 +74,53 @@ def test_cutoffs_need_enough_evidence(spark):
         assert row.kept == (row.quality == 1 or row.lang == "de")
 
 
+def most_allowed(n, risk, mistake):
+    """The largest k with P(binomial(n, risk) <= k) <= mistake, by adding exact terms; -1 if none."""
+    total, k = Fraction(0), -1
+    for i in range(n + 1):
+        total += math.comb(n, i) * Fraction(risk) ** i * (1 - Fraction(risk)) ** (n - i)
+        if total > mistake:
+            break
+        k = i
+    return k
+
+
+def test_cutoffs_against_a_recount(spark):
+    chance = random.Random(11)
+    rows, labels = [], []
+    for i in range(2600):
+        lang = None if i % 40 == 0 else ("de" if i % 3 == 0 else "en")
+        good = int(chance.random() < 0.6)
+        spread = 80 if good else 400  # bad ones have greater shares in the first rule, less so in the next
+        shares = [chance.randrange(spread), chance.randrange(100 + spread // 4), chance.choice([0, 0, 0, spread]), chance.randrange(50)]
+        rows.append((i, lang, *shares))
+        if i % 13:
+            labels.append((i, good, 0))
+    counted = spark.createDataFrame(rows, "doc_id long, lang string, " + ", ".join(f"{s} int" for s in quality.SHARES))
+    told = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    held = {r.doc_id for r in counted.filter(F.pmod(F.xxhash64("doc_id", F.lit("holdout")), F.lit(2)) == 1).collect()}
+    label = {i: good for i, good, _ in labels}
+    strata = {(lang or "") for _, lang, *_ in rows}
+    wanted = {}
+    for stratum in strata:
+        members = [r for r in rows if (r[1] or "") == stratum and r[0] in label]
+        for at, rule in enumerate(quality.SHARES, 2):
+            n = sum(label[r[0]] and r[0] in held for r in members)
+            allowed = most_allowed(n, Fraction(1, 20), Fraction(1, 10) / (len(strata) * 4))
+            choices = []
+            for cutoff in {r[at] for r in members}:
+                over = [r[0] for r in members if r[at] > cutoff]
+                lost = sum(label[i] and i in held for i in over)
+                gain = sum((-quality.GOOD_WEIGHT if label[i] else 1) for i in over if i not in held)
+                if lost <= allowed and gain > 0:
+                    choices.append((gain, cutoff))
+            if choices:
+                wanted[stratum, rule] = max(choices)[1]
+    found = quality.fit_cutoffs(counted, told, false_rejection=0.2, mistake=0.1).collect()
+    assert {(r.stratum, s): r[s] for r in found for s in quality.SHARES if r[s] is not None} == wanted
+    assert {lang for lang, _ in wanted} == {"en", "de"} and len(wanted) >= 4  # the null stratum is too small
+
+
 def test_labels_may_be_missing_or_null(spark):
     docs, labels = labelled(spark, 60)
     for told in (labels.limit(0), labels.withColumn("quality", F.lit(None).cast("int"))):
