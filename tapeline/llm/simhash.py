@@ -15,7 +15,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
 SEGMENT_BITS = 2
-SPREAD_ROWS = 50_000  # fingerprints that one task spreads over their cells
+SPREAD_ROWS = 16_384  # fingerprints that one task spreads over their cells, about fifty each
 CELL_LIMIT = 16  # fingerprints in a cell that are compared pair by pair
 _HASHES = 1 << 16  # hashes unpacked to bits at once
 
