@@ -46,7 +46,7 @@ from tapeline.plans.runlog import FAILED, RunLog, job_id, latest_status
 from tapeline.schemas import ENRICHED_COLUMNS, QUOTE, QUOTE_TYPES, TRADE, TRADE_TYPES
 from tapeline.sources.messages import format_glob, source_files
 from tapeline.sources.staging import stage, staging_path
-from tapeline.sources.tables import on_dates, read_events, write_partitioned
+from tapeline.sources.tables import among, on_dates, read_events, write_partitioned
 from tapeline.sources.versions import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,8 +151,7 @@ def late_corrections(spark, sf_dir):
         json = None if src_date == LATE_FOLDER else format_glob(root, "json")
         run_ingest(spark, format_glob(root, "csv"), json, events, log)
         dates = run_load(spark, events, tables, log)
-    rebuilt = F.col("trade_dt").isin([F.lit(day).cast("date") for day in dates if day])
-    return read_table(spark, f"{tables}/trade").withColumn("rebuilt", rebuilt)
+    return read_table(spark, f"{tables}/trade").withColumn("rebuilt", among("trade_dt", dates))
 
 
 def enriched_without_first_trades(spark, sf_dir):

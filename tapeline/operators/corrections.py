@@ -85,12 +85,13 @@ def keep_latest(
     Versions with the same arrival time are told apart by their other columns,
     so a rerun keeps the same one.  Rows with a NULL in the key are dropped.
     Spark keeps only the first row of each key per task before the shuffle, so
-    an event with very many versions stays small.
+    an event with very many versions stays small.  The key's last column comes first in
+    the sort, as it tells most events apart: the earlier ones are alike for very many rows.
     """
     versions = rows.drop("latest")
     others = [c for c in versions.columns if c not in keys and c != arrival]
     newest_first = [F.desc_nulls_last(arrival), *[F.desc_nulls_last(c) for c in others]]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
+    rank = F.row_number().over(Window.partitionBy(*reversed(keys)).orderBy(*newest_first))
     return (
         versions.dropna(subset=list(keys))
         .withColumn("__rank", rank)

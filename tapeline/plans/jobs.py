@@ -40,7 +40,7 @@ from tapeline.schemas import (
     TRADE_TYPES,
     schema_of,
 )
-from tapeline.sources.messages import no_lines, origins, read_lines
+from tapeline.sources.messages import no_lines, origins_of, read_lines
 from tapeline.sources.staging import stage, staging_scope
 from tapeline.sources.tables import on_dates, read_daily
 from tapeline.sources.versions import (
@@ -147,13 +147,10 @@ def run_ingest(
     no fields in the event table; ``bad_path`` keeps the text of their lines.
     """
     with RunLog(spark, log_path).job("ingest"):
-        given = [paths for paths in (csv_paths, json_paths) if paths]
-        found = [origin for paths in given for origin in origins(spark, paths)]
+        given = [read_lines(spark, paths) if paths else None for paths in (csv_paths, json_paths)]
+        found = [origin for lines in given if lines is not None for origin in origins_of(lines)]
         covered = [{c: origin[c] for c in SOURCE_KEY} for origin in found]
-        csv, json = (
-            read_lines(spark, paths) if paths else no_lines(spark)
-            for paths in (csv_paths, json_paths)
-        )
+        csv, json = (no_lines(spark) if lines is None else lines for lines in given)
         events = all_events(csv, json, *SOURCE_KEY)
         events = events.withColumn("trade_day", F.col("trade_dt").try_cast("date"))
         with written() as versions:
@@ -161,13 +158,13 @@ def run_ingest(
             version = versions.add(events, events_path, by, covered)
             if bad_path is not None:
                 versions.add(bad_records(csv, json, *SOURCE_KEY), bad_path, SOURCE_KEY, covered)
-            days = version.read().select("trade_day")
-            before = snapshot(spark, events_path)
+            days = version.values_of("trade_day")  # dates, not rows
+            before = snapshot(spark, events_path).holding(covered)
             if before.runs:
                 replaced = before.read(schema_of(EVENT_TABLE_TYPES)).where(within(covered))
-                days = days.unionByName(replaced.select("trade_day"))
-            days = days.distinct().select(F.col("trade_day").cast("string"))
-            version.note(CHANGED, [row.trade_day for row in days.collect()])  # dates, not rows
+                rows = replaced.select(F.col("trade_day").cast("string")).distinct().collect()
+                days |= {row.trade_day for row in rows}
+            version.note(CHANGED, sorted(days, key=lambda day: day or ""))
 
 
 def changed_dates(
@@ -220,13 +217,14 @@ def run_load(
         if dates == []:
             return dates
         state = snapshot(spark, events_path)
+        # one listing of its folders for all that is read of it
+        on_days = on_dates(state.read(schema_of(EVENT_TABLE_TYPES)), dates, "trade_day")
         with written() as versions:
             for record_type, name, types in (
                 (TRADE, "trade", TRADE_TYPES),
                 (QUOTE, "quote", QUOTE_TYPES),
             ):
-                of_type = state.read(schema_of(EVENT_TABLE_TYPES)).where(F.col("partition") == record_type)
-                events = on_dates(of_type, dates, "trade_day")
+                events = on_days.where(F.col("partition") == record_type)
                 latest = keep_latest(typed_rows(events, types, zone))
                 path = f"{tables_path}/{name}"
                 version = versions.add(latest, path, ["trade_dt"], _covered(dates), BY_SYMBOL)
@@ -236,7 +234,9 @@ def run_load(
                 if record_type == TRADE:
                     trades = version.read()
             closes = last_price(trades, one_version=True)
-            close = versions.add(closes, f"{tables_path}/close", ["trade_dt"], _covered(dates))
+            close = versions.add(
+                closes, f"{tables_path}/close", ["trade_dt"], _covered(dates), few_rows=True
+            )
             last = _carry(spark, tables_path, close.read(), dates, versions)
             last.note(LOADED, state.runs if dates is None else taken)
     return dates

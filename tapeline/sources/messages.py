@@ -8,6 +8,8 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeline.sources.versions import folders_of
+
 # format, date and exchange folders of a message file; folders may also be
 # written as name=value
 _LAYOUT = r"/(?:[^/=]+=)?([^/=]+)/(?:[^/=]+=)?(\d{4}-\d{2}-\d{2})/(?:[^/=]+=)?([^/=]+)/[^/]+$"
@@ -25,8 +27,11 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def _origin(file_path: Column) -> list[Column]:
+    # evaluated for each line: from the last four names alone, the pattern fits at once or not at all
+    names = F.concat(F.lit("/"), F.substring_index(file_path, "/", -4))
+
     def part(group: int) -> Column:
-        return F.nullif(F.regexp_extract(file_path, _LAYOUT, group), F.lit(""))
+        return F.nullif(F.regexp_extract(names, f"^{_LAYOUT}", group), F.lit(""))
 
     return [
         part(1).alias("src_format"),
@@ -47,13 +52,12 @@ def origins(spark: SparkSession, paths: str | Sequence[str]) -> list[dict[str, s
     Spark lists the files, many folders at a time; their names stay in the JVM, and only
     the distinct folders come here.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
-    files = reader.text([paths] if isinstance(paths, str) else list(paths))._jdf.inputFiles()
-    jvm = spark._jvm
-    listed = jvm.scala.jdk.javaapi.CollectionConverters.asJava(jvm.scala.Predef.genericWrapArray(files))
-    names = spark._jsparkSession.createDataset(listed, jvm.org.apache.spark.sql.Encoders.STRING())
-    folder = F.regexp_replace("value", "/[^/]+$", "/")
-    folders = DataFrame(names.toDF(), spark).select(folder.alias("folder")).distinct()
+    return origins_of(read_lines(spark, paths))
+
+
+def origins_of(lines: DataFrame) -> list[dict[str, str | None]]:
+    """:func:`origins` of what :func:`read_lines` found; nothing is listed again."""
+    folders = folders_of(lines)
     found = {_origin_of(f"{unquote(row.folder)}x") for row in folders.collect()}
     return [dict(zip(("src_format", "src_date", "src_exchange"), one, strict=True)) for one in found]
 

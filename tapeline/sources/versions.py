@@ -12,8 +12,9 @@ import json
 import uuid
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,16 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in store.listStatus(at)] if store.exists(at) else []
 
 
+def folders_of(rows: DataFrame) -> DataFrame:
+    """Each ``folder`` once that the files of ``rows`` lie in; file names stay in the JVM."""
+    spark, files = rows.sparkSession, rows._jdf.inputFiles()
+    jvm = spark._jvm
+    listed = jvm.scala.jdk.javaapi.CollectionConverters.asJava(jvm.scala.Predef.genericWrapArray(files))
+    names = spark._jsparkSession.createDataset(listed, jvm.org.apache.spark.sql.Encoders.STRING())
+    folder = F.regexp_replace("value", "/[^/]+$", "/")
+    return DataFrame(names.toDF(), spark).select(folder.alias("folder")).distinct()
+
+
 _SEPARATOR, _NULL = "\x1f", "\0"
 
 
@@ -97,6 +108,17 @@ class Snapshot:
     superseded: Mapping[tuple[str, tuple], str] = field(default_factory=dict)
     #: runs before one that covers the whole table
     old_runs: tuple[str, ...] = ()
+    #: values of the parts that each run covers, () for the whole table
+    parts: Mapping[str, frozenset[tuple]] = field(default_factory=dict)
+
+    def holding(self, covered: Iterable[Spec]) -> "Snapshot":
+        """Without the runs that have no row in a part that one of ``covered`` names."""
+        columns, specs = _same_columns(covered)
+        wanted = {tuple(spec.values()) for spec in specs}
+        if () in wanted or (columns and self.columns and columns != self.columns):
+            return self
+        runs = [run for run in self.runs if () in self.parts[run] or self.parts[run] & wanted]
+        return replace(self, runs=tuple(runs))
 
     def read(self, schema: StructType | None = None) -> DataFrame:
         """The rows, without the folders of superseded parts.
@@ -141,7 +163,8 @@ def snapshot(spark: SparkSession, path: str) -> Snapshot:
                 if run not in found:
                     found.append(run)
     stale = {(run, values): after for values, by in covering.items() for run, after in zip(by, by[1:], strict=False)}
-    return Snapshot(spark, path, tuple(runs[first:]), columns, stale, tuple(runs[:first]))
+    parts = {run: frozenset(tuple(spec.values()) for spec in covered[run]) for run in runs[first:]}
+    return Snapshot(spark, path, tuple(runs[first:]), columns, stale, tuple(runs[:first]), parts)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -162,9 +185,14 @@ class Version:
         by: Sequence[str],
         covered: Iterable[Spec],
         sorted_by: Sequence[str] = (),
+        few_rows: bool = False,
     ):
         """``sorted_by``: each file is in order of these columns, so a filter on the first of
-        them reads only the row groups whose range holds the value."""
+        them reads only the row groups whose range holds the value.
+
+        ``few_rows``: no folder has many rows, as those of an aggregate. Then tasks are told by
+        the number of folders, whose files take the time; by bytes, one task would write all.
+        """
         self._spark, self._path, self._schema = rows.sparkSession, path.rstrip("/"), rows.schema
         columns, specs = _same_columns({c: spec[c] for c in by if c in spec} for spec in covered)
         if columns != tuple(by[: len(columns)]):
@@ -174,7 +202,11 @@ class Version:
             raise ValueError(f"{path} holds partitions outside of any run, such as {plain[0]}")
         self._folder = f"{self._path}/_writing-{uuid.uuid4().hex}"
         try:
-            spread = rows.hint("rebalance", *by)
+            if few_rows:
+                most = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+                spread = rows.repartition(max(1, min(most, len(specs) if columns else most)), *by)
+            else:
+                spread = rows.hint("rebalance", *by)
             if sorted_by:
                 spread = spread.sortWithinPartitions(*by, *sorted_by)
             spread.write.partitionBy(*by).parquet(self._folder)
@@ -187,6 +219,12 @@ class Version:
         """The rows as they are stored."""
         return self._spark.read.schema(self._schema).parquet(self._folder)
 
+    def values_of(self, column: str) -> set[str | None]:
+        """Values, as text, of the partition column ``column``; folders tell them, no file is read."""
+        value = F.regexp_extract("folder", f"/{column}=([^/]+)/", 1)
+        found = folders_of(self.read()).select(value.alias("value")).distinct().collect()
+        return {None if v == _NULL_FOLDER else unquote(unquote(v)) for (v,) in found if v}  # as URIs of escaped names
+
     def note(self, name: str, lines: Iterable) -> None:
         """Keep something small about the run, published with it and hidden from readers of its rows."""
         _write_lines(self._spark, f"{self._folder}/_{name}", lines)
@@ -217,8 +255,9 @@ class Versions:
         by: Sequence[str],
         covered: Iterable[Spec],
         sorted_by: Sequence[str] = (),
+        few_rows: bool = False,
     ) -> Version:
-        self.all.append(Version(rows, path, by, covered, sorted_by))
+        self.all.append(Version(rows, path, by, covered, sorted_by, few_rows))
         return self.all[-1]
 
 

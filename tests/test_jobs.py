@@ -430,3 +430,41 @@ def test_scopes_delete_what_was_staged_in_them(spark):
         outer = stage(spark.range(3), "outer")
         assert not there(inner) and there(outer)
     assert not there(outer)
+
+
+def test_stored_events_are_listed_once(spark, root, monkeypatch):
+    from tapeline.sources.versions import Snapshot
+
+    events, listed, read = f"{root}/events", [], Snapshot.read
+    monkeypatch.setattr(Snapshot, "read", lambda self, *a: listed.append(self.path) or read(self, *a))
+    run_ingest(spark, format_glob(f"{root}/data", "csv"), None, events, f"{root}/log")
+    run_ingest(spark, None, format_glob(f"{root}/data", "json"), events, f"{root}/log")
+    assert events not in listed  # other folders than before: no row is replaced
+    run_load(spark, events, f"{root}/tables", f"{root}/log")
+    assert listed.count(events) == 1
+
+
+def test_many_dates_are_chosen_as_one_by_one(spark):
+    from tapeline.sources.tables import among, on_dates
+
+    rows = spark.sql("select cast(d as date) as d from values (null), ('2020-08-03'), ('2020-08-04') as t(d)")
+    days = [MONDAY, None, *(f"2021-{m:02}-{d:02}" for m in range(1, 13) for d in range(1, 29))]
+    assert values(rows.where(among("d", days)), "d") == [(MONDAY,)]
+    assert values(on_dates(rows, days, "d"), "d") == [(MONDAY,), (None,)]
+    assert values(on_dates(rows, [MONDAY], "d", outside=True), "d") == [(TUESDAY,)]
+    assert on_dates(rows, [], "d").count() == 0
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        on_dates(rows, ["it's \\"], "d").collect()
+
+
+def test_origin_of_a_file_by_its_last_names(spark):
+    from pyspark.sql import functions as F
+    from tapeline.sources.messages import _origin
+
+    paths = ["file:/a=b/x/csv/2020-08-03/NYSE/f.txt", "file:/x/f=csv/d=2020-08-03/e=NY=SE/f.txt",
+             "file:/x/src=csv/src_date=2020-08-03/src_exchange=N%20Y/f.txt", "file:/2020-08-03/N/f", "f.txt"]
+    found = spark.createDataFrame([(p,) for p in paths], "p string").select("p", *_origin(F.col("p"))).collect()
+    assert [tuple(map(str, row[1:])) for row in found] == [
+        ("csv", "2020-08-03", "NYSE"), ("None", "None", "None"), ("csv", "2020-08-03", "N%20Y"),
+        ("file:", "2020-08-03", "N"), ("None", "None", "None"),
+    ]

@@ -180,3 +180,33 @@ def test_a_filter_on_symbol_skips_row_groups(spark, tmp_path, settings):
     assert read.count() == 2000
     plan = spark._jvm.PythonSQLUtils.explainString(read._jdf.queryExecution(), "formatted")
     assert "EqualTo(symbol,S42)" in plan
+
+
+def test_small_parts_are_written_by_several_tasks(spark, tmp_path):
+    days = [f"2020-08-{d:02}" for d in range(1, 25)]
+    rows = rows_of(spark, [(day, "x", n) for n, day in enumerate(days)])
+    path = f"{tmp_path}/t"
+    with written() as tables:
+        version = tables.add(rows, path, BY, [{}], few_rows=True)
+        assert version.values_of("d") == set(days) and version.values_of("e") == {"x"}
+    files = [p.name for p in (tmp_path / "t").rglob("*.parquet")]
+    assert len(files) == 24 and len({name[:10] for name in files}) > 2
+    assert [v for _, _, v in held(spark, path)] == list(range(24))
+
+
+def test_values_of_partitions_are_told_by_folders(spark, tmp_path):
+    odd = Version(rows_of(spark, [(None, "a/b c", 1), (MON, None, 2)]), f"{tmp_path}/t", BY, [{}])
+    assert odd.values_of("d") == {None, MON} and odd.values_of("e") == {None, "a/b c"}
+    assert Version(rows_of(spark, []), f"{tmp_path}/u", BY, [{}]).values_of("d") == set()
+
+
+def test_runs_that_hold_nothing_of_a_part_are_left_out(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for day in (MON, TUE):
+        put(spark, path, [(day, "x", 1)], [{"d": day}])
+    state = snapshot(spark, path)
+    assert state.holding([{"d": TUE}]).runs == state.runs[1:]
+    assert state.holding([{"d": None}]).runs == () and state.holding([{}]).runs == state.runs
+    put(spark, path, [(MON, "x", 2)], [{}])
+    state = snapshot(spark, path)
+    assert state.holding([{"d": TUE}]).runs == state.runs
