@@ -14,6 +14,8 @@ SETTINGS = {
     # The enriching job has more generated classes than the default cache holds
     # (100), so each of its tasks would compile them anew.
     "spark.sql.codegen.cache.maxEntries": "2000",
+    # Tables by date have thousands of folders, and by default each is listed by a task of its own.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
 }
 
 

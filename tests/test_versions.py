@@ -210,3 +210,17 @@ def test_runs_that_hold_nothing_of_a_part_are_left_out(spark, tmp_path):
     put(spark, path, [(MON, "x", 2)], [{}])
     state = snapshot(spark, path)
     assert state.holding([{"d": TUE}]).runs == state.runs
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    days = spark.range(300).selectExpr("cast(id as int) as v", "date_add(date'2020-01-01', int(id)) as d", "'x' as e")
+    days.coalesce(1).write.partitionBy(*BY).parquet(f"{tmp_path}/t")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        spark.read.schema(SCHEMA).parquet(f"{tmp_path}/t")
+        jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup("listing")]
+        tasks = [tracker.getStageInfo(stage).numTasks for job in jobs for stage in job.stageIds]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert tasks and max(tasks) <= 200
