@@ -47,7 +47,7 @@ from tapeline.schemas import ENRICHED_COLUMNS, QUOTE, QUOTE_TYPES, TRADE, TRADE_
 from tapeline.sources.messages import format_glob, source_files
 from tapeline.sources.staging import stage, staging_path
 from tapeline.sources.tables import among, on_dates, read_events, write_partitioned
-from tapeline.sources.versions import read_table
+from tapeline.sources.versions import read_table, spreading
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,7 +95,8 @@ def _message_files(spark, sf_dir, messages=None, src_date="trade_dt") -> str:
             .withColumns({"src_date": F.expr(src_date), "src_exchange": F.col("exchange")}),
             *origin,
         )
-        lines.hint("rebalance", *origin).write.partitionBy(*origin).text(f"{root}/{name}")
+        with spreading(spark):
+            lines.hint("rebalance", *origin).write.partitionBy(*origin).text(f"{root}/{name}")
     return root
 
 

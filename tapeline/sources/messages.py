@@ -8,7 +8,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.sources.versions import folders_of
+from tapeline.sources.versions import folders_of, listing
 
 # format, date and exchange folders of a message file; folders may also be
 # written as name=value
@@ -22,7 +22,8 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     ``src_exchange`` are NULL for a file outside the folder layout.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
-    lines = reader.text([paths] if isinstance(paths, str) else list(paths))
+    with listing(spark):
+        lines = reader.text([paths] if isinstance(paths, str) else list(paths))
     return lines.select(F.col("value").alias("raw_line"), *_origin(F.col("_metadata.file_path")))
 
 

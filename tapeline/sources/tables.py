@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeline.schemas import schema_of
-from tapeline.sources.versions import read_table
+from tapeline.sources.versions import read_table, spreading
 
 
 def write_partitioned(rows: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -19,13 +19,14 @@ def write_partitioned(rows: DataFrame, path: str, by: Sequence[str]) -> None:
     partition are shuffled into few files, and AQE splits a partition that is too
     big for one task.
     """
-    (
-        rows.hint("rebalance", *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    with spreading(rows.sparkSession):
+        (
+            rows.hint("rebalance", *by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*by)
+            .parquet(path)
+        )
 
 
 def read_events(spark: SparkSession, path: str, record_type: str) -> DataFrame:

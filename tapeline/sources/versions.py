@@ -11,7 +11,7 @@ read them. While a run writes, its folder is hidden, and a run that stops leaves
 import json
 import uuid
 from collections.abc import Iterable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from urllib.parse import unquote
@@ -48,6 +48,40 @@ def folders_of(rows: DataFrame) -> DataFrame:
     return DataFrame(names.toDF(), spark).select(folder.alias("folder")).distinct()
 
 
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the block; those that the session sets itself stay as they are."""
+    own = [name for name in values if spark.conf.get(name, None) is None]
+    for name in own:
+        spark.conf.set(name, values[name])
+    try:
+        yield
+    finally:
+        for name in own:
+            spark.conf.unset(name)
+
+
+def spreading(spark: SparkSession) -> AbstractContextManager[None]:
+    """For writing by folders: several tasks for each core, also where there are few bytes.
+
+    A folder's file takes time, however small; told by bytes, one task would write
+    all folders of a table with few rows in each.
+    """
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return _settings(
+        spark,
+        {
+            "spark.sql.adaptive.coalescePartitions.minPartitionNum": str(tasks),
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+        },
+    )
+
+
+def listing(spark: SparkSession) -> AbstractContextManager[None]:
+    """For reading folders: lists many in each task, where by default each is a task of its own."""
+    return _settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": "200"})
+
+
 _SEPARATOR, _NULL = "\x1f", "\0"
 
 
@@ -131,7 +165,8 @@ class Snapshot:
         reader = self.spark.read.option("basePath", self.path)
         if schema is not None:
             reader = reader.schema(StructType([*schema.fields]).add(RUN, "string"))
-        rows = reader.parquet(*[f"{self.path}/{RUN}={run}" for run in self.runs])
+        with listing(self.spark):
+            rows = reader.parquet(*[f"{self.path}/{RUN}={run}" for run in self.runs])
         if self.superseded:
             part = _text_of([RUN, *self.columns])
             rows = rows.where(~part.isin([_text((run, *values)) for run, values in sorted(self.superseded, key=str)]))
@@ -172,7 +207,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     state = snapshot(spark, path)
     if state.runs:
         return state.read(schema)
-    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    with listing(spark):
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 class Version:
@@ -209,7 +245,8 @@ class Version:
                 spread = rows.hint("rebalance", *by)
             if sorted_by:
                 spread = spread.sortWithinPartitions(*by, *sorted_by)
-            spread.write.partitionBy(*by).parquet(self._folder)
+            with spreading(self._spark):
+                spread.write.partitionBy(*by).parquet(self._folder)
             self.note("covered", specs)
         except BaseException:
             self.discard()
@@ -217,7 +254,8 @@ class Version:
 
     def read(self) -> DataFrame:
         """The rows as they are stored."""
-        return self._spark.read.schema(self._schema).parquet(self._folder)
+        with listing(self._spark):
+            return self._spark.read.schema(self._schema).parquet(self._folder)
 
     def values_of(self, column: str) -> set[str | None]:
         """Values, as text, of the partition column ``column``; folders tell them, no file is read."""

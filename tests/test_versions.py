@@ -12,6 +12,7 @@ from tapeline.sources.versions import (
     remove_superseded,
     replace_partitions,
     snapshot,
+    spreading,
     within,
     written,
 )
@@ -224,3 +225,41 @@ def test_folders_are_listed_by_few_tasks(spark, tmp_path):
     finally:
         spark.sparkContext._jsc.clearJobGroup()
     assert tasks and max(tasks) <= 200
+
+
+def test_few_rows_in_many_folders_are_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(6000).selectExpr("uuid() as v", "date_add(date'2020-01-01', int(id % 300)) as d")
+    version = Version(rows, f"{tmp_path}/t", ["d"], [{}])
+    files = [f.name for f in tmp_path.rglob("*.parquet")]
+    assert len(files) == 300  # one in each folder all the same
+    assert len({name.split("-")[1] for name in files}) > 1
+    assert version.read().count() == 6000
+
+
+def test_session_settings_are_left_as_they_were(spark, settings):
+    by_core = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    settings({by_core: "3"})
+    with pytest.raises(KeyError), spreading(spark):
+        assert spark.conf.get(by_core) == "3"  # the session's own
+        assert spark.conf.get(least, None) == "16k"
+        raise KeyError
+    assert spark.conf.get(by_core) == "3"
+    assert spark.conf.get(least, None) is None
+
+
+def test_tables_are_listed_by_few_tasks_in_any_session(spark, settings, tmp_path):
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    days = spark.range(300).selectExpr("cast(id as int) as v", "date_add(date'2020-01-01', int(id)) as d", "'x' as e")
+    replace_partitions(days, f"{tmp_path}/t", BY, [{}])
+    settings({name: "1"})  # put back after the test
+    spark.conf.unset(name)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing versions", "")
+    try:
+        read_table(spark, f"{tmp_path}/t", SCHEMA)
+        jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup("listing versions")]
+        tasks = [tracker.getStageInfo(stage).numTasks for job in jobs for stage in job.stageIds]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert tasks and max(tasks) <= 200
