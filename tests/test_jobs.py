@@ -468,3 +468,14 @@ def test_origin_of_a_file_by_its_last_names(spark):
         ("csv", "2020-08-03", "NYSE"), ("None", "None", "None"), ("csv", "2020-08-03", "N%20Y"),
         ("file:", "2020-08-03", "N"), ("None", "None", "None"),
     ]
+
+
+def test_rejected_rows_of_many_dates_are_written_by_several_tasks(spark, root):
+    days = [f"2020-{month:02}-{day:02}" for month in range(1, 7) for day in range(1, 21)]
+    late = [csv_trade(day, "09:00:00", 7919 * n + d, "n/a") for d, day in enumerate(days) for n in range(40)]
+    write(root, "csv/2030-01-01/NYSE/late.txt", *late)
+    run_ingest(spark, format_glob(f"{root}/data", "csv", "2030-01-01"), None, f"{root}/events", f"{root}/log")
+    assert run_load(spark, f"{root}/events", f"{root}/tables", f"{root}/log") == days
+    files = [f.name for f in (root / "tables/rejected_trade").rglob("*.parquet")]
+    assert len(files) == len(days) and len({name.split("-")[1] for name in files}) > 1
+    assert len(everything(spark, root, "tables/rejected_trade", "event_seq_nb")) == len(late)
