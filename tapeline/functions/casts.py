@@ -4,6 +4,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# the usual form: a local time after its date; matched far sooner than the next, which it never matches
+_PLAIN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:\.\d+)?$"
 _ZONED = r"\d{1,2}:\d{2}.*?(?:[A-Za-z]|[+-]\d{1,2}(?::?\d{2})?)\s*$"
 
 
@@ -30,7 +32,8 @@ def event_time(text: Column, date_text: Column, zone: str | None = None) -> Colu
     full = F.when(text.rlike(r"^\s*\d{1,2}:\d{2}"), F.concat_ws(" ", date_text, F.trim(text)))
     full = full.otherwise(text)
     local = F.when(~zoned, full.try_cast("timestamp_ntz"))
-    return local if zone is None else F.coalesce(local, F.when(zoned, _shown_in(full, zone)))
+    other = local if zone is None else F.coalesce(local, F.when(zoned, _shown_in(full, zone)))
+    return F.when(text.rlike(_PLAIN), text.try_cast("timestamp_ntz")).otherwise(other)
 
 
 def _shown_in(text: Column, zone: str) -> Column:

@@ -12,13 +12,28 @@ from tapeline.functions.joins import join_back
 from tapeline.schemas import EVENT_KEY, QUOTE_TYPES, TRADE_TYPES
 
 
-def _failed_cast(types: dict[str, str], zone: str | None) -> Column:
+def _with_typed(events: DataFrame, types: dict[str, str], zone: str | None) -> DataFrame:
+    """``events`` with the typed columns of ``types`` under :func:`_typed_name`.
+
+    They leave as the single element of an inlined array.  Catalyst would copy the casts into
+    each filter and each select on a typed column, to the scan; it does not move them
+    below a generator, so each text is cast once.
+    """
+    row = F.struct(*[typed(c, t, zone).alias(_typed_name(c)) for c, t in types.items()])
+    return events.select("*", F.inline(F.array(row)))
+
+
+def _typed_name(name: str) -> str:
+    return f"__typed_{name}"
+
+
+def _failed_cast(types: dict[str, str]) -> Column:
     """True where a text that is present does not cast to its type, or a key is NULL."""
     return reduce(
         or_,
         [
-            typed(c, t, zone).isNull() & (F.lit(c in EVENT_KEY) | F.col(c).isNotNull())
-            for c, t in types.items()
+            F.col(_typed_name(c)).isNull() & (F.lit(c in EVENT_KEY) | F.col(c).isNotNull())
+            for c in types
         ],
     )
 
@@ -28,16 +43,15 @@ def typed_rows(events: DataFrame, types: dict[str, str], zone: str | None = None
 
     Times are local to ``zone``; without it, a time with an offset or a zone does not cast.
     """
-    return events.where(~_failed_cast(types, zone)).select(
-        *[typed(c, t, zone).alias(c) for c, t in types.items()]
-    )
+    rows = _with_typed(events, types, zone).where(~_failed_cast(types))
+    return rows.select(*[F.col(_typed_name(c)).alias(c) for c in types])
 
 
 def rejected_rows(
     events: DataFrame, types: dict[str, str], *extra: str, zone: str | None = None
 ) -> DataFrame:
     """The rows :func:`typed_rows` leaves out, still as text, after ``extra`` columns."""
-    return events.where(_failed_cast(types, zone)).select(*extra, *types)
+    return _with_typed(events, types, zone).where(_failed_cast(types)).select(*extra, *types)
 
 
 def trade_rows(events: DataFrame, zone: str | None = None) -> DataFrame:

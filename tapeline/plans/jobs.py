@@ -155,7 +155,9 @@ def run_ingest(
         events = events.withColumn("trade_day", F.col("trade_dt").try_cast("date"))
         with written() as versions:
             by = [*SOURCE_KEY, "trade_day", "partition"]
-            version = versions.add(events, events_path, by, covered)
+            # a file's bad rows, which have no trade date, along with those of its own date
+            day = F.coalesce("trade_day", "src_date")
+            version = versions.add(events, events_path, by, covered, together=day)
             if bad_path is not None:
                 versions.add(bad_records(csv, json, *SOURCE_KEY), bad_path, SOURCE_KEY, covered)
             days = version.values_of("trade_day")  # dates, not rows

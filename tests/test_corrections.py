@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from tables import DAY, at, trades, values
@@ -89,6 +91,25 @@ def test_texts_that_do_not_cast_are_rejected_and_kept_as_text(spark):
     assert rejected_rows(text_events(spark, [{"ask_size": "x"}]), QUOTE_TYPES).count() == 1
 
 
+def test_each_text_is_cast_once(spark):
+    events = text_events(spark, [{}])
+    for rows in (keep_latest(typed_rows(events, TRADE_TYPES)), rejected_rows(events, TRADE_TYPES)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"cast\(trade_dt#\d+ as date\)", plan)) == 1
+        assert len(re.findall(r"cast\(trade_pr#\d+ as decimal\(38,20\)\)", plan)) == 1
+
+
+def test_usual_times_cast_as_all_others(spark):
+    texts = [f"{DAY} 09:00:00", f"{DAY}T09:00:00", f" {DAY} 09:00:00.000 ", f"{DAY} 09:00:00\n"]
+    events = text_events(spark, [{"event_tm": text} for text in texts])
+    assert values(typed_rows(events, TRADE_TYPES), "event_tm") == [(at("09:00:00"),)] * 4
+    wrong = [f"{DAY} 25:00:00", "2020-02-30 09:00:00", f"{DAY} 09:00:00.", f"{DAY} 09:00:00Z", f"{DAY} 09:00:00+01"]
+    rejected = rejected_rows(text_events(spark, [{"event_tm": text} for text in wrong]), TRADE_TYPES)
+    kept = typed_rows(text_events(spark, [{"event_tm": text} for text in wrong]), TRADE_TYPES)
+    assert values(rejected, "event_tm") == sorted((text,) for text in wrong if text[-1] != ".")
+    assert values(kept, "event_tm") == [(at("09:00:00"),)]  # Spark casts a text that ends with the dot
+
+
 def test_time_only_text_belongs_to_the_trade_date(spark):
     events = text_events(spark, [{"event_tm": "09:30:00.5", "arrival_tm": " 9:31:00"}])
     assert values(typed_rows(events, TRADE_TYPES), "event_tm", "arrival_tm") == [

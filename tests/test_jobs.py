@@ -479,3 +479,23 @@ def test_rejected_rows_of_many_dates_are_written_by_several_tasks(spark, root):
     files = [f.name for f in (root / "tables/rejected_trade").rglob("*.parquet")]
     assert len(files) == len(days) and len({name.split("-")[1] for name in files}) > 1
     assert len(everything(spark, root, "tables/rejected_trade", "event_seq_nb")) == len(late)
+
+
+def test_an_ingest_writes_the_record_types_of_a_date_in_one_task(spark, root, settings):
+    settings({"spark.sql.adaptive.coalescePartitions.enabled": "false"})  # few rows, but several tasks
+    days = [f"2021-{month:02}-{day:02}" for month in range(1, 5) for day in range(1, 11)]
+    for day in days:
+        write(root, f"csv/{day}/NYSE/a.txt", csv_trade(day, "09:00:00", 1, "1.0"), "junk")
+        write(root, f"json/{day}/NYSE/a.txt", json_trade(day, "09:00:00", 2, 1.0), json_quote(day, "09:00:00", 3))
+    late = [csv_trade(day, "09:00:00", 1, "2.0", arrival="23:59:59") for day in days]
+    write(root, "csv/2030-01-01/NYSE/late.txt", *late)
+    run_ingest(spark, f"{root}/data/csv", f"{root}/data/json", f"{root}/events", f"{root}/log")
+    tasks = {}
+    for file in (root / "events").rglob("*.parquet"):
+        names = dict(part.split("=") for part in file.parent.parts if "=" in part)
+        if names["src_date"] in days:
+            tasks.setdefault((names["src_date"], names["src_format"]), []).append(file.name.split("-")[1])
+    assert len(tasks) == 2 * len(days) and all(len(found) == 2 for found in tasks.values())
+    assert all(len(set(found)) == 1 for found in tasks.values())
+    late = [f.name.split("-")[1] for f in (root / "events").rglob("*.parquet") if "src_date=2030-01-01" in f.parts]
+    assert len(late) == len(days) and len(set(late)) > 1  # dates of one folder are not all in one task
